@@ -19,7 +19,8 @@ def load_binary(col: Column) -> Column:
 
 
 def dump_binary(col: Column) -> Column:
-    return F.base64(col)
+    """Base64 in one line; depending on a setting, Spark breaks it after 76 characters."""
+    return F.replace(F.base64(col), F.lit("\r\n"), F.lit(""))
 
 
 def load_geo(col: Column, dtype: T.DataType) -> Column:

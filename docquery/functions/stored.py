@@ -6,6 +6,8 @@ without a schema, a VARIANT that may hold another kind in every row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,6 +57,15 @@ def member(col: Column, dtype: T.DataType, name: str) -> tuple[Column, T.DataTyp
     return null("string"), T.StringType()
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` over a value that is worked out once per row, however often `body` uses it.
+
+    Catalyst inlines a plain expression at every use, which for long casts
+    grows past what it can compile.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def is_null(col: Column, dtype: T.DataType) -> Column:
     """NULL, or a VARIANT holding JSON null."""
     if isinstance(dtype, T.VariantType):
@@ -71,5 +82,5 @@ def as_text(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.VariantType):
         return F.coalesce(as_string(col, dtype), F.to_json(col))
     if isinstance(dtype, T.BinaryType):
-        return F.base64(col)
+        return F.replace(F.base64(col), F.lit("\r\n"), F.lit(""))
     return col.cast("string")

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docquery.plans import search_plans
+from docquery.plans import cast_plans, document_plans, search_plans, table_plans
 
-_PARTS = (search_plans,)
+_PARTS = (search_plans, document_plans, cast_plans, table_plans)
 
 
 def _in_utc(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
