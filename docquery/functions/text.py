@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from docquery.functions.stored import let
+
 # A token is a maximal run of letters, digits and underscores.
 WORD = r"[\p{L}\p{N}_]+"
 RUN = r"([\p{L}\p{N}_]+|[^\p{L}\p{N}_]+)"
@@ -43,6 +45,32 @@ def query_terms(text: str, by: str | Analyzer = "standard", spark: SparkSession
     return list(row[0])
 
 
+def each(words: Column | str) -> Column:
+    """One row per token. The outer form, since for the plain one Spark adds a filter that analyzes the text again."""
+    return F.explode_outer(words)
+
+
+def term_frequencies(words: Column) -> Column:
+    """`ARRAY<STRUCT<term, tf>>` of a token array, worked out inside the row: equal tokens are runs of the sorted array."""
+
+    def count_runs(ordered: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(0), F.size(ordered) - 1), lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))
+        )
+        return let(
+            starts,
+            lambda begin: F.transform(
+                begin,
+                lambda i, n: F.struct(
+                    F.get(ordered, i).alias("term"),
+                    (F.coalesce(F.get(begin, n + 1), F.size(ordered)) - i).alias("tf"),
+                ),
+            ),
+        )
+
+    return F.when(F.size(words) > 0, let(F.sort_array(words), count_runs))
+
+
 def term_count(words: Column, term: str) -> Column:
     """How often `term` occurs in a token array."""
     return F.size(F.filter(words, lambda w: w == F.lit(term)))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docquery.session import reliable_checkpoint
+from docquery.session import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
@@ -34,20 +34,21 @@ def with_position(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     Rows are range-partitioned and sorted, so no task gets more than its share
     however the keys are distributed. The sorted rows are written once to the
-    checkpoint folder: partition sizes and positions then refer to the same
+    shared folder: partition sizes and positions then refer to the same
     partitions even when an executor is lost in between.
     """
     # Each range gets an equal share of the sampled rows, so all cores are used on small tables too.
     ranges = max(
         int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism
     )
-    ordered = reliable_checkpoint(
+    ordered = materialize(
         df.repartitionByRange(ranges, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_at", _ROW_BITS))
         .withColumn("_row", F.col("_at").bitwiseAND((1 << _ROW_BITS) - 1))
-        .drop("_at")
+        .drop("_at"),
+        "positions",
     )
     # One row per partition.
     sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))

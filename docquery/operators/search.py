@@ -5,19 +5,25 @@ BM25 with k1 = 1.2 and b = 0.75 (Robertson and Zaragoza, 2009):
     idf   = ln(1 + (N - df + 0.5) / (df + 0.5))
     score = sum over terms of idf * tf / (tf + k1 * (1 - b + b * dl / avgdl))
 
-N, df and avgdl hold for the whole scan, before any `where` filter. Scores are
-rounded to six places and ties go to the lower `_id`.
+N, df and avgdl hold for the whole scan, before any `where` filter; N counts the
+documents that have a token. Scores are rounded to six places and ties go to the
+lower `_id`.
+
+Analyzing text is by far the dearest step, so every search analyzes each
+document once: the few numbers it needs of a document are written to the shared
+folder, and statistics, scores and ranks are taken from those.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docquery.functions.text import Analyzer, analyzer, query_terms, term_count
-from docquery.session import bounded_broadcast, reliable_checkpoint
+from docquery.functions.text import Analyzer, analyzer, each, query_terms, term_count, term_frequencies
+from docquery.session import bounded_broadcast, materialize
 
 K1, B = 1.2, 0.75
 
@@ -28,26 +34,39 @@ def search(
     text: str,
     where: Column | None = None,
     size: int = 10,
-    sort: Sequence[Column] | None = None,
+    sort: Sequence[tuple[Column, bool]] | None = None,
     by: str | Analyzer = "standard",
 ) -> DataFrame:
     """Filter, score, order: the top `size` hits `(_index, _id, _score, _source)`.
 
-    Two passes over the table and no shuffle: one aggregation for the
-    statistics of the query's terms, then a score per row and a top-k.
+    `sort` replaces the order by score with `(column, descending)` pairs; ties
+    go to the lower `_id`. Nothing is shuffled: counting is one projection, the
+    statistics one aggregation, the ranking a top-k, after which the documents
+    of the `size` winners are fetched by a filter on their ids.
     """
     terms = query_terms(text, by, df.sparkSession)
-    if not terms:
-        return _hits(df.filter(F.lit(False)).withColumn("_score", F.lit(0.0)))
-    words = analyzer(by)(F.col(text_col))
-    stats = _statistics(df, words, terms)
-    rows = df if where is None else df.filter(where)
-    counted = _term_counts(rows, words, terms).filter(F.size("_words") > 0)
-    score = F.lit(0.0)
-    for n, term in enumerate(terms):
-        score = score + _contribution(F.lit(_idf_value(stats, n)), term_count(F.col("_words"), term), F.col("_length"), stats["avgdl"])
-    scored = counted.withColumn("_score", F.round(score, 6))
-    return _hits(scored).orderBy(*(sort or [F.desc("_score"), F.col("_id")])).limit(size)
+    wanted = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    keys = list(sort or [])
+    extra = [wanted.alias("_wanted"), *[col.alias(f"_key{n}") for n, (col, _) in enumerate(keys)]]
+    counts = _counts(df, analyzer(by)(F.col(text_col)), terms, extra)
+    stats = _statistics(counts, len(terms))
+    order = [F.desc(f"_key{n}") if down else F.asc(f"_key{n}") for n, (_, down) in enumerate(keys)]
+    top = (
+        counts.filter(F.col("_wanted") & F.exists("_tf", lambda n: n > 0))
+        .withColumn("_score", F.round(_score(stats), 6))
+        .orderBy(*(order or [F.desc("_score")]), "_id")
+        .limit(size)
+        .select("_index", "_id", "_score", *[f"_key{n}" for n in range(len(keys))])
+    )
+    # At most `size` rows: the answer itself.
+    hits = df.sparkSession.createDataFrame(top.collect(), top.schema)
+    found = _with_index(df).filter(F.col("_id").isin([row["_id"] for row in hits.select("_id").collect()]))
+    joined = found.join(F.broadcast(hits), (found["_id"] == hits["_id"]) & found["_index"].eqNullSafe(hits["_index"]))
+    return (
+        joined.orderBy(*(order or [F.desc("_score")]), hits["_id"])
+        .select(found["_index"], found["_id"], "_score", "_source")
+        .limit(size)
+    )
 
 
 def count(df: DataFrame, where: Column | None = None) -> DataFrame:
@@ -63,26 +82,24 @@ def explain(df: DataFrame, text_col: str, text: str, ids: DataFrame, by: str | A
     `matched = false`.
     """
     terms = query_terms(text, by, df.sparkSession)
-    words = analyzer(by)(F.col(text_col))
-    stats = _statistics(df, words, terms)
+    counts = _counts(df, analyzer(by)(F.col(text_col)), terms, [])
+    stats = _statistics(counts, len(terms))
     asked = ids.select("_id").distinct()
-    docs = _term_counts(df.join(asked, "_id", "left_semi"), words, terms).select("_id", "_words", "_length")
-    entry = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(term).alias("term"),
-                    F.lit(int(stats["df"][n])).cast("long").alias("df"),
-                    F.lit(_idf_value(stats, n)).alias("idf"),
-                )
-                for n, term in enumerate(terms)
-            ]
-        )
+    docs = counts.join(asked, "_id", "left_semi").select("_id", "_length", "_tf")
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(term).alias("term"),
+                F.lit(stats["df"][n]).cast("long").alias("df"),
+                F.lit(_idf(stats, n)).alias("idf"),
+                F.coalesce(F.get("_tf", F.lit(n)), F.lit(0)).cast("long").alias("tf"),
+            )
+            for n, term in enumerate(terms)
+        ]
+    )
+    detail = asked.join(docs, "_id", "left").select("_id", "_length", F.inline(entries)).withColumn(
+        "norm", K1 * (1 - B + B * F.col("_length") / F.lit(stats["avgdl"]))
     )
-    rows = asked.join(docs, "_id", "left").withColumn("_term", entry).select("_id", "_term.*", "_words", "_length")
-    tf = F.coalesce(F.size(F.filter("_words", lambda w: w == F.col("term"))), F.lit(0))
-    norm = K1 * (1 - B + B * F.col("_length") / F.lit(stats["avgdl"]))
-    detail = rows.withColumn("tf", tf.cast("long")).withColumn("norm", norm)
     part = F.col("idf") * F.col("tf") / (F.col("tf") + F.col("norm"))
     return detail.select(
         "_id",
@@ -107,23 +124,22 @@ def msearch(
     """Many searches in one job: the top `size` hits `(query_id, _rank, _index, _id, _score)` of each query.
 
     `queries` has `query_id`, `text` and optionally `_index`, the one index the
-    query is meant for (else `default_index`, else all). The documents are
-    shuffled once, by id; counting terms, scoring and cutting to the best
-    `size` per partition all happen there, and only those few rows move again.
+    query is meant for (else `default_index`, else all). Texts never move: their
+    terms, as far as a query has them, are written as a narrow table. That is
+    shuffled once, by document; scoring and cutting to the best `size` of each
+    partition happen there, and only those few rows move again.
     """
-    # One row per query and term; the queries are read several times below.
-    asked = reliable_checkpoint(_query_terms_table(queries, default_index, by))
-    vocabulary = bounded_broadcast(asked.select("term").distinct())
-    postings = _postings(docs, text_col, by, vocabulary)
-    weights = bounded_broadcast(_weights(docs, text_col, by, asked, vocabulary))
+    # One row per query and term.
+    asked = materialize(_query_terms_table(queries, default_index, by), "query-terms")
+    postings = materialize(_postings(docs, text_col, by, asked.select("term").distinct()), "postings")
+    weights = bounded_broadcast(materialize(_weights(postings, asked), "weights"))
 
     target = F.col("_target").isNull() | (F.col("_target") == F.col("_index"))
-    matched = postings.join(weights, "term").filter(target)
-    part = _contribution(F.col("idf"), F.col("tf"), F.col("_length"), F.col("avgdl"))
-    scored = (
-        matched.groupBy("query_id", "_index", "_id")
-        .agg(F.round(F.sum(part), 6).alias("_score"))
-    )
+    by_document = postings.filter("term IS NOT NULL").repartition("_id")
+    matched = by_document.join(weights, "term").filter(target)
+    norm = K1 * (1 - B + B * F.col("_length") / F.col("avgdl"))
+    part = F.col("idf") * F.col("tf") / (F.col("tf") + norm)
+    scored = matched.groupBy("query_id", "_index", "_id").agg(F.round(F.sum(part), 6).alias("_score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("_score"), "_id", "_index")
     ranked = scored.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= size)
     return ranked.select("query_id", "_rank", "_index", "_id", "_score")
@@ -142,7 +158,7 @@ def terms_enum(df: DataFrame, terms: Column, prefix: str, size: int = 10, ignore
 
     dtype = df.select(terms).schema[0].dataType
     if dtype.typeName() == "array":
-        listed = df.select(F.explode(F.array_distinct(F.filter(terms, starts))).alias("term"))
+        listed = df.select(each(F.array_distinct(F.filter(terms, starts))).alias("term")).filter("term IS NOT NULL")
     else:
         listed = df.select(terms.alias("term")).filter(starts(F.col("term")))
     return listed.distinct().orderBy("term").limit(size)
@@ -151,75 +167,79 @@ def terms_enum(df: DataFrame, terms: Column, prefix: str, size: int = 10, ignore
 # -- scoring --------------------------------------------------------------------------------------
 
 
-def _statistics(df: DataFrame, words: Column, terms: Iterable[str]) -> dict:
-    """Number of documents, their average length and the document frequency of each term: one row, one pass."""
-    spread = df.select(words.alias("_words")).filter(F.size("_words") > 0)
-    row = spread.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(F.size("_words")).alias("avgdl"),
-        *[F.count_if(F.array_contains("_words", t)).alias(f"df{i}") for i, t in enumerate(terms)],
-    ).first()
-    return {"n": row["n"], "avgdl": row["avgdl"] or 1.0, "df": list(row)[2:]}
-
+def _with_index(df: DataFrame) -> DataFrame:
+    return df if "_index" in df.columns else df.withColumn("_index", F.lit(None).cast("string"))
 
-def _idf_value(stats: dict, n: int) -> float:
-    import math
 
-    df = stats["df"][n]
-    return math.log(1 + (stats["n"] - df + 0.5) / (df + 0.5))
+def _counts(df: DataFrame, words: Column, terms: Sequence[str], extra: Sequence[Column]) -> DataFrame:
+    """`(_index, _id, _length, _tf)`: a document's number of tokens and how often each query term occurs."""
+    analyzed = _with_index(df).select("_index", "_id", *extra, words.alias("_all"))
+    others = [c for c in analyzed.columns if c != "_all"]
+    kept = analyzed.select(
+        *others, F.size("_all").alias("_length"), F.filter("_all", lambda w: w.isin(list(terms))).alias("_kept")
+    )
+    tf = F.array(*[term_count(F.col("_kept"), t) for t in terms]).cast("array<int>")
+    return materialize(kept.select(*others, "_length", tf.alias("_tf")), "counts")
 
 
-def _contribution(idf: Column, tf: Column, length: Column, avgdl) -> Column:
-    avgdl = avgdl if isinstance(avgdl, Column) else F.lit(float(avgdl))
-    return idf * tf / (tf + K1 * (1 - B + B * length / avgdl))
+def _statistics(counts: DataFrame, terms: int) -> dict:
+    """Number of documents, their average length and each term's document frequency: one row."""
+    row = counts.agg(
+        F.count_if(F.col("_length") > 0).alias("n"),
+        F.sum(F.greatest("_length", F.lit(0))).alias("length"),
+        *[F.count_if(F.get("_tf", F.lit(i)) > 0).alias(f"df{i}") for i in range(terms)],
+    ).first()
+    return {"n": row["n"], "avgdl": (row["length"] or 0) / row["n"] if row["n"] else 1.0, "df": list(row)[2:]}
 
 
-def _term_counts(rows: DataFrame, words: Column, terms: Sequence[str]) -> DataFrame:
-    """Keep of each row's tokens only the query's, and the row's length."""
-    return (
-        rows.withColumn("_all", words)
-        .withColumn("_length", F.size("_all"))
-        .withColumn("_words", F.filter("_all", lambda w: w.isin(list(terms))))
-        .drop("_all")
-    )
+def _idf(stats: dict, n: int) -> float:
+    df = stats["df"][n]
+    return math.log(1 + (stats["n"] - df + 0.5) / (df + 0.5))
 
 
-def _hits(df: DataFrame) -> DataFrame:
-    index = F.col("_index") if "_index" in df.columns else F.lit(None).cast("string").alias("_index")
-    return df.select(index, "_id", "_score", "_source")
+def _score(stats: dict) -> Column:
+    norm = K1 * (1 - B + B * F.col("_length") / F.lit(stats["avgdl"]))
+    score = F.lit(0.0)
+    for n in range(len(stats["df"])):
+        tf = F.get("_tf", F.lit(n))
+        score = score + F.lit(_idf(stats, n)) * tf / (tf + norm)
+    return score
 
 
 def _query_terms_table(queries: DataFrame, default_index: str | None, by: str | Analyzer) -> DataFrame:
     index = F.col("_index") if "_index" in queries.columns else F.lit(None).cast("string")
     target = F.coalesce(index, F.lit(default_index).cast("string")).alias("_target")
-    return queries.select("query_id", target, F.explode(F.array_distinct(analyzer(by)(F.col("text")))).alias("term"))
+    words = F.array_distinct(analyzer(by)(F.col("text")))
+    return queries.select("query_id", target, each(words).alias("term")).filter("term IS NOT NULL")
 
 
 def _postings(docs: DataFrame, text_col: str, by: str | Analyzer, vocabulary: DataFrame) -> DataFrame:
-    """`(_index, _id, term, tf, _length)` of the vocabulary's terms, partitioned by document."""
-    words = analyzer(by)(F.col("_text"))
-    return (
-        docs.select("_index", "_id", F.col(text_col).alias("_text"))
-        .repartition("_index", "_id")
-        .withColumn("_words", words)
-        .select("_index", "_id", F.size("_words").alias("_length"), F.explode("_words").alias("term"))
-        .join(vocabulary, "term", "left_semi")
-        .groupBy("_index", "_id", "term")
-        .agg(F.count(F.lit(1)).alias("tf"), F.first("_length").alias("_length"))
+    """`(_index, _id, _length, term, tf)` of the vocabulary's terms, made row by row without a shuffle.
+
+    Each document also has one row with a NULL term, which stands for the
+    document itself in the totals.
+    """
+    known = bounded_broadcast(vocabulary.withColumn("_known", F.lit(True)))
+    counted = _with_index(docs).select("_index", "_id", analyzer(by)(F.col(text_col)).alias("_words")).select(
+        "_index", "_id", F.size("_words").alias("_length"), term_frequencies(F.col("_words")).alias("_terms")
+    )
+    # The outer form keeps documents without a token, and Spark adds no filter that analyzes the text again.
+    itself = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).alias("tf")))
+    entries = F.concat(itself, F.coalesce("_terms", F.array().cast("array<struct<term:string,tf:int>>")))
+    exploded = counted.select("_index", "_id", "_length", entries.alias("_entries")).select(
+        "_index", "_id", "_length", F.inline_outer("_entries")
     )
+    return exploded.join(known, "term", "left").filter("_known OR term IS NULL").drop("_known")
 
 
-def _weights(docs: DataFrame, text_col: str, by: str | Analyzer, asked: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def _weights(postings: DataFrame, asked: DataFrame) -> DataFrame:
     """`(query_id, _target, term, idf, avgdl)`, the statistics being those of the query's own target."""
-    words = analyzer(by)(F.col(text_col))
-    tokenized = docs.select("_index", words.alias("_words")).filter(F.size("_words") > 0)
-    frequency = (
-        tokenized.select("_index", F.explode(F.array_distinct("_words")).alias("term"))
-        .join(vocabulary, "term", "left_semi")
-        .groupBy("_index", "term")
-        .agg(F.count(F.lit(1)).alias("df"))
+    frequency = postings.filter("term IS NOT NULL").groupBy("_index", "term").agg(F.count(F.lit(1)).alias("df"))
+    totals = (
+        postings.filter("term IS NULL AND _length > 0")
+        .groupBy("_index")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("_length").alias("length"))
     )
-    totals = tokenized.groupBy("_index").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("_words")).alias("length"))
     # Per index, and over all of them for queries without a target.
     frequency = _and_all(frequency, ["term"], ["df"])
     totals = _and_all(totals, [], ["n", "length"])
@@ -230,15 +250,13 @@ def _weights(docs: DataFrame, text_col: str, by: str | Analyzer, asked: DataFram
         .join(totals, by_target)
     )
     idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    result = weighted.select(
+    return weighted.select(
         "query_id", "_target", "term", idf.alias("idf"), (F.col("length") / F.col("n")).alias("avgdl")
     )
-    return reliable_checkpoint(result)
 
 
 def _and_all(df: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
     """Sums per `_index`, renamed `_of`, and over all indices under `_of` NULL."""
-    grouped = df.groupingSets(
-        [[F.col("_index"), *[F.col(k) for k in keys]], [F.col(k) for k in keys]], "_index", *keys
-    ).agg(*[F.sum(s).alias(s) for s in sums])
-    return grouped.withColumnRenamed("_index", "_of")
+    columns = [F.col(k) for k in keys]
+    grouped = df.groupingSets([[F.col("_index"), *columns], columns], "_index", *keys)
+    return grouped.agg(*[F.sum(s).alias(s) for s in sums]).withColumnRenamed("_index", "_of")

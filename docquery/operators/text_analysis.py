@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docquery.functions.text import STARTS_WITH_WORD, analyzer, runs
+from docquery.functions.text import STARTS_WITH_WORD, analyzer, runs, term_frequencies
+from docquery.session import bounded_broadcast, materialize
+
 
 
 def analyze(df: DataFrame, id_cols: str | Sequence[str], text_col: str, by: str = "standard") -> DataFrame:
@@ -21,15 +23,15 @@ def analyze(df: DataFrame, id_cols: str | Sequence[str], text_col: str, by: str
         raise ValueError("offsets are defined for the standard analyzer")
     ids = _ids(id_cols)
     texts = df.select(*ids, F.col(text_col).alias("_text")).repartition(*ids)
-    # Word and other runs alternate, so a run's kind and position follow from its number.
-    first = F.when(F.col("_text").rlike(STARTS_WITH_WORD), 0).otherwise(1)
-    pieces = texts.select(*ids, first.alias("_first"), F.posexplode(runs("_text")).alias("_run", "_piece"))
+    # Only ids and pieces leave the generator; the whole text must not be copied beside every token.
+    pieces = texts.select(*ids, F.posexplode_outer(runs("_text")).alias("_run", "_piece"))
     before = Window.partitionBy(*ids).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum(F.length("_piece")).over(before), F.lit(0))
-    placed = pieces.withColumn("start_offset", start).filter((F.col("_run") - F.col("_first")) % 2 == 0)
+    placed = pieces.withColumn("start_offset", start).filter(F.col("_piece").rlike(STARTS_WITH_WORD))
     return placed.select(
         *ids,
-        F.shiftright(F.col("_run") - F.col("_first"), 1).alias("position"),
+        # Word and other runs alternate, so the n-th word is run 2n or 2n + 1.
+        F.shiftright("_run", 1).alias("position"),
         F.lower("_piece").alias("token"),
         "start_offset",
         (F.col("start_offset") + F.length("_piece")).alias("end_offset"),
@@ -62,9 +64,21 @@ def termvectors(
             F.col("_places.end_offset").alias("end_offsets"),
         )
     )
-    # No hint: the vocabulary may be large, and adaptive execution splits the shuffle of a frequent term.
-    joined = vectors.join(term_statistics(df, ids, text_col), "term")
-    field = field_statistics(df, text_col).first()
+    if requests is None:
+        # Written once: the statistics come from the vectors instead of from analyzing all texts again.
+        vectors = materialize(vectors, "vectors")
+        opening = F.count_if(F.get("positions", F.lit(0)) == 0)
+        terms = vectors.groupBy("term").agg(*_sums(), opening.alias("_texts"))
+    else:
+        terms = _term_statistics(df, text_col)
+    terms = materialize(terms, "terms")
+    field = terms.agg(
+        F.sum("_texts").alias("doc_count"),
+        F.sum(F.when(F.col("term").isNotNull(), F.col("doc_freq"))).alias("sum_doc_freq"),
+        F.sum("total_tf").alias("sum_total_tf"),
+    ).first()
+    # A vocabulary beyond the bound is shuffled, and adaptive execution splits the share of a frequent term.
+    joined = vectors.join(bounded_broadcast(terms.filter("term IS NOT NULL").drop("_texts")), "term")
     return joined.select(
         *ids,
         "term",
@@ -94,29 +108,21 @@ def mtermvectors(
     return out
 
 
-def term_statistics(df: DataFrame, id_cols: str | Sequence[str], text_col: str) -> DataFrame:
-    """Per term of the table: `doc_freq` and `total_tf`, summed before the shuffle."""
-    words = analyzer("standard")(F.col(text_col))
-    ids = _ids(id_cols)
-    # A text is one row, so the first aggregation needs no more than its own task.
-    per_text = (
-        df.select(*ids, F.col(text_col))
-        .repartition(*ids)
-        .select(*ids, F.explode(words).alias("term"))
-        .groupBy(*ids, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
+def _term_statistics(df: DataFrame, text_col: str) -> DataFrame:
+    """Per term `doc_freq` and `total_tf`, counted inside each text and summed before the shuffle.
+
+    Every text with a token opens with a row without a term; `_texts` counts them.
+    """
+    counted = df.select(analyzer("standard")(F.col(text_col)).alias("_words")).select(
+        term_frequencies(F.col("_words")).alias("_terms")
     )
-    return per_text.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("tf").alias("total_tf"))
+    itself = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).alias("tf")))
+    per_text = counted.select(F.inline_outer(F.concat(itself, F.col("_terms")))).filter("tf IS NOT NULL")
+    return per_text.groupBy("term").agg(*_sums(), F.count_if(F.col("term").isNull()).alias("_texts"))
 
 
-def field_statistics(df: DataFrame, text_col: str) -> DataFrame:
-    """One row: texts with a token, and the sums of distinct and of all tokens over them."""
-    words = df.select(analyzer("standard")(F.col(text_col)).alias("_words")).filter(F.size("_words") > 0)
-    return words.agg(
-        F.count(F.lit(1)).alias("doc_count"),
-        F.sum(F.size(F.array_distinct("_words"))).alias("sum_doc_freq"),
-        F.sum(F.size("_words")).alias("sum_total_tf"),
-    )
+def _sums() -> list[Column]:
+    return [F.count(F.lit(1)).alias("doc_freq"), F.sum(F.col("tf").cast("long")).alias("total_tf")]
 
 
 def _ids(id_cols: str | Sequence[str]) -> list[str]:

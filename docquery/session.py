@@ -1,4 +1,4 @@
-"""Session settings, size-checked broadcasts and lineage cuts."""
+"""Session settings, size-checked broadcasts and intermediate tables."""
 
 from __future__ import annotations
 
@@ -47,16 +47,14 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, named by `spark.checkpoint.dir`.
 
     Only where the session names none and runs on one machine (tests) is a
-    temporary folder made.
+    temporary folder made, once per session.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="docquery-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="docquery-"))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder
 
 
@@ -65,7 +63,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder and read it back from there, which survives the loss of executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` once as a table in the shared folder and read it back from there.
+
+    Used where a result is needed several times. The copy survives the loss of
+    executors, is columnar, and its size is known to the planner.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from docquery.operators.bulk import apply_bulk
 from docquery.operators.paging import with_position
-from docquery.session import bounded_broadcast, reliable_checkpoint
+from docquery.session import bounded_broadcast, materialize
 
 
 def write_routed(df: DataFrame, term: Column | str, name_fn: Callable[[Column], Column], path: str) -> None:
@@ -98,7 +98,7 @@ def rollover(
         return placed.withColumn("_index", _generation(name, generation)).drop("_position")
     aged = df.withColumn("_window", F.window(time, max_age).getField("start"))
     # One row per window that holds rows; written once, numbered and counted from there.
-    windows = reliable_checkpoint(aged.select("_window").distinct())
+    windows = materialize(aged.select("_window").distinct(), "windows")
     ranked = windows.withColumn("_generation", F.dense_rank().over(Window.orderBy("_window")))
     joined = aged.join(bounded_broadcast(ranked), "_window")
     return joined.withColumn("_index", _generation(name, F.col("_generation"))).drop("_window", "_generation")
