@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from docquery.model import build, leaves, quoted, source_type
 from docquery.sources.mapping import merge, reshape
 
-#: Length of the stretches the order is cut into when the log has one integer order column.
+#: Rows a chunk of the order should hold.
 CHUNK = 1 << 16
 
 KEYS = ("_index", "_id")
@@ -39,11 +39,13 @@ def apply_bulk(
 
     Outcomes are created, updated, conflict (a create of an existing id),
     missing (an update of an absent one), deleted and not_found. `chunk` must
-    not decrease along `order`; give one when the first order column is not a
-    dense integer, e.g. the hour of a timestamp.
+    not decrease along `order`. Without one the range of the first order column
+    is cut evenly, or, for an order such as (file, line), each file by its
+    lines; a log that comes in bursts can be given a dense order by
+    `paging.with_position` first.
     """
     log = _normal(log, order, default_index)
-    seen = _with_before(table, log, order, _chunk(log, order, chunk))
+    seen = _with_before(table, log, order, chunk if chunk is not None else even_chunks(log, order))
     return _state(table, seen, order, schema), _items(seen, order)
 
 
@@ -88,13 +90,19 @@ def _normal(log: DataFrame, order: Sequence[str], default_index: str | None) ->
     return log.withColumn("_id", F.coalesce(F.col("_id"), F.when(new, made), F.lit("")))
 
 
-def _chunk(log: DataFrame, order: Sequence[str], chunk: Column | None) -> Column:
-    if chunk is not None:
-        return chunk
-    last = log.schema[order[-1]].dataType
-    if not isinstance(last, (T.LongType, T.IntegerType)):
-        raise ValueError("give a chunk column for an order that does not end in an integer")
-    return F.struct(*[F.col(c) for c in order[:-1]], F.floor(F.col(order[-1]) / CHUNK).alias("part"))
+def even_chunks(log: DataFrame, order: Sequence[str], rows: int = CHUNK) -> Column:
+    """Stretches of the order that hold about `rows` rows each; the bounds come from one small aggregation."""
+    whole = (T.LongType, T.IntegerType)
+    first, last = order[0], order[-1]
+    if isinstance(log.schema[first].dataType, whole):
+        low, high, n = log.agg(F.min(first), F.max(first), F.count(F.lit(1))).first()
+        if not n:
+            return F.lit(0)
+        width = max(1, (high - low + 1) * rows // n)
+        return F.floor((F.col(first) - low) / width)
+    if isinstance(log.schema[last].dataType, whole):
+        return F.struct(*[F.col(c) for c in order[:-1]], F.floor(F.col(last) / rows).alias("part"))
+    raise ValueError("give a chunk column for an order without an integer column")
 
 
 def _stored(table: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from docquery.plans.inputs import (
     order_docs,
     users,
 )
-from docquery.session import new_folder
+from docquery.session import materialize, new_folder
 from docquery.sources.bulk_files import read_bulk, write_bulk
 from docquery.sources.layout import forcemerge
 
@@ -150,7 +150,7 @@ def _user_rows(df):
 
 
 def _applied(spark, sf):
-    return bulk.apply_bulk(users(spark, sf), action_log(spark, sf), ORDER, log_chunk())
+    return bulk.apply_bulk(users(spark, sf), action_log(spark, sf), ORDER)
 
 
 def bulk_apply_state(spark, sf):
@@ -190,11 +190,12 @@ def bulk_ndjson_roundtrip(spark, sf):
 
 
 def bulk_ndjson_apply(spark, sf):
-    """Bulk files applied by file and line; ids are text there."""
+    """Bulk files parsed once and applied by file and line; ids are text there."""
     path = new_folder(spark, "bulk")
     write_bulk(action_log(spark, sf), path, ORDER)
+    log = materialize(read_bulk(spark, path), "parsed")
     stored = users(spark, sf).withColumn("_id", F.col("_id").cast("string"))
-    state, _ = bulk.apply_bulk(stored, read_bulk(spark, path), ("file", "seq"))
+    state, _ = bulk.apply_bulk(stored, log, ("file", "seq"))
     return _user_rows(state).withColumn("_id", F.col("_id").cast("long"))
 
 

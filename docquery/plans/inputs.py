@@ -74,7 +74,8 @@ def action_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def log_chunk() -> Column:
-    return F.floor(F.col("at") / HOUR)
+    """The hour of an action."""
+    return F.expr(f"at div {HOUR}")
 
 
 LOG_SQL = """

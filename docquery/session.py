@@ -31,14 +31,15 @@ def get_session(app: str = "docquery", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when `df` has at most `max_rows` rows.
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Hint a broadcast when `df` has at most `max_rows` (else `BROADCAST_ROWS`) rows.
 
     The count stops at the limit, so it is meant for inputs that are cheap to
     read (a batch of ids, a query table). Beyond the bound no hint is given:
     Spark then shuffles both sides and adaptive execution splits hot keys.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    bound = BROADCAST_ROWS if max_rows is None else max_rows
+    if df.limit(bound + 1).count() <= bound:
         return F.broadcast(df)
     return df
 
