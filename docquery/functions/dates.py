@@ -44,7 +44,7 @@ def load_date(
 ) -> Column:
     """TIMESTAMP of a stored date, NULL when no format fits.
 
-    The `||`-separated formats are tried in order. `mode="reference"` accepts
+    The `||`-separated formats are tried in order. `mode="exact"` accepts
     only the fixed shapes above; the default mode also loads whole seconds
     under the optional-time formats.
     """
@@ -97,7 +97,7 @@ def _shapes(name: str, mode: str) -> list[tuple[int, str]]:
     shapes = []
     if name in DAY_FORMATS:
         shapes.append(DAY)
-    if name in SECOND_FORMATS or (mode != "reference" and name in OPTIONAL_TIME):
+    if name in SECOND_FORMATS or (mode != "exact" and name in OPTIONAL_TIME):
         shapes.append(SECOND)
     if name in MILLI_FORMATS:
         shapes.append(MILLI)

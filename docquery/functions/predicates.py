@@ -31,7 +31,7 @@ def match(col: Column | str, text: str, by: str | Analyzer = "standard") -> Colu
 def ids(df: DataFrame, values: Iterable | DataFrame) -> DataFrame:
     """Rows whose `_id` is listed. A short list is pushed to the scan, a table of ids is semi-joined."""
     if isinstance(values, DataFrame):
-        return df.join(bounded_broadcast(values.select("_id")), "_id", "left_semi")
+        return df.join(bounded_broadcast(values.select("_id").distinct()), "_id", "left_semi")
     return df.filter(F.col("_id").isin(list(values)))
 
 

@@ -55,7 +55,7 @@ def get(table: DataFrame, key) -> DataFrame:
 
 def delete(table: DataFrame, ids: DataFrame) -> DataFrame:
     """The table without the documents of a set of ids."""
-    return table.join(ids.select("_id"), "_id", "left_anti").select(table.columns)
+    return table.join(ids.select("_id").distinct(), "_id", "left_anti").select(table.columns)
 
 
 def exists(table: DataFrame, ids: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def exists(table: DataFrame, ids: DataFrame) -> DataFrame:
 
 def get_source(table: DataFrame, ids: DataFrame | object) -> DataFrame:
     """The documents of some ids without metadata."""
-    found = table.join(ids.select("_id"), "_id", "left_semi") if isinstance(ids, DataFrame) else get(table, ids)
+    found = table.join(ids.select("_id").distinct(), "_id", "left_semi") if isinstance(ids, DataFrame) else get(table, ids)
     return found.select("_source.*")
 
 
@@ -116,7 +116,7 @@ def mget(table: DataFrame, requests: DataFrame) -> DataFrame:
     """
     keys = ["_index", "_id"] if "_index" in requests.columns else ["_id"]
     # Only the requested documents are carried into the join that keeps absent ones.
-    wanted = table.join(requests.select(*keys), keys, "left_semi").select(*keys, "_source", F.lit(True).alias("found"))
+    wanted = table.join(requests.select(*keys).distinct(), keys, "left_semi").select(*keys, "_source", F.lit(True).alias("found"))
     joined = requests.join(wanted, keys, "left")
     return joined.select("pos", *keys, F.coalesce("found", F.lit(False)).alias("found"), "_source")
 
@@ -140,7 +140,7 @@ def _changed(df: DataFrame, hit: Column, changes: Mapping[str, Column]) -> DataF
 
 
 def _flagged(table: DataFrame, ids: DataFrame) -> DataFrame:
-    asked = ids.select("_id")
+    asked = ids.select("_id").distinct()
     found = table.select("_id").join(asked, "_id", "left_semi").distinct().withColumn("_found", F.lit(True))
     return ids.join(found, "_id", "left").withColumn("exists", F.col("_found").isNotNull()).drop("_found")
 

@@ -219,7 +219,7 @@ def _postings(docs: DataFrame, text_col: str, by: str | Analyzer, vocabulary: Da
     Each document also has one row with a NULL term, which stands for the
     document itself in the totals.
     """
-    known = bounded_broadcast(vocabulary.withColumn("_known", F.lit(True)))
+    known = bounded_broadcast(vocabulary.select(F.col("term").alias("_key"), F.lit(True).alias("_known")))
     counted = _with_index(docs).select("_index", "_id", analyzer(by)(F.col(text_col)).alias("_words")).select(
         "_index", "_id", F.size("_words").alias("_length"), term_frequencies(F.col("_words")).alias("_terms")
     )
@@ -229,7 +229,10 @@ def _postings(docs: DataFrame, text_col: str, by: str | Analyzer, vocabulary: Da
     exploded = counted.select("_index", "_id", "_length", entries.alias("_entries")).select(
         "_index", "_id", "_length", F.inline_outer("_entries")
     )
-    return exploded.join(known, "term", "left").filter("_known OR term IS NULL").drop("_known")
+    # No token holds a space, so these keys match nothing, and NULL terms do not pile up in one task.
+    key = F.coalesce("term", F.concat(F.lit(" "), F.col("_id").cast("string")))
+    joined = exploded.withColumn("_key", key).join(known, "_key", "left")
+    return joined.filter("_known OR term IS NULL").drop("_key", "_known")
 
 
 def _weights(postings: DataFrame, asked: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docquery.functions.text import STARTS_WITH_WORD, analyzer, runs, term_frequencies
-from docquery.session import bounded_broadcast, materialize
+from docquery.session import join_statistics, materialize
 
 
 
@@ -64,9 +64,9 @@ def termvectors(
             F.col("_places.end_offset").alias("end_offsets"),
         )
     )
+    # Written once; for a whole table the statistics come from the vectors, not from analyzing all texts again.
+    vectors = materialize(vectors, "vectors")
     if requests is None:
-        # Written once: the statistics come from the vectors instead of from analyzing all texts again.
-        vectors = materialize(vectors, "vectors")
         opening = F.count_if(F.get("positions", F.lit(0)) == 0)
         terms = vectors.groupBy("term").agg(*_sums(), opening.alias("_texts"))
     else:
@@ -77,8 +77,7 @@ def termvectors(
         F.sum(F.when(F.col("term").isNotNull(), F.col("doc_freq"))).alias("sum_doc_freq"),
         F.sum("total_tf").alias("sum_total_tf"),
     ).first()
-    # A vocabulary beyond the bound is shuffled, and adaptive execution splits the share of a frequent term.
-    joined = vectors.join(bounded_broadcast(terms.filter("term IS NOT NULL").drop("_texts")), "term")
+    joined = join_statistics(vectors, terms.filter("term IS NOT NULL").drop("_texts"), "term", "doc_freq")
     return joined.select(
         *ids,
         "term",

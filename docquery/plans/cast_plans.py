@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docquery.functions.registry import BUILT_IN, CastRegistry, FieldCast
 from docquery.functions.shapes import dump_binary
 from docquery.functions.stored import as_long
 from docquery.model import source
 from docquery.operators import codec
-from docquery.plans.inputs import flat, micros
+from docquery.plans.inputs import texts
 
 DATE = {"type": "date"}
 OPTIONAL = {"type": "date", "format": "strict_date_optional_time"}
@@ -29,7 +28,7 @@ def _stored_dates(spark, sf):
     """An order date in seven stored forms, by turns: four shapes, two that never load, and NULL."""
     date = F.col("o_orderdate")
     turn = F.col("o_orderkey") % 7
-    return flat(spark, sf, "orders").select(
+    return texts(spark, sf, "orders").select(
         F.col("o_orderkey").alias("_id"),
         F.when(turn == 0, F.date_format(date, "yyyy-MM-dd"))
         .when(turn == 1, F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
@@ -47,7 +46,7 @@ def cast_date(spark, sf):
     )
     mapping = _mapping(
         plain=DATE,
-        exact={**DATE, "mode": "reference"},
+        exact={**DATE, "mode": "exact"},
         second={"type": "date", "format": "strict_date_time_no_millis||strict_date"},
         nanos={"type": "date_nanos", "format": "date_optional_time||strict_date_optional_time_nanos"},
     )
@@ -69,7 +68,7 @@ def cast_date_epoch(spark, sf):
         .when(turn == 2, F.concat(F.lit('{"at": "'), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), F.lit('"}')))
         .otherwise('{"at": 1.5}')
     )
-    docs = flat(spark, sf, "events").select(F.col("event_id").alias("_id"), F.parse_json(body).alias("_source"))
+    docs = texts(spark, sf, "events").select(F.col("event_id").alias("_id"), F.parse_json(body).alias("_source"))
     out = codec.decode(docs, _mapping(at=DATE))
     return out.select("_id", _us(source("at")).alias("at"), source("at__raw").alias("raw"))
 
@@ -85,7 +84,7 @@ def dump_date(spark, sf):
         "epoch_s": "epoch_second||strict_date",
         "unsuited": "strict_date",
     }
-    typed = flat(spark, sf, "events").select(
+    typed = texts(spark, sf, "events").select(
         F.col("event_id").alias("_id"), *[ts.alias(n) for n in formats], ts.cast("date").alias("day")
     )
     fields = {n: {"type": "date", "format": f} for n, f in formats.items()}
@@ -102,7 +101,7 @@ def _stored_ips(spark, sf):
     md5 = F.md5(e.cast("string"))
     v6 = F.concat_ws(":", *[F.substring(md5, 4 * i + 1, 4) for i in range(8)])
     short = F.concat(F.lit("FE80::"), F.lower(F.hex(e % 65535 + 1)))
-    return flat(spark, sf, "events").select(
+    return texts(spark, sf, "events").select(
         e.alias("_id"),
         F.when(turn == 0, v4)
         .when(turn == 1, F.concat(v4, F.lit("0")))
@@ -126,7 +125,7 @@ def cast_ip(spark, sf):
 def cast_binary(spark, sf):
     """Whole texts as Base64; every third one is stored as plain text and does not load."""
     stored = F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(dump_binary(F.col("text").cast("binary")))
-    docs = flat(spark, sf, "documents").select(F.col("doc_id").alias("_id"), stored.alias("body"))
+    docs = texts(spark, sf, "documents").select(F.col("doc_id").alias("_id"), stored.alias("body"))
     out = codec.decode(docs, _mapping(body={"type": "binary"}))
     again = codec.encode(out, _mapping(body={"type": "binary"}))
     return out.select("_id", F.md5("body").alias("loaded"), F.md5("body__raw").alias("raw")).join(
@@ -140,7 +139,7 @@ def _json_docs(spark, sf, *turns):
     for n, text in enumerate(turns):
         body = F.when(F.col("event_id") % len(turns) == n, text).otherwise(body)
     document = F.concat(F.lit('{"f": '), body, F.lit("}"))
-    return flat(spark, sf, "events").select(F.col("event_id").alias("_id"), F.parse_json(document).alias("_source"))
+    return texts(spark, sf, "events").select(F.col("event_id").alias("_id"), F.parse_json(document).alias("_source"))
 
 
 def _text(*parts):
@@ -179,7 +178,7 @@ def cast_date_range(spark, sf):
     turn = F.col("o_orderkey") % 3
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     last = F.when(turn == 0, F.date_format(F.date_add("o_orderdate", 30), "yyyy-MM-dd")).when(turn == 1, "soon")
-    docs = flat(spark, sf, "orders").select(
+    docs = texts(spark, sf, "orders").select(
         F.col("o_orderkey").alias("_id"), F.struct(F.struct(day.alias("gte"), last.alias("lte")).alias("f")).alias("_source")
     )
     mapping = _mapping(f={"type": "date_range", "format": "strict_date"})
@@ -203,7 +202,7 @@ def _nested(spark, sf):
         F.array(date, F.col("o_orderstatus")).alias("dates"),
         F.struct(ip.alias("ip"), F.array(visit, visit).alias("visits")).alias("customer"),
     )
-    return flat(spark, sf, "orders").select(F.lit("orders").alias("_index"), F.col("o_orderkey").alias("_id"), body.alias("_source"))
+    return texts(spark, sf, "orders").select(F.lit("orders").alias("_index"), F.col("o_orderkey").alias("_id"), body.alias("_source"))
 
 
 NESTED = _mapping(
@@ -253,12 +252,12 @@ def found_documents(spark, sf):
 
 def _posts_and_comments(spark, sf):
     """Two indices with the same fields: only posts map `at`, only comments map `ip`."""
-    posts = flat(spark, sf, "orders").select(
+    posts = texts(spark, sf, "orders").select(
         F.lit("posts").alias("_index"),
         F.col("o_orderkey").alias("_id"),
         F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("at"), F.lit("10.1.2.3").alias("ip")).alias("_source"),
     )
-    comments = flat(spark, sf, "customer").select(
+    comments = texts(spark, sf, "customer").select(
         F.lit("comments").alias("_index"),
         F.col("c_custkey").alias("_id"),
         F.struct(F.lit("2024-01-01").alias("at"), F.concat(F.lit("::"), F.hex(F.col("c_custkey") % 60000 + 1)).alias("ip")).alias("_source"),
@@ -281,7 +280,7 @@ def decode_mixed(spark, sf):
 def encode_log(spark, sf):
     """Typed payloads of an action log; purchases name their own index, whose mapping has no date."""
     kind = F.col("event_type")
-    log = flat(spark, sf, "events").select(
+    log = texts(spark, sf, "events").select(
         F.col("event_id").alias("seq"),
         F.when(kind == "error", "delete").when(kind.isin("view", "click"), "update").otherwise("index").alias("action"),
         F.when(kind == "purchase", "comments").alias("_index"),
@@ -321,7 +320,7 @@ def strip_blank(spark, sf):
         F.struct(word.alias("note"), F.struct(word.alias("deep")).alias("inner")).alias("meta"),
         F.lit(0).alias("zero"),
     )
-    docs = flat(spark, sf, "events").select(F.col("event_id").alias("_id"), body.alias("_source"))
+    docs = texts(spark, sf, "events").select(F.col("event_id").alias("_id"), body.alias("_source"))
     return codec.strip_blank(docs).select("_id", F.to_json("_source").alias("json"))
 
 
@@ -339,7 +338,7 @@ def custom_cast(spark, sf):
     )
     casts = CastRegistry([scaled], inherit=BUILT_IN)
     mapping = _mapping(price={"type": "scaled_float", "scaling_factor": 100}, at=DATE)
-    docs = flat(spark, sf, "orders").select(
+    docs = texts(spark, sf, "orders").select(
         F.col("o_orderkey").alias("_id"),
         F.round(F.col("o_totalprice") * 100).cast("long").alias("price"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("at"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docquery.model import as_documents
 from docquery.sources.scan import scan, spread
 
 IDS = {
@@ -34,7 +35,16 @@ def docs(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def flat(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf}/{name}.parquet"))
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def texts(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table to be analyzed, spread over all cores however few splits it comes in."""
+    return spread(flat(spark, sf, name))
+
+
+def text_docs(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return as_documents(texts(spark, sf, name), name, IDS[name])
 
 
 def micros(ntz: Column) -> Column:

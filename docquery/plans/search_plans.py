@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docquery.functions.predicates import ids, index_filter, match, match_all, source_filter, term
 from docquery.functions.text import tokens
 from docquery.model import source
 from docquery.operators import evaluate, paging, search, templates, text_analysis, tiles
 from docquery.operators.profile import field_caps
-from docquery.plans.inputs import docs, flat
+from docquery.plans.inputs import docs, flat, text_docs, texts
 
 QUERY = "that river and the onesen"
 EXPLAIN = "the and que onesen"
@@ -30,18 +29,18 @@ def _terms(text: str) -> str:
 
 
 def search_bm25(spark, sf):
-    hits = search.search(docs(spark, sf, "documents"), "_source.text", QUERY)
+    hits = search.search(text_docs(spark, sf, "documents"), "_source.text", QUERY)
     return hits.select("_index", "_id", "_score", source("lang").alias("lang"))
 
 
 def search_filtered(spark, sf):
     where = term(source("lang"), "en") & (source("n_chars") > 500)
-    return search.search(docs(spark, sf, "documents"), "_source.text", QUERY, where, size=20).select("_id", "_score")
+    return search.search(text_docs(spark, sf, "documents"), "_source.text", QUERY, where, size=20).select("_id", "_score")
 
 
 def msearch_benchmark(spark, sf):
     queries = flat(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    return search.msearch(docs(spark, sf, "documents"), "_source.text", queries).select(
+    return search.msearch(text_docs(spark, sf, "documents"), "_source.text", queries).select(
         "query_id", "_rank", "_id", "_score"
     )
 
@@ -49,8 +48,8 @@ def msearch_benchmark(spark, sf):
 def msearch_two_indices(spark, sf):
     """Odd items ask the conversations, even ones both indices."""
     both = (
-        docs(spark, sf, "documents").select("_index", F.col("_id").cast("string").alias("_id"), source("text").alias("text"))
-        .unionByName(docs(spark, sf, "conversations").select("_index", "_id", source("text").alias("text")))
+        text_docs(spark, sf, "documents").select("_index", F.col("_id").cast("string").alias("_id"), source("text").alias("text"))
+        .unionByName(text_docs(spark, sf, "conversations").select("_index", "_id", source("text").alias("text")))
     )
     queries = flat(spark, sf, "benchmark").select(
         F.col("item_id").alias("query_id"),
@@ -62,7 +61,7 @@ def msearch_two_indices(spark, sf):
 
 def explain_terms(spark, sf):
     return search.explain(
-        docs(spark, sf, "documents"), "_source.text", EXPLAIN, flat(spark, sf, "labels").select(F.col("doc_id").alias("_id"))
+        text_docs(spark, sf, "documents"), "_source.text", EXPLAIN, flat(spark, sf, "labels").select(F.col("doc_id").alias("_id"))
     )
 
 
@@ -71,11 +70,11 @@ def count_term(spark, sf):
 
 
 def count_match(spark, sf):
-    return search.count(docs(spark, sf, "documents"), match(source("text"), "river onesen que") & match_all())
+    return search.count(text_docs(spark, sf, "documents"), match(source("text"), "river onesen que") & match_all())
 
 
 def terms_enum_prefix(spark, sf):
-    return search.terms_enum(docs(spark, sf, "documents"), tokens(source("text")), "on", 20)
+    return search.terms_enum(text_docs(spark, sf, "documents"), tokens(source("text")), "on", 20)
 
 
 def terms_enum_part(spark, sf):
@@ -166,11 +165,11 @@ def field_caps_all(spark, sf):
 
 
 def analyze_tokens(spark, sf):
-    return text_analysis.analyze(flat(spark, sf, "documents"), "doc_id", "text")
+    return text_analysis.analyze(texts(spark, sf, "documents"), "doc_id", "text")
 
 
 def analyze_conversations(spark, sf):
-    return text_analysis.analyze(flat(spark, sf, "conversations"), ["conv_id", "turn"], "text")
+    return text_analysis.analyze(texts(spark, sf, "conversations"), ["conv_id", "turn"], "text")
 
 
 def _joined(df):
@@ -180,13 +179,13 @@ def _joined(df):
 
 
 def termvectors(spark, sf):
-    return _joined(text_analysis.termvectors(flat(spark, sf, "documents"), "doc_id", "text"))
+    return _joined(text_analysis.termvectors(texts(spark, sf, "documents"), "doc_id", "text"))
 
 
 def mtermvectors(spark, sf):
     """Vectors of the labelled documents; the statistics are those of all documents."""
     asked = flat(spark, sf, "labels").select("doc_id")
-    tables = {"documents": flat(spark, sf, "documents")}
+    tables = {"documents": texts(spark, sf, "documents")}
     return _joined(text_analysis.mtermvectors(tables, "doc_id", "text", asked, "documents")).drop("end_offsets")
 
 

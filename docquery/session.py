@@ -44,6 +44,25 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return df
 
 
+def join_statistics(rows: DataFrame, statistics: DataFrame, key: str, count: str) -> DataFrame:
+    """Join rows to a table with one row per key that also tells, as `count`, how many rows the key has.
+
+    A small table is broadcast whole. Of a large one only the keys above an even
+    share are, and there can be no more than `BROADCAST_ROWS` of those; the rows
+    of all other keys are shuffled, where none of them is large. Both inputs
+    should be tables that were written, since they are read several times.
+    """
+    if statistics.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(statistics), key)
+    total = statistics.agg(F.sum(count)).first()[0]
+    share = total // max(BROADCAST_ROWS, 1)
+    hot = statistics.filter(F.col(count) > share)
+    cold = statistics.filter(F.col(count) <= share)
+    frequent = rows.join(F.broadcast(hot), key)
+    others = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    return frequent.unionByName(others)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, named by `spark.checkpoint.dir`.
 

@@ -21,7 +21,7 @@ def scan(spark: SparkSession, index: str, id_col: str | list[str] = "_id", name:
     """
     if not index:
         raise ValueError("an index is required")
-    df = spread(spark.read.parquet(index) if "/" in index else spark.table(f"`{index}`"))
+    df = spark.read.parquet(index) if "/" in index else spark.table(f"`{index}`")
     name = name or posixpath.basename(index.rstrip("/")).removesuffix(".parquet")
     if "_source" in df.columns:
         return df if "_index" in df.columns else df.withColumn("_index", F.lit(name))
@@ -31,7 +31,8 @@ def scan(spark: SparkSession, index: str, id_col: str | list[str] = "_id", name:
 def spread(df: DataFrame) -> DataFrame:
     """Use every core for a freshly read table that comes in fewer splits than there are cores.
 
-    A large table has more splits than that and is left alone.
+    For work that is dear per row, such as analyzing text. A large table has
+    more splits than that and is left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -128,7 +128,7 @@ def read_sequentially(lines: list[str], default=None):
 
 
 ROLES = ['{"index":{}}', '{"delete":{"x":1}}', '{"delete":{}}', '{"delete":{}}', '{"update":{}}', '{"doc":{}}', '{"create":{}}', '{"p":1}']
-REFERENCE = [
+MIXED = [
     '{"index":{"_id":"1"}}', '{"published_at":"2026-08-11"}', '{"delete":{"_id":"2"}}', '{"update":{"_id":"3"}}',
     '{"doc":{"published_at":"2026-08-11"}}', "", '{"index":{"_id":"1","_index":"comments"}}', '{"ip":"127.0.0.1"}',
     '{"_id":"9","_index":"own"}', '{"delete":{"index":"no header"}}', '{"delete":"text"}', '{"delete":{"_id":"7"}}',
@@ -148,7 +148,7 @@ def as_read(entries):
     return [(n, a, i, None if k is None else str(k), d) for n, a, i, k, d in entries]
 
 
-@pytest.mark.parametrize("lines", [ROLES, REFERENCE])
+@pytest.mark.parametrize("lines", [ROLES, MIXED])
 def test_line_roles(spark, tmp_path, lines):
     (tmp_path / "a.ndjson").write_text("\n".join(lines) + "\n")
     assert parsed(spark, tmp_path, "posts") == as_read(read_sequentially(lines, "posts"))

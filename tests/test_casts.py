@@ -47,9 +47,9 @@ def test_load_date(spark, text, format, expected):
     assert loaded_date(spark, text, format) == expected
 
 
-def test_whole_seconds_load_by_default_but_not_in_reference_mode(spark):
+def test_whole_seconds_load_by_default_but_not_in_exact_mode(spark):
     assert loaded_date(spark, "2026-08-11T00:00:00Z") == "2026-08-11T00:00:00.000000"
-    assert loaded_date(spark, "2026-08-11T00:00:00Z", mode="reference") is None
+    assert loaded_date(spark, "2026-08-11T00:00:00Z", mode="exact") is None
 
 
 @pytest.mark.parametrize(

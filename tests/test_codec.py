@@ -4,7 +4,6 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docquery.functions.registry import BUILT_IN, CastRegistry, FieldCast
 from docquery.operators import codec

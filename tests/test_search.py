@@ -122,7 +122,7 @@ def test_analyze_offsets(spark):
     assert out == sorted(expected)
 
 
-@pytest.mark.parametrize("bound", [500_000, 0])
+@pytest.mark.parametrize("bound", [500_000, 3, 0])
 def test_termvectors_equal_brute_force(spark, monkeypatch, bound):
     monkeypatch.setattr(session, "BROADCAST_ROWS", bound)
     df = spark.createDataFrame(list(TEXTS.items()), "id string, t string")
