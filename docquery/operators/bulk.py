@@ -45,6 +45,8 @@ def apply_bulk(
     `paging.with_position` first.
     """
     log = _normal(log, order, default_index)
+    if table is not None and table.schema["_id"].dataType != log.schema["_id"].dataType:
+        raise ValueError("the ids of the table and of the log have different types")
     seen = _with_before(table, log, order, chunk if chunk is not None else even_chunks(log, order))
     return _state(table, seen, order, schema), _items(seen, order)
 

@@ -92,12 +92,24 @@ def _decode_field(col: Column, dtype: T.DataType, name: str, entries: Entries, c
     if isinstance(dtype, T.ArrayType):
         element = dtype.elementType
         raw = F.transform(col, lambda x: _raw(x, element, _typed(x, element, name, values, casts)))
+        if _is_set(values):
+            typed = {label: _as_set(value) for label, value in typed.items()}
+            raw = _as_set(raw)
         raw = F.when(F.exists(raw, lambda r: r.isNotNull()), raw)
     else:
         raw = _raw(col, dtype, typed)
     return [*[value.alias(label) for label, value in typed.items()], raw.alias(name + RAW)]
 
 
+def _is_set(entries: Entries) -> bool:
+    """Mapping entries with `"set": True` hold lists whose order and repeats mean nothing."""
+    return all(field.get("set") for field in entries.values())
+
+
+def _as_set(values: Column) -> Column:
+    return F.array_distinct(F.filter(values, lambda v: v.isNotNull()))
+
+
 def _decode_object(col: Column, dtype: T.StructType, entries: Entries, casts: CastRegistry) -> Column:
     fields = _decode_fields(lambda n: col.getField(n), dtype, entries, casts)
     return F.when(col.isNotNull(), F.struct(*fields))
@@ -227,6 +239,9 @@ def _encode_fields(get: Callable[[str], Column], struct: T.StructType, entries:
 def _encode_field(col: Column, dtype: T.DataType, raw: Column | None, own: Entries, values: Entries, casts: CastRegistry):
     if values and isinstance(dtype, T.ArrayType):
         element = dtype.elementType
+        if _is_set(values):
+            dumped = F.transform(col, lambda x: _dumped(x, element, values, casts))
+            return _as_set(dumped if raw is None else F.concat(dumped, F.coalesce(raw, F.array().cast("array<string>"))))
         if raw is None:
             return F.transform(col, lambda x: _dumped(x, element, values, casts))
         raws = F.coalesce(raw, F.transform(col, lambda x: null("string")))

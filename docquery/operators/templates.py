@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 from docquery.session import bounded_broadcast
 
 
-def search_template(spark: SparkSession, sql: str, params: Mapping | None = None) -> DataFrame:
-    """Run a query with named parameters (`:name`) over the session's tables and views."""
-    return spark.sql(sql, args=dict(params or {}))
+def search_template(
+    spark: SparkSession, template: str, params: Mapping | None = None, stored: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Run a query with named parameters (`:name`) over the session's tables and views.
+
+    `template` is the query itself, or the name of one in `stored`.
+    """
+    return spark.sql((stored or {}).get(template, template), args=dict(params or {}))
 
 
 def msearch_template(
@@ -35,7 +40,7 @@ def msearch_template(
     condition = F.lit(True) if where is None else where
     for column, parameter in equal.items():
         condition = condition & (F.col(column) == F.col(parameter))
-    hits = df.join(bounded_broadcast(params), condition)
+    hits = df.join(bounded_broadcast(params, 100_000), condition)
     if size is None:
         return hits
     best = Window.partitionBy("query_id").orderBy(*sort)

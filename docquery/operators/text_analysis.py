@@ -16,7 +16,6 @@ from docquery.functions.text import STARTS_WITH_WORD, analyzer, runs, term_frequ
 from docquery.session import join_statistics, materialize
 
 
-
 def analyze(df: DataFrame, id_cols: str | Sequence[str], text_col: str, by: str = "standard") -> DataFrame:
     """One row per token: id, `position`, `token`, `start_offset`, `end_offset` (in characters of the text)."""
     if by != "standard":

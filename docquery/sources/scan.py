@@ -39,9 +39,10 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def scan_many(
-    spark: SparkSession, indices: str | Sequence[str], id_col: str | list[str] = "_id"
+    spark: SparkSession, indices: str | Sequence[str] | None = None, id_col: str | list[str] = "_id"
 ) -> DataFrame:
-    """Union of several indices; a string with `*` selects the tables of the catalog it matches."""
+    """Union of several indices; a string with `*` selects the tables of the catalog it matches, none means all."""
+    indices = "*" if indices is None else indices
     if isinstance(indices, str):
         names = [t.name for t in spark.catalog.listTables(pattern=indices)] if "*" in indices else indices.split(",")
     else:

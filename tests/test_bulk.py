@@ -100,6 +100,13 @@ def test_nested_fields_merge(spark):
     assert state.first()["_source"].asDict(True) == {"o": {"p": 1, "q": 3}}
 
 
+def test_ids_must_have_one_type(spark):
+    log = spark.createDataFrame([(1, "index", 5, (1,))], "seq bigint, action string, _id int, doc struct<a:int>")
+    table = spark.createDataFrame([("", "5", (1,))], "_index string, _id string, _source struct<a:int>")
+    with pytest.raises(ValueError):
+        bulk.apply_bulk(table, log)
+
+
 def test_an_order_without_integers_needs_chunks(spark):
     log = spark.createDataFrame([("a", "index", "x", (1,))], "at string, action string, _id string, doc struct<a:int>")
     with pytest.raises(ValueError):

@@ -169,3 +169,23 @@ def test_user_cast_by_pandas_udf(docs):
     casts = CastRegistry([FieldCast({"type": "half"}, lambda c, t, f: halved(c), lambda c, t, f: c * 2, lambda f, t: False)], inherit=BUILT_IN)
     out = codec.decode(docs({"1": (5.0,)}, "v double"), {"properties": {"v": {"type": "half"}}}, casts)
     assert out.select("_source.v").first()[0] == 2.5
+
+
+def test_sets_hold_each_value_once(docs):
+    mapping = {"properties": {"ips": {"type": "ip", "set": True}}}
+    df = docs({"1": (["::1", "0:0::1", "host", "host", "127.0.0.1"],), "2": (["::1"],)}, "ips array<string>")
+    decoded = codec.decode(df, mapping)
+    out = {r["_id"]: r["_source"] for r in decoded.collect()}
+    assert len(out["1"].ips) == 2 and out["1"]["ips__raw"] == ["host"] and out["2"]["ips__raw"] is None
+    again = {r["_id"]: r["_source"].ips for r in codec.encode(decoded, mapping).collect()}
+    assert again == {"1": ["::1", "127.0.0.1", "host"], "2": ["::1"]}
+
+
+def test_lists_keep_every_place(docs):
+    mapping = {"properties": {"ips": {"type": "ip"}}}
+    df = docs({"1": (["::1", "host", None, "::1"],), "2": (None,)}, "ips array<string>")
+    decoded = codec.decode(df, mapping)
+    raw = {r["_id"]: r["_source"]["ips__raw"] for r in decoded.collect()}
+    assert raw == {"1": [None, "host", None, None], "2": None}
+    again = {r["_id"]: r["_source"].ips for r in codec.encode(decoded, mapping).collect()}
+    assert again == {"1": ["::1", "host", None, "::1"], "2": None}

@@ -196,7 +196,9 @@ def test_rank_eval_metrics(spark):
 
 def test_templates(spark):
     spark.range(10).createOrReplaceTempView("docquery_ten")
-    assert templates.search_template(spark, "SELECT count(*) AS n FROM docquery_ten WHERE id < :q", {"q": 4}).first().n == 4
+    query = "SELECT count(*) AS n FROM docquery_ten WHERE id < :q"
+    assert templates.search_template(spark, query, {"q": 4}).first().n == 4
+    assert templates.search_template(spark, "few", {"q": 2}, stored={"few": query}).first().n == 2
     df = spark.range(20).select((F.col("id") % 3).alias("g"), "id")
     params = spark.createDataFrame([(1, 0, 5), (2, 1, 100)], "query_id int, p int, low int")
     out = templates.msearch_template(df, params, {"g": "p"}, F.col("id") > F.col("low"), 2, [F.col("id")])
