@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docquery.functions.predicates import selected
+from docquery.functions.shards import shard_of
 from docquery.model import build, leaves, quoted, source_type
 from docquery.operators.bulk import present, typed_doc
 
@@ -48,9 +49,14 @@ def create(table: DataFrame, docs: DataFrame, order: str) -> tuple[DataFrame, Da
     return table.unionByName(inserted.select(table.columns)), conflicts
 
 
-def get(table: DataFrame, key) -> DataFrame:
-    """The document with an id; the filter reaches the scan."""
-    return table.filter(F.col("_id") == F.lit(key))
+def get(table: DataFrame, key, shards: int | None = None) -> DataFrame:
+    """The document with an id; the filter reaches the scan.
+
+    With the number of `shards` of a table written by `layout.split` or
+    `layout.shrink`, only the folder of the document's shard is read.
+    """
+    found = table.filter(F.col("_id") == F.lit(key))
+    return found if shards is None else found.filter(F.col("_shard") == shard_of(F.lit(key), shards))
 
 
 def delete(table: DataFrame, ids: DataFrame) -> DataFrame:

@@ -23,10 +23,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docquery.functions.text import Analyzer, analyzer, each, query_terms, term_count, term_frequencies
+from docquery.model import without
 from docquery.session import bounded_broadcast, materialize
 
 K1, B = 1.2, 0.75
 
+#: Most hits one search ranks and returns.
+MAX_SIZE = 10_000
+
 
 def search(
     df: DataFrame,
@@ -42,31 +46,30 @@ def search(
     `sort` replaces the order by score with `(column, descending)` pairs; ties
     go to the lower `_id`. Nothing is shuffled: counting is one projection, the
     statistics one aggregation, the ranking a top-k, after which the documents
-    of the `size` winners are fetched by a filter on their ids.
+    of the `size` winners are fetched by a filter on their ids. For results too
+    long to be ranked in one place, page through `scores`.
     """
-    terms = query_terms(text, by, df.sparkSession)
-    wanted = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    if size > MAX_SIZE:
+        raise ValueError(f"search returns at most {MAX_SIZE} hits; page through scores() for more")
     keys = list(sort or [])
-    extra = [wanted.alias("_wanted"), *[col.alias(f"_key{n}") for n, (col, _) in enumerate(keys)]]
-    counts = _counts(df, analyzer(by)(F.col(text_col)), terms, extra)
-    stats = _statistics(counts, len(terms))
     order = [F.desc(f"_key{n}") if down else F.asc(f"_key{n}") for n, (_, down) in enumerate(keys)]
-    top = (
-        counts.filter(F.col("_wanted") & F.exists("_tf", lambda n: n > 0))
-        .withColumn("_score", F.round(_score(stats), 6))
-        .orderBy(*(order or [F.desc("_score")]), "_id")
-        .limit(size)
-        .select("_index", "_id", "_score", *[f"_key{n}" for n in range(len(keys))])
-    )
+    order = [*(order or [F.desc("_score")]), F.col("_id")]
+    scored = _scored(df, text_col, text, where, [col.alias(f"_key{n}") for n, (col, _) in enumerate(keys)], by)
+    top = scored.orderBy(*order).limit(size)
     # At most `size` rows: the answer itself.
     hits = df.sparkSession.createDataFrame(top.collect(), top.schema)
-    found = _with_index(df).filter(F.col("_id").isin([row["_id"] for row in hits.select("_id").collect()]))
-    joined = found.join(F.broadcast(hits), (found["_id"] == hits["_id"]) & found["_index"].eqNullSafe(hits["_index"]))
-    return (
-        joined.orderBy(*(order or [F.desc("_score")]), hits["_id"])
-        .select(found["_index"], found["_id"], "_score", "_source")
-        .limit(size)
-    )
+    winners = hits.select(F.col("_id").alias("_hit"), F.col("_index").alias("_hit_index"), *without(hits, "_id", "_index"))
+    found = _with_index(df).filter(F.col("_id").isin([row["_hit"] for row in winners.select("_hit").collect()]))
+    same = (F.col("_id") == F.col("_hit")) & F.col("_index").eqNullSafe(F.col("_hit_index"))
+    joined = found.join(F.broadcast(winners), same)
+    return joined.orderBy(*order).limit(size).select("_index", "_id", "_score", "_source")
+
+
+def scores(
+    df: DataFrame, text_col: str, text: str, where: Column | None = None, by: str | Analyzer = "standard"
+) -> DataFrame:
+    """`(_index, _id, _score)` of every match, in no order; for `paging.page` and `paging.number_pages`."""
+    return _scored(df, text_col, text, where, [], by)
 
 
 def count(df: DataFrame, where: Column | None = None) -> DataFrame:
@@ -167,6 +170,17 @@ def terms_enum(df: DataFrame, terms: Column, prefix: str, size: int = 10, ignore
 # -- scoring --------------------------------------------------------------------------------------
 
 
+def _scored(
+    df: DataFrame, text_col: str, text: str, where: Column | None, extra: Sequence[Column], by: str | Analyzer
+) -> DataFrame:
+    terms = query_terms(text, by, df.sparkSession)
+    wanted = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    counts = _counts(df, analyzer(by)(F.col(text_col)), terms, [wanted.alias("_wanted"), *extra])
+    stats = _statistics(counts, len(terms))
+    matching = counts.filter(F.col("_wanted") & F.exists("_tf", lambda n: n > 0))
+    return matching.withColumn("_score", F.round(_score(stats), 6)).drop("_wanted", "_length", "_tf")
+
+
 def _with_index(df: DataFrame) -> DataFrame:
     return df if "_index" in df.columns else df.withColumn("_index", F.lit(None).cast("string"))
 

@@ -117,13 +117,8 @@ def write_bulk(log: DataFrame, path: str, order: tuple[str, ...] = ("seq",)) ->
     payload = F.when(F.col("action") == "update", F.concat(F.lit('{"doc":'), body, F.lit("}"))).otherwise(body)
     both = F.when(F.col("action") == "delete", header).otherwise(F.concat_ws("\n", header, payload))
     # An action is one row, so its two lines always stay together.
-    (
-        log.select(*order, both.alias("value"))
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .select("value")
-        .write.text(path)
-    )
+    ordered = log.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.select(both.alias("value")).write.text(path)
 
 
 def document_json(log: DataFrame) -> Column:

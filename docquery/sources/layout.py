@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docquery.functions.shards import shard_of
 from docquery.operators.bulk import apply_bulk
 from docquery.operators.paging import with_position
 from docquery.session import bounded_broadcast, materialize
@@ -32,8 +33,9 @@ def reindex(
 ) -> DataFrame:
     """Copy the documents `query` selects, transformed, into a new index at `path`."""
     df = source if query is None else source.filter(query)
-    df = transform(df) if transform else df
-    df.withColumn("_index", F.lit(index)).write.parquet(path)
+    df = (transform(df) if transform else df).withColumn("_index", F.lit(index))
+    # What a query leaves of each task may be little; a rebalance packs it into files of a proper size.
+    (df if query is None else df.hint("rebalance")).write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -47,12 +49,6 @@ def clone(spark: SparkSession, source: str, target: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
-def shard_of(key: Column | str, shards: int) -> Column:
-    """Shard of a document: the first eight hex digits of md5(id) modulo the number of shards."""
-    digits = F.substring(F.md5((F.col(key) if isinstance(key, str) else key).cast("string")), 1, 8)
-    return F.pmod(F.conv(digits, 16, 10).cast("bigint"), F.lit(shards)).cast("int")
-
-
 def with_shards(df: DataFrame, shards: int) -> DataFrame:
     return df.withColumn("_shard", shard_of("_id", shards))
 

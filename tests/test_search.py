@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docquery import session
 from docquery.functions.text import query_terms, term_frequencies, tokens
 from docquery.model import source
-from docquery.operators import evaluate, paging, profile, search, templates, text_analysis, tiles
+from docquery.operators import documents, evaluate, paging, profile, search, templates, text_analysis, tiles
 from docquery.sources import layout
 
 TEXTS = {
@@ -66,6 +66,9 @@ def test_search_options(table):
     assert [k for k, _ in hits(by_length)] == sorted((k for k, _ in every), key=lambda k: (-len(TEXTS[k]), k))
     assert search.search(table, "_source.text", "...").count() == 0
     assert search.search(table, "_source.text", "zebra").count() == 0
+    assert sorted(hits(search.scores(table, "_source.text", "the dog bird"))) == sorted(every)
+    with pytest.raises(ValueError):
+        search.search(table, "_source.text", "dog", size=search.MAX_SIZE + 1)
     assert search.count(table, source("n") > 5).first()["count"] == 6
 
 
@@ -222,6 +225,7 @@ def test_layout(spark, docs, tmp_path):
     assert all(r["_shard"] == joined[r["_id"]] % 2 for r in two.collect()) and two.count() == 200
     again = layout.clone(spark, str(tmp_path / "four"), str(tmp_path / "copy"))
     assert {r["_id"]: r["_shard"] for r in again.collect()} == joined
+    assert [r["_source"].n for r in documents.get(four, "17", 4).collect()] == [17]
     touched = profile.search_shards(spark, str(tmp_path / "four"), F.col("_id") == "7").collect()
     assert [(r["_shard"], r.rows) for r in touched] == [(joined["7"], 1)]
     with pytest.raises(ValueError):
