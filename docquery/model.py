@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docquery.session import fits_broadcast
+
 Path = tuple[str, ...]
 
 
@@ -72,5 +74,20 @@ def build(struct: T.StructType, leaf: Callable[[Path, T.DataType], Column], pref
     return F.when(present, value)
 
 
+def split_touched(table: DataFrame, batch: DataFrame, keys: list[str]) -> tuple[DataFrame | None, DataFrame]:
+    """`(untouched, touched)`: the rows a batch leaves alone, and those whose keys it has.
+
+    With few keys the large table is only filtered, and just the touched rows go
+    on into a join. With many the table is returned whole as touched, to be
+    shuffled once.
+    """
+    ids = batch.select(*keys).distinct()
+    if not fits_broadcast(ids):
+        return None, table
+    ids = F.broadcast(ids)
+    untouched = table.join(ids, keys, "left_anti").select(table.columns)
+    return untouched, table.join(ids, keys, "left_semi").select(table.columns)
+
+
 def without(df: DataFrame, *names: str) -> list[str]:
     return [c for c in df.columns if c not in names]

@@ -18,11 +18,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docquery.model import build, leaves, quoted, source_type
+from docquery.model import build, leaves, quoted, source_type, split_touched
 from docquery.sources.mapping import merge, reshape
 
 #: Rows a chunk of the order should hold.
-CHUNK = 1 << 16
+CHUNK = 1 << 18
 
 KEYS = ("_index", "_id")
 
@@ -48,7 +48,7 @@ def apply_bulk(
     if table is not None and table.schema["_id"].dataType != log.schema["_id"].dataType:
         raise ValueError("the ids of the table and of the log have different types")
     seen = _with_before(table, log, order, chunk if chunk is not None else even_chunks(log, order))
-    return _state(table, seen, order, schema), _items(seen, order)
+    return _state(table, log, seen, order, schema), _items(seen, order)
 
 
 def as_of(
@@ -147,7 +147,7 @@ def _items(seen: DataFrame, order: Sequence[str]) -> DataFrame:
     return seen.select(*order, "action", *KEYS, outcome.alias("outcome"))
 
 
-def _state(table: DataFrame | None, seen: DataFrame, order: Sequence[str], schema: T.StructType | None) -> DataFrame:
+def _state(table: DataFrame | None, log: DataFrame, seen: DataFrame, order: Sequence[str], schema: T.StructType | None) -> DataFrame:
     have = seen.schema["doc"].dataType
     shapes = [source_type(table)] if table is not None else []
     if schema is not None:
@@ -181,17 +181,19 @@ def _state(table: DataFrame | None, seen: DataFrame, order: Sequence[str], schem
     stored = table.select(
         (F.col("_index") if "_index" in table.columns else F.lit("")).alias("_index"),
         "_id",
-        reshape(F.col("_source"), source_type(table), want).alias("_old"),
-        F.lit(True).alias("_stored"),
+        reshape(F.col("_source"), source_type(table), want).alias("_source"),
     )
-    joined = stored.join(folded, list(KEYS), "full_outer")
+    untouched, touched = split_touched(stored, log, list(KEYS))
+    old = touched.select(*KEYS, F.col("_source").alias("_old"), F.lit(True).alias("_stored"))
+    joined = old.join(folded, list(KEYS), "full_outer")
     alive = joined.filter(F.coalesce("_alive", "_stored", F.lit(False)))
 
     def field(path, dtype):
         new = F.col(names[path])
         return F.when(new.isNotNull(), new.getField("v")).otherwise(F.col(quoted(("_old", *path))))
 
-    return alive.select(*KEYS, build(want, field).alias("_source"))
+    changed = alive.select(*KEYS, build(want, field).alias("_source"))
+    return changed if untouched is None else untouched.unionByName(changed)
 
 
 def _has(dtype: T.DataType, path: tuple[str, ...]) -> bool:

@@ -1,9 +1,10 @@
 """Key lookups and edits of document tables.
 
 `table` is large and unique by `_id`; the other side is a batch that may be
-small or large and may repeat ids. Joins carry no hint: Spark broadcasts a batch
-it knows to be small and shuffles otherwise. A batch is reduced to one row per id
-by an aggregation before it is joined, so repeated ids do not pile up in a task.
+small or large and may repeat ids. The ids of a batch are broadcast when they are
+proven to fit, so that the table is filtered where it lies; otherwise both sides
+are shuffled. A batch is reduced to one row per id by an aggregation before it is
+joined, so repeated ids do not pile up in a task.
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ from pyspark.sql import functions as F
 
 from docquery.functions.predicates import selected
 from docquery.functions.shards import shard_of
-from docquery.model import build, leaves, quoted, source_type
+from docquery.model import build, leaves, quoted, source_type, split_touched
 from docquery.operators.bulk import present, typed_doc
+from docquery.session import bounded_broadcast
 
 
 def with_ids(docs: DataFrame) -> DataFrame:
@@ -33,7 +35,8 @@ def index(table: DataFrame, docs: DataFrame, order: str | None = None) -> DataFr
         docs = with_ids(docs)
     latest = docs.groupBy("_id").agg(F.max_by(F.struct(*_body(table)), _order(order)).alias("_doc"))
     replaced = latest.select("_id", "_doc.*").select(table.columns)
-    return table.join(replaced.select("_id"), "_id", "left_anti").select(table.columns).unionByName(replaced)
+    kept = table.join(_ids_of(docs), "_id", "left_anti").select(table.columns)
+    return kept.unionByName(replaced)
 
 
 def create(table: DataFrame, docs: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:
@@ -43,7 +46,8 @@ def create(table: DataFrame, docs: DataFrame, order: str) -> tuple[DataFrame, Da
     every other one is a conflict.
     """
     first = docs.groupBy("_id").agg(F.min_by(F.struct(*_body(table), order), order).alias("_doc"))
-    inserted = first.select("_id", "_doc.*").join(table.select("_id"), "_id", "left_anti")
+    existing = table.select("_id").join(_ids_of(docs), "_id", "left_semi")
+    inserted = first.select("_id", "_doc.*").join(existing, "_id", "left_anti")
     # Matching on (id, order) spreads the repeats of one id over all tasks.
     conflicts = docs.join(inserted.select("_id", order), ["_id", order], "left_anti").select(docs.columns)
     return table.unionByName(inserted.select(table.columns)), conflicts
@@ -61,7 +65,7 @@ def get(table: DataFrame, key, shards: int | None = None) -> DataFrame:
 
 def delete(table: DataFrame, ids: DataFrame) -> DataFrame:
     """The table without the documents of a set of ids."""
-    return table.join(ids.select("_id").distinct(), "_id", "left_anti").select(table.columns)
+    return table.join(_ids_of(ids), "_id", "left_anti").select(table.columns)
 
 
 def exists(table: DataFrame, ids: DataFrame) -> DataFrame:
@@ -71,7 +75,7 @@ def exists(table: DataFrame, ids: DataFrame) -> DataFrame:
 
 def get_source(table: DataFrame, ids: DataFrame | object) -> DataFrame:
     """The documents of some ids without metadata."""
-    found = table.join(ids.select("_id").distinct(), "_id", "left_semi") if isinstance(ids, DataFrame) else get(table, ids)
+    found = table.join(_ids_of(ids), "_id", "left_semi") if isinstance(ids, DataFrame) else get(table, ids)
     return found.select("_source.*")
 
 
@@ -99,18 +103,20 @@ def update_doc(table: DataFrame, partial: DataFrame, order: str | None = None) -
             for path, name in named.items()
         ]
     )
-    joined = table.join(folded, "_id", "left")
+    untouched, touched = split_touched(table, partial, ["_id"])
+    joined = touched.join(folded, "_id", "left")
 
     def field(path, dtype):
         new = F.col(named[path])
         return F.when(new.isNotNull(), new.getField("v")).otherwise(F.col(quoted(("_source", *path))))
 
-    return joined.withColumn("_source", build(want, field)).select(table.columns)
+    merged = joined.withColumn("_source", build(want, field)).select(table.columns)
+    return merged if untouched is None else untouched.unionByName(merged)
 
 
 def update_script(table: DataFrame, ids: DataFrame, changes: Mapping[str, Column]) -> DataFrame:
     """Recompute fields of some documents from their own values, e.g. `{"views": source("views") + 1}`."""
-    hit = ids.select("_id").distinct().withColumn("_hit", F.lit(True))
+    hit = bounded_broadcast(ids.select("_id").distinct().withColumn("_hit", F.lit(True)))
     joined = table.join(hit, "_id", "left")
     return _changed(joined, F.col("_hit").isNotNull(), changes).select(table.columns)
 
@@ -122,7 +128,8 @@ def mget(table: DataFrame, requests: DataFrame) -> DataFrame:
     """
     keys = ["_index", "_id"] if "_index" in requests.columns else ["_id"]
     # Only the requested documents are carried into the join that keeps absent ones.
-    wanted = table.join(requests.select(*keys).distinct(), keys, "left_semi").select(*keys, "_source", F.lit(True).alias("found"))
+    asked = bounded_broadcast(requests.select(*keys).distinct())
+    wanted = table.join(asked, keys, "left_semi").select(*keys, "_source", F.lit(True).alias("found"))
     joined = requests.join(wanted, keys, "left")
     return joined.select("pos", *keys, F.coalesce("found", F.lit(False)).alias("found"), "_source")
 
@@ -146,11 +153,14 @@ def _changed(df: DataFrame, hit: Column, changes: Mapping[str, Column]) -> DataF
 
 
 def _flagged(table: DataFrame, ids: DataFrame) -> DataFrame:
-    asked = ids.select("_id").distinct()
-    found = table.select("_id").join(asked, "_id", "left_semi").distinct().withColumn("_found", F.lit(True))
+    found = table.select("_id").join(_ids_of(ids), "_id", "left_semi").distinct().withColumn("_found", F.lit(True))
     return ids.join(found, "_id", "left").withColumn("exists", F.col("_found").isNotNull()).drop("_found")
 
 
+def _ids_of(batch: DataFrame) -> DataFrame:
+    return bounded_broadcast(batch.select("_id").distinct())
+
+
 def _body(table: DataFrame) -> Iterable[str]:
     return [c for c in table.columns if c != "_id"]
 

@@ -38,6 +38,11 @@ def search_filtered(spark, sf):
     return search.search(text_docs(spark, sf, "documents"), "_source.text", QUERY, where, size=20).select("_id", "_score")
 
 
+def search_scores(spark, sf):
+    """Every match of the query with its score."""
+    return search.scores(text_docs(spark, sf, "documents"), "_source.text", QUERY)
+
+
 def msearch_benchmark(spark, sf):
     queries = flat(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     return search.msearch(text_docs(spark, sf, "documents"), "_source.text", queries).select(
@@ -192,7 +197,7 @@ def mtermvectors(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        search_bm25, search_filtered, msearch_benchmark, msearch_two_indices, explain_terms, count_term, count_match,
+        search_bm25, search_filtered, search_scores, msearch_benchmark, msearch_two_indices, explain_terms, count_term, count_match,
         terms_enum_prefix, terms_enum_part, query_ids, query_index_filter, query_source_filter, scroll_page, number_pages,
         rank_eval_precision, rank_eval_mean, tile_grid, search_template, msearch_template, analyze_tokens,
         analyze_conversations, termvectors, mtermvectors,
@@ -254,6 +259,8 @@ SQL = {
     "search_filtered": f"""WITH {TOKENS_SQL}, {_HITS}
         SELECT doc_id AS _id, score AS _score FROM hits JOIN documents USING (doc_id)
         WHERE lang = 'en' AND n_chars > 500 ORDER BY score DESC, doc_id LIMIT 20""",
+    "search_scores": f"""WITH {TOKENS_SQL}, {_HITS}
+        SELECT 'documents' AS _index, doc_id AS _id, score AS _score FROM hits""",
     "msearch_benchmark": f"""WITH {TOKENS_SQL}, {_MSEARCH}
         SELECT query_id, CAST(rk AS INTEGER) AS _rank, doc_id AS _id, score AS _score FROM results""",
     "msearch_two_indices": rf"""WITH both_ AS (

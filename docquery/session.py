@@ -31,17 +31,23 @@ def get_session(app: str = "docquery", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Hint a broadcast when `df` has at most `max_rows` (else `BROADCAST_ROWS`) rows.
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether `df` has at most `max_rows` (else `BROADCAST_ROWS`) rows.
 
     The count stops at the limit, so it is meant for inputs that are cheap to
-    read (a batch of ids, a query table). Beyond the bound no hint is given:
-    Spark then shuffles both sides and adaptive execution splits hot keys.
+    read (a batch of ids, a query table).
     """
     bound = BROADCAST_ROWS if max_rows is None else max_rows
-    if df.limit(bound + 1).count() <= bound:
-        return F.broadcast(df)
-    return df
+    return df.limit(bound + 1).count() <= bound
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Hint a broadcast when `df` is proven to fit.
+
+    Otherwise no hint is given: Spark then shuffles both sides and adaptive
+    execution splits hot keys.
+    """
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def join_statistics(rows: DataFrame, statistics: DataFrame, key: str, count: str) -> DataFrame:
@@ -52,7 +58,7 @@ def join_statistics(rows: DataFrame, statistics: DataFrame, key: str, count: str
     of all other keys are shuffled, where none of them is large. Both inputs
     should be tables that were written, since they are read several times.
     """
-    if statistics.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if fits_broadcast(statistics):
         return rows.join(F.broadcast(statistics), key)
     total = statistics.agg(F.sum(count)).first()[0]
     share = total // max(BROADCAST_ROWS, 1)

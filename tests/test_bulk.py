@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from docquery import session
 from docquery.operators import bulk
 from docquery.sources.bulk_files import document_json, read_bulk, write_bulk
 
@@ -55,8 +56,9 @@ def masked(log):
     ]
 
 
-@pytest.mark.parametrize("seed, rows_per_chunk", [(1, 3), (2, 20), (3, 10_000)])
-def test_apply_bulk_equals_simulation(spark, seed, rows_per_chunk):
+@pytest.mark.parametrize("seed, rows_per_chunk, bound", [(1, 3, 500_000), (2, 20, 0), (3, 10_000, 500_000)])
+def test_apply_bulk_equals_simulation(spark, monkeypatch, seed, rows_per_chunk, bound):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", bound)
     log = masked(random_log(seed, 600))
     stored = {f"k{n}": {"a": n, "b": f"old{n}"} for n in range(0, 12, 2)} | {"untouched": {"a": 1, "b": None}}
     table = spark.createDataFrame(

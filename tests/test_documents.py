@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from docquery import session
 from docquery.functions.predicates import ids, index_filter, match, match_all, source_filter, term
 from docquery.model import source
 from docquery.operators import documents
@@ -14,6 +15,12 @@ def state(df):
     return {r["_id"]: (None if r["_source"] is None else tuple(r["_source"])) for r in df.collect()}
 
 
+@pytest.fixture(autouse=True, params=[500_000, 0], ids=["few ids", "many ids"])
+def bound(request, monkeypatch):
+    """Every edit also where nothing may be broadcast."""
+    monkeypatch.setattr(session, "BROADCAST_ROWS", request.param)
+
+
 @pytest.fixture
 def table(docs):
     return docs({"1": (1, "x"), "2": (2, "y"), "3": (3, None)}, "n int, s string")
