@@ -47,8 +47,13 @@ def apply_bulk(
     log = _normal(log, order, default_index)
     if table is not None and table.schema["_id"].dataType != log.schema["_id"].dataType:
         raise ValueError("the ids of the table and of the log have different types")
-    seen = _with_before(table, log, order, chunk if chunk is not None else even_chunks(log, order))
-    return _state(table, log, seen, order, schema), _items(seen, order)
+    untouched, touched = (None, None) if table is None else split_touched(_keyed(table), log, list(KEYS))
+    seen = _with_before(touched, log, order, chunk if chunk is not None else even_chunks(log, order))
+    changed = _state(touched, seen, order, schema)
+    if untouched is not None:
+        want, have = source_type(changed), source_type(untouched)
+        changed = untouched.withColumn("_source", reshape(F.col("_source"), have, want)).unionByName(changed)
+    return changed, _items(seen, order)
 
 
 def as_of(
@@ -107,9 +112,9 @@ def even_chunks(log: DataFrame, order: Sequence[str], rows: int = CHUNK) -> Colu
     raise ValueError("give a chunk column for an order without an integer column")
 
 
-def _stored(table: DataFrame) -> DataFrame:
+def _keyed(table: DataFrame) -> DataFrame:
     index = F.col("_index") if "_index" in table.columns else F.lit("")
-    return table.select(index.alias("_index"), "_id")
+    return table.select(index.alias("_index"), "_id", "_source")
 
 
 def _with_before(table: DataFrame | None, log: DataFrame, order: Sequence[str], chunk: Column) -> DataFrame:
@@ -127,7 +132,7 @@ def _with_before(table: DataFrame | None, log: DataFrame, order: Sequence[str],
     if table is None:
         carried = carried.withColumn("_stored", F.lit(False))
     else:
-        ids = _stored(table).withColumn("_stored", F.lit(True))
+        ids = table.select(*KEYS, F.lit(True).alias("_stored"))
         carried = carried.join(ids, list(KEYS), "left").withColumn("_stored", F.coalesce("_stored", F.lit(False)))
 
     in_chunk = Window.partitionBy(*KEYS, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -147,7 +152,7 @@ def _items(seen: DataFrame, order: Sequence[str]) -> DataFrame:
     return seen.select(*order, "action", *KEYS, outcome.alias("outcome"))
 
 
-def _state(table: DataFrame | None, log: DataFrame, seen: DataFrame, order: Sequence[str], schema: T.StructType | None) -> DataFrame:
+def _state(table: DataFrame | None, seen: DataFrame, order: Sequence[str], schema: T.StructType | None) -> DataFrame:
     have = seen.schema["doc"].dataType
     shapes = [source_type(table)] if table is not None else []
     if schema is not None:
@@ -178,22 +183,16 @@ def _state(table: DataFrame | None, log: DataFrame, seen: DataFrame, order: Sequ
         body = build(want, lambda path, dtype: F.col(names[path]).getField("v"))
         return alive.select(*KEYS, body.alias("_source"))
 
-    stored = table.select(
-        (F.col("_index") if "_index" in table.columns else F.lit("")).alias("_index"),
-        "_id",
-        reshape(F.col("_source"), source_type(table), want).alias("_source"),
-    )
-    untouched, touched = split_touched(stored, log, list(KEYS))
-    old = touched.select(*KEYS, F.col("_source").alias("_old"), F.lit(True).alias("_stored"))
-    joined = old.join(folded, list(KEYS), "full_outer")
+    old = reshape(F.col("_source"), source_type(table), want)
+    stored = table.select(*KEYS, old.alias("_old"), F.lit(True).alias("_stored"))
+    joined = stored.join(folded, list(KEYS), "full_outer")
     alive = joined.filter(F.coalesce("_alive", "_stored", F.lit(False)))
 
     def field(path, dtype):
         new = F.col(names[path])
         return F.when(new.isNotNull(), new.getField("v")).otherwise(F.col(quoted(("_old", *path))))
 
-    changed = alive.select(*KEYS, build(want, field).alias("_source"))
-    return changed if untouched is None else untouched.unionByName(changed)
+    return alive.select(*KEYS, build(want, field).alias("_source"))
 
 
 def _has(dtype: T.DataType, path: tuple[str, ...]) -> bool:
