@@ -42,7 +42,8 @@ def apply_bulk(
     not decrease along `order`. Without one the range of the first order column
     is cut evenly, or, for an order such as (file, line), each file by its
     lines; a log that comes in bursts can be given a dense order by
-    `paging.with_position` first.
+    `paging.with_position` first. The log is read several times, so write
+    parsed bulk files as a table before.
     """
     log = _normal(log, order, default_index)
     if table is not None and table.schema["_id"].dataType != log.schema["_id"].dataType:
