@@ -328,9 +328,10 @@ SQL = {
         SELECT c_custkey AS query_id, o_orderkey, o_totalprice,
                row_number() OVER (PARTITION BY c_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rk
         FROM customer JOIN orders ON o_custkey = c_custkey AND o_totalprice > c_acctbal * 20) WHERE rk <= 3""",
-    "field_caps": """SELECT table_name AS _index, column_name AS field, false AS conflict, true AS has_data
-        FROM information_schema.columns
-        WHERE table_name IN ('orders', 'lineitem', 'customer', 'supplier', 'part', 'events')""",
+    "field_caps": " UNION ALL ".join(
+        f"SELECT '{t}' AS _index, column_name AS field, false AS conflict, true AS has_data FROM (DESCRIBE {t})"
+        for t in ("orders", "lineitem", "customer", "supplier", "part", "events")
+    ),
     "analyze_tokens": _analyze_sql("documents", "doc_id"),
     "analyze_conversations": _analyze_sql("conversations", "conv_id, turn"),
     "termvectors": f"WITH {_VECTORS} SELECT * FROM vec JOIN stats USING (term) CROSS JOIN field",
