@@ -4,8 +4,9 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry_points
+from docquery.plans import catalog
 
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, catalog.SQL
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,8 @@ def test_query_equals_sql(spark, sf, con, name):
 
 def test_all_queries_have_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(SQL) <= set(entry_points.oracle_sql())
+    assert set(QUERIES) <= set(entry_points.queries())
 
 
 def test_entry(spark):
