@@ -8,12 +8,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docquery.llm import decontamination, packing, simhash
+from docquery.llm import decontamination, packing, quality, simhash, toxicity
 from docquery.llm.queries import tokenizer_files
 from docquery.llm.tables import table
 from docquery.session import materialize
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that are scored as toxic by a model learned from the labelled ones."""
+    return toxicity.clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that are scored as poor by a model learned from the labelled ones."""
+    return quality.good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of close SimHash fingerprints."""
     return simhash.one_of_each(docs)
@@ -30,6 +40,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality", keep_good),
     ("near_duplicates", near_duplicates),
     ("decontamination", decontaminate),
     ("packing", pack),

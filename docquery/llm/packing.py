@@ -38,7 +38,7 @@ from docquery.session import materialize
 SEQUENCE = 1024
 END_ID = 2
 #: Pieces of one length are numbered in groups of about so many of all pieces.
-PIECES_PER_GROUP = 100_000
+PIECES_PER_GROUP = 10_000
 #: Characters outside Latin script and common marks.
 LATIN = "[^\x00-\u024f\u2010-\u2027]"
 PIECE = "struct<piece:int,start:long,length:long,ids_crc32:long>"

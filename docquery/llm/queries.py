@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docquery.llm import decontamination, packing, simhash
+from docquery.llm import decontamination, packing, quality, simhash, toxicity
 from docquery.llm.tables import table
 
 
@@ -16,6 +16,16 @@ def tokenizer_files() -> packing.TokenizerFiles:
     )
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.scores(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -28,7 +38,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_files())
 
 
-QUERIES = {f.__name__: f for f in (op8_benchmark_decontamination, op9_simhash_near_dedup, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op5_quality_classifier, op7_toxicity, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_best_fit_packing)}
 
 SQL = {
     "op8_benchmark_decontamination": r"""

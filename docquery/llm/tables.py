@@ -36,3 +36,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         .join(F.broadcast(picked), "_id")
         .select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), F.col("_label").cast("int").alias("label"))
     )
+
+
+def label_counts(labels: DataFrame, label: str) -> dict[int, int]:
+    """How many labelled training rows of each class there are."""
+    known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out("doc_id"))
+    return {int(r[0]): r[1] for r in known.groupBy(label).count().collect()}
