@@ -30,15 +30,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from docquery.llm.numbering import ROWS_PER_GROUP, groups, numbered
 from docquery.llm.shared import send
 from docquery.session import materialize
 
 SEQUENCE = 1024
 END_ID = 2
-#: Pieces of one length are numbered in groups of about so many of all pieces.
-PIECES_PER_GROUP = 10_000
 #: Characters outside Latin script and common marks.
 LATIN = "[^\x00-\u024f\u2010-\u2027]"
 PIECE = "struct<piece:int,start:long,length:long,ids_crc32:long>"
@@ -257,24 +255,7 @@ def runs(sequences: list[tuple[dict[int, int], int]]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["length", "rank", "each", "sequence", "offset"])
 
 
-def numbered(rows: DataFrame, per_group: int = PIECES_PER_GROUP) -> DataFrame:
-    """`rows` with `rank`, a gapless number from 0 among the rows of one length.
-
-    Rows are first numbered in groups of a hash of their id, so a length that a
-    third of all rows share is spread over many tasks; groups then begin after
-    those before them.
-    """
-    groups = 1 + rows.count() // per_group
-    keyed = rows.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
-    sizes = keyed.groupBy("length", "_group").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("length").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
-    begins = sizes.select("length", "_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("length", "_group").orderBy("doc_id", "piece", "ids_crc32")
-    local = keyed.withColumn("_rank", F.row_number().over(within) - 1)
-    return local.join(begins, ["length", "_group"]).withColumn("rank", F.col("_before") + F.col("_rank")).drop("_group", "_before", "_rank")
-
-
-def pack(docs: DataFrame, files: TokenizerFiles, sequence: int = SEQUENCE, end_id: int = END_ID, per_group: int = PIECES_PER_GROUP) -> DataFrame:
+def pack(docs: DataFrame, files: TokenizerFiles, sequence: int = SEQUENCE, end_id: int = END_ID, per_group: int = ROWS_PER_GROUP) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
     rows = materialize(pieces(docs.select("doc_id", "text"), files, sequence, end_id), "pieces")
@@ -286,7 +267,9 @@ def pack(docs: DataFrame, files: TokenizerFiles, sequence: int = SEQUENCE, end_i
     def placed(lengths: pd.Series, ranks: pd.Series) -> pd.DataFrame:
         return place().of(lengths.to_numpy(), ranks.to_numpy())
 
-    out = numbered(rows, per_group).withColumn("_at", placed("length", "rank"))
+    group = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups(rows.count(), per_group)))
+    ranked = numbered(rows, ["length"], group, ["doc_id", "piece", "ids_crc32"], "rank")
+    out = ranked.withColumn("_at", placed("length", "rank"))
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "_at.sequence_id", "_at.offset")
 
 

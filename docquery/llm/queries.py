@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docquery.llm import decontamination, packing, quality, simhash, toxicity
+from docquery.llm import decontamination, packing, quality, sharding, simhash, toxicity, url_filters
 from docquery.llm.tables import table
 
 
@@ -16,11 +16,19 @@ def tokenizer_files() -> packing.TokenizerFiles:
     )
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages"), url_filters.train(url_filters.seeds(spark)))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.scores(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -38,7 +46,18 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_files())
 
 
-QUERIES = {f.__name__: f for f in (op5_quality_classifier, op7_toxicity, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_best_fit_packing)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op4_url_filters,
+        op5_quality_classifier,
+        op6_sharding,
+        op7_toxicity,
+        op8_benchmark_decontamination,
+        op9_simhash_near_dedup,
+        op10_best_fit_packing,
+    )
+}
 
 SQL = {
     "op8_benchmark_decontamination": r"""
