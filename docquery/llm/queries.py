@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docquery.llm import decontamination, packing, quality, sharding, simhash, toxicity, url_filters
+from docquery.llm import decontamination, fingerprints, packing, quality, sharding, simhash, toxicity, url_filters
 from docquery.llm.tables import table
 
 
@@ -16,6 +16,10 @@ def tokenizer_files() -> packing.TokenizerFiles:
     )
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"), url_filters.train(url_filters.seeds(spark)))
 
@@ -49,6 +53,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op3_document_fingerprints,
         op4_url_filters,
         op5_quality_classifier,
         op6_sharding,
