@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docquery.llm import decontamination, fingerprints, packing, quality, sharding, simhash, toxicity, url_filters
+from docquery.llm import decontamination, fingerprints, html_extraction, packing, quality, sharding, simhash, token_counts, toxicity, url_filters
 from docquery.llm.tables import table
+from docquery.session import new_folder
 
 
 def tokenizer_files() -> packing.TokenizerFiles:
@@ -16,6 +18,29 @@ def tokenizer_files() -> packing.TokenizerFiles:
     )
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after loading all documents with two tokenizer versions, removing copies, recounting without repeated lines, and a replay."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    ledger = token_counts.Ledger.create(spark, new_folder(spark, "ledger"))
+    loaded = [token_counts.changes(docs, "insert", version) for version in token_counts.VERSIONS]
+    ledger.commit("load", loaded[0].unionByName(loaded[1]))
+    extra = token_counts.copies(docs).withColumn("text", F.lit(None).cast("string"))
+    removed = [token_counts.changes(extra, "delete", version) for version in token_counts.VERSIONS]
+    removed = removed[0].unionByName(removed[1])
+    ledger.commit("copies", removed)
+    lines = F.split(F.coalesce("text", F.lit("")), "\n")
+    repeated = docs.filter(F.size(F.array_distinct(lines)) < F.size(lines))
+    once = token_counts.count_tokens(F.array_join(F.array_distinct(lines), "\n"), "words-1")
+    revised = token_counts.changes(repeated, "revise", "words-1", once)
+    ledger.commit("lines", revised.join(extra.select("doc_id"), "doc_id", "left_anti"))
+    ledger.commit("copies", removed)
+    return ledger.totals()
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"), html_extraction.default_field())
+
+
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
 
@@ -53,6 +78,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_token_counts,
+        op2_html_extraction,
         op3_document_fingerprints,
         op4_url_filters,
         op5_quality_classifier,
@@ -65,6 +92,16 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_token_counts": r"""
+        WITH kept AS (
+            SELECT source, lang, coalesce(text, '') AS text FROM documents
+            QUALIFY row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id) = 1),
+        counted AS (
+            SELECT source, lang, 'words-1' AS tokenizer,
+                   len(regexp_extract_all(array_to_string(list_distinct(string_split(text, chr(10))), chr(10)), '[^\x20\x09-\x0D]+')) AS n FROM kept
+            UNION ALL
+            SELECT source, lang, 'words-2' AS tokenizer, len(regexp_extract_all(text, '\p{L}+|\p{N}+|[^ \t\n\r\p{L}\p{N}]')) AS n FROM kept)
+        SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens FROM counted GROUP BY ALL""",
     "op8_benchmark_decontamination": r"""
         WITH items AS (
             SELECT DISTINCT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
