@@ -51,13 +51,13 @@ def digests(text: Column, words: int = WORDS) -> Column:
 
 
 def _items(keys: Column, cells: int, seed: int) -> Column:
-    """Digests with their check value and their cell in each region."""
+    """Digests with their check value and the number of their cell within each region."""
     width = cells // REGIONS
 
     def item(key: Column) -> Column:
         spread = F.xxhash64(key, F.lit(seed))
         at = [
-            (F.shiftrightunsigned(spread, 20 * r).bitwiseAND(F.lit(0xFFFFF).cast("long")) % width + r * width).cast("int").alias(f"p{r}")
+            (F.shiftrightunsigned(spread, 20 * r).bitwiseAND(F.lit(0xFFFFF).cast("long")) % width).cast("int").alias(f"p{r}")
             for r in range(REGIONS)
         ]
         return F.struct(key.alias("key"), F.xxhash64(key, F.lit(seed + 1)).alias("check"), *at)
@@ -65,8 +65,8 @@ def _items(keys: Column, cells: int, seed: int) -> Column:
     return F.transform(keys, item)
 
 
-def _hits(items: Column, cell: Column) -> Column:
-    return F.filter(items, lambda x: (x["p0"] == cell) | (x["p1"] == cell) | (x["p2"] == cell))
+def _hits(items: Column, region: int, cell: Column) -> Column:
+    return F.filter(items, lambda x: x[f"p{region}"] == cell)
 
 
 def _xor(items: Column, name: str) -> Column:
@@ -76,13 +76,16 @@ def _xor(items: Column, name: str) -> Column:
 def table(keys: Column, cells: int = CELLS, seed: int = 0) -> Column:
     """The table of an array of distinct digests: array<struct<n, key, check>>."""
 
-    def cell(items: Column, i: Column) -> Column:
+    def cell(items: Column, region: int, i: Column) -> Column:
         return _let(
-            _hits(items, i),
+            _hits(items, region, i),
             lambda own: F.struct(F.size(own).alias("n"), _xor(own, "key").alias("key"), _xor(own, "check").alias("check")),
         )
 
-    return _let(_items(keys, cells, seed), lambda items: F.transform(F.sequence(F.lit(0), F.lit(cells - 1)), lambda i: cell(items, i)))
+    def own_region(items: Column, region: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(cells // REGIONS - 1)), lambda i: cell(items, region, i))
+
+    return _let(_items(keys, cells, seed), lambda items: F.concat(*[own_region(items, r) for r in range(REGIONS)]))
 
 
 def subtract(left: Column, right: Column) -> Column:
@@ -111,7 +114,17 @@ def peel(cells: Column, count: int, seed: int, rounds: int = ROUNDS) -> Column:
         placed = F.zip_with(
             _items(F.transform(found, lambda x: x["key"]), count, seed), found, lambda item, x: item.withField("side", x["side"])
         )
-        return _let(placed, lambda items: F.struct(F.transform(state["cells"], lambda c, i: less(c, _hits(items, i))).alias("cells"), F.concat(state["found"], found).alias("found")))
+        width = count // REGIONS
+
+        def region(items: Column, r: int) -> Column:
+            return F.transform(F.slice(state["cells"], r * width + 1, width), lambda c, i: less(c, _hits(items, r, i)))
+
+        return _let(
+            placed,
+            lambda items: F.struct(
+                F.concat(*[region(items, r) for r in range(REGIONS)]).alias("cells"), F.concat(state["found"], found).alias("found")
+            ),
+        )
 
     def less(cell: Column, hits: Column) -> Column:
         return _let(
@@ -143,8 +156,11 @@ def _attempt(left: Column, right: Column, cells: int, seed: int) -> Column:
 
 def _exact(left: Column, right: Column) -> Column:
     """What no table of the ladder gave up: practically never reached."""
-    sides = [F.transform(F.array_except(a, b), lambda k, s=s: F.struct(k.alias("key"), F.lit(s).alias("side"))) for a, b, s in ((left, right, 1), (right, left, -1))]
-    return F.concat(*sides)
+
+    def only(a: Column, b: Column, side: int) -> Column:
+        return F.transform(F.array_except(a, b), lambda k: F.struct(k.alias("key"), F.lit(side).alias("side")))
+
+    return F.concat(only(left, right, 1), only(right, left, -1))
 
 
 def difference(left: Column, right: Column, load: int = LOAD) -> Column:
@@ -194,28 +210,46 @@ def written(cells: Column) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, next_text): the text of the next greater id, of the least one after the greatest; "" without an id."""
+    """(doc_id, n_chars, half, front, own, next_text): a text's first part and digests, with the whole next text.
+
+    The next text is that of the next greater id, of the least one after the
+    greatest, and "" without an id.
+    """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     ids = materialize(rows.groupBy("doc_id").count(), "ids")
     pairs = following(ids, "doc_id")
-    later = rows.select(F.col("doc_id").alias("next_id"), F.col("text").alias("next_text"))
+    # The same plan on both sides, so that texts are dealt out by id once for both.
+    later = rows
     if ids.filter("doc_id IS NOT NULL AND count > 1").limit(1).count():
-        later = later.groupBy("next_id").agg(F.min("next_text").alias("next_text"))
-    named = rows.join(pairs, F.col("doc_id") == F.col("id")).join(later, "next_id").select("doc_id", "text", "next_text")
-    return named.unionByName(rows.filter("doc_id IS NULL").withColumn("next_text", F.lit("")))
+        later = rows.groupBy("doc_id").agg(F.min("text").alias("text"))
+
+    def half(text: Column) -> Column:
+        return F.floor(F.length(text) / 2).cast("int")
+
+    def parts(doc_id: Column, text: Column) -> list[Column]:
+        return [
+            doc_id.alias("doc_id"),
+            F.length(text).cast("long").alias("n_chars"),
+            half(text).alias("half"),
+            F.substring(text, F.lit(1), F.length(text) - half(text)).alias("front"),
+            digests(text).alias("own"),
+        ]
+
+    x, y = rows.alias("x"), later.alias("y")
+    known = x.join(pairs, F.col("x.doc_id") == F.col("id")).select(*parts(F.col("x.doc_id"), F.col("x.text")), F.col("next_id"))
+    named = known.alias("k").join(y, F.col("k.next_id") == F.col("y.doc_id")).select("k.doc_id", "n_chars", "half", "front", "own", F.col("y.text").alias("next_text"))
+    nameless = rows.filter("doc_id IS NULL").select(*parts(F.col("doc_id"), F.col("text")), F.lit("").alias("next_text"))
+    return named.unionByName(nameless)
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:
-    """The contract's columns, and the digests that were recovered as differing from the edited and from the next text."""
-    rows = with_next(docs)
-    n, half = F.length("text"), F.floor(F.length("text") / 2).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
-    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"), "next_text")
+    """The contract's columns."""
+    rows = with_next(docs).withColumn("edited", F.concat("front", F.substring(F.col("next_text"), F.lit(1), F.col("half"))))
     rows = rows.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        digests(F.col("text")).alias("own"),
+        "own",
         digests(F.col("edited")).alias("other"),
         digests(F.col("next_text")).alias("later"),
     )
