@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from docquery.functions.stored import let
 
-V4 = r"^(25[0-5]|2[0-4]\d|1?\d?\d)(\.(25[0-5]|2[0-4]\d|1?\d?\d)){3}$"
-V6_GROUPS = r"^[0-9a-f]{0,4}(:[0-9a-f]{0,4}){1,8}$"
-V4_TAIL = r"^(.*:)(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})$"
+V4 = r"\A(25[0-5]|2[0-4]\d|1?\d?\d)(\.(25[0-5]|2[0-4]\d|1?\d?\d)){3}\z"
+V6_GROUPS = r"\A[0-9a-f]{0,4}(:[0-9a-f]{0,4}){1,8}\z"
+V4_TAIL = r"\A(.*:)(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})\z"
 
 
 def load_ip(col: Column) -> Column:

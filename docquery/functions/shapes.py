@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from docquery.functions.dates import dump_date, load_date
 from docquery.functions.stored import as_double, as_long, member
 
-BASE64 = r"^[A-Za-z0-9+/]*={0,2}$"
+BASE64 = r"\A[A-Za-z0-9+/]*={0,2}\z"
 
 
 def load_binary(col: Column) -> Column:

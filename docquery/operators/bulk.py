@@ -177,7 +177,7 @@ def _state(table: DataFrame | None, seen: DataFrame, order: Sequence[str], schem
         # The struct around the value keeps an explicit NULL apart from "never set".
         value = F.struct(F.col(quoted(("_typed", *path))).alias("v"))
         aggregates.append(F.max_by(value, F.when(sets, at)).alias(names[path]))
-    folded = typed.groupBy(*KEYS).agg(*aggregates)
+    folded = typed.groupBy(*KEYS).agg(*aggregates, F.lit(True).alias("_hit"))
 
     if table is None:
         alive = folded.filter(F.coalesce("_alive", F.lit(False)))
@@ -193,7 +193,9 @@ def _state(table: DataFrame | None, seen: DataFrame, order: Sequence[str], schem
         new = F.col(names[path])
         return F.when(new.isNotNull(), new.getField("v")).otherwise(F.col(quoted(("_old", *path))))
 
-    return alive.select(*KEYS, build(want, field).alias("_source"))
+    # A row that the log leaves alone keeps its body, whatever it is, however it came here.
+    body = F.when(F.col("_hit"), build(want, field)).otherwise(F.col("_old"))
+    return alive.select(*KEYS, body.alias("_source"))
 
 
 def _has(dtype: T.DataType, path: tuple[str, ...]) -> bool:

@@ -101,7 +101,8 @@ def update_doc(table: DataFrame, partial: DataFrame, order: str | None = None) -
                 F.when(present(path, "_source", have, partial.columns), _order(order)),
             ).alias(name)
             for path, name in named.items()
-        ]
+        ],
+        F.lit(True).alias("_hit"),
     )
     untouched, touched = split_touched(table, partial, ["_id"])
     joined = touched.join(folded, "_id", "left")
@@ -110,7 +111,9 @@ def update_doc(table: DataFrame, partial: DataFrame, order: str | None = None) -
         new = F.col(named[path])
         return F.when(new.isNotNull(), new.getField("v")).otherwise(F.col(quoted(("_source", *path))))
 
-    merged = joined.withColumn("_source", build(want, field)).select(table.columns)
+    # A row that no partial document has keeps its body, whatever it is, however it came here.
+    body = F.when(F.col("_hit"), build(want, field)).otherwise(F.col("_source"))
+    merged = joined.withColumn("_source", body).select(table.columns)
     return merged if untouched is None else untouched.unionByName(merged)
 
 

@@ -12,15 +12,17 @@ from docquery.session import materialize
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
-def page(df: DataFrame, keys: Sequence[str], after: Sequence | None = None, size: int = 10) -> DataFrame:
+def page(df: DataFrame, keys: Sequence[str | tuple[str, bool]], after: Sequence | None = None, size: int = 10) -> DataFrame:
     """The `size` rows following the row with the key values `after`; the first page without it.
 
-    The keys must end in a unique column. Later pages cost no more than the
+    A key is a column name, or (name, descending); NULLs come first in ascending
+    and last in descending order. The keys must end in a unique column. Later pages cost no more than the
     first: a keyset filter and a top-k, no sort of the table.
     """
+    pairs = [(key, False) if isinstance(key, str) else key for key in keys]
     if after is not None:
-        df = df.filter(_beyond(keys, after))
-    return df.orderBy(*keys).limit(size)
+        df = df.filter(_beyond(pairs, after))
+    return df.orderBy(*[F.desc_nulls_last(k) if down else F.asc_nulls_first(k) for k, down in pairs]).limit(size)
 
 
 def number_pages(df: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
@@ -58,10 +60,17 @@ def with_position(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return placed.withColumn("_position", F.col("_offset") + F.col("_row") + 1).drop("_part", "_row", "_offset")
 
 
-def _beyond(keys: Sequence[str], after: Sequence) -> Column:
+def _beyond(keys: Sequence[tuple[str, bool]], after: Sequence) -> Column:
     condition = F.lit(False)
     equal = F.lit(True)
-    for key, value in zip(keys, after, strict=True):
-        condition = condition | (equal & (F.col(key) > F.lit(value)))
-        equal = equal & (F.col(key) == F.lit(value))
+    for (key, down), value in zip(keys, after, strict=True):
+        column = F.col(key)
+        if value is None:
+            further = F.lit(False) if down else column.isNotNull()
+        elif down:
+            further = column.isNull() | (column < F.lit(value))
+        else:
+            further = column > F.lit(value)
+        condition = condition | (equal & F.coalesce(further, F.lit(False)))
+        equal = equal & column.eqNullSafe(F.lit(value))
     return condition

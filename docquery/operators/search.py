@@ -28,7 +28,7 @@ from docquery.session import bounded_broadcast, materialize
 
 K1, B = 1.2, 0.75
 
-#: Most hits one search ranks and returns.
+#: Up to so many hits are fetched by a filter on their ids; more are joined. The answer is the same.
 MAX_SIZE = 10_000
 
 
@@ -46,16 +46,18 @@ def search(
     `sort` replaces the order by score with `(column, descending)` pairs; ties
     go to the lower `_id`. Nothing is shuffled: counting is one projection, the
     statistics one aggregation, the ranking a top-k, after which the documents
-    of the `size` winners are fetched by a filter on their ids. For results too
-    long to be ranked in one place, page through `scores`.
+    of the `size` winners are fetched by a filter on their ids, or by a join
+    where they are too many for that.
     """
-    if size > MAX_SIZE:
-        raise ValueError(f"search returns at most {MAX_SIZE} hits; page through scores() for more")
     keys = list(sort or [])
     order = [F.desc(f"_key{n}") if down else F.asc(f"_key{n}") for n, (_, down) in enumerate(keys)]
     order = [*(order or [F.desc("_score")]), F.col("_id")]
     scored = _scored(df, text_col, text, where, [col.alias(f"_key{n}") for n, (col, _) in enumerate(keys)], by)
     top = scored.orderBy(*order).limit(size)
+    if size > MAX_SIZE:
+        chosen = top.select(F.col("_id").alias("_hit"), F.col("_index").alias("_hit_index"), *without(top, "_id", "_index"))
+        match = (F.col("_id") == F.col("_hit")) & F.col("_index").eqNullSafe(F.col("_hit_index"))
+        return _with_index(df).join(chosen, match).orderBy(*order).limit(size).select("_index", "_id", "_score", "_source")
     # At most `size` rows: the answer itself.
     hits = df.sparkSession.createDataFrame(top.collect(), top.schema)
     winners = hits.select(F.col("_id").alias("_hit"), F.col("_index").alias("_hit_index"), *without(hits, "_id", "_index"))

@@ -33,7 +33,7 @@ def msearch_template(
     `equal` names the columns of `df` that must equal a parameter; they are the
     join key. `where` is the rest of the template over the columns of both
     sides. `size=None` keeps all hits, otherwise the first `size` of each query
-    by `sort`, cut inside every partition before anything moves.
+    by `sort`, or else by `_id`, cut inside every partition before anything moves.
     """
     if not equal:
         raise ValueError("a template needs at least one equality")
@@ -43,5 +43,8 @@ def msearch_template(
     hits = df.join(bounded_broadcast(params, 100_000), condition)
     if size is None:
         return hits
+    if not sort and "_id" not in df.columns:
+        raise ValueError("a limited template needs an order")
+    sort = list(sort) or [F.col("_id")]
     best = Window.partitionBy("query_id").orderBy(*sort)
     return hits.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= size)

@@ -182,9 +182,9 @@ SQL = {
         CAST(sum(o_orderkey) AS BIGINT) AS ids FROM orders GROUP BY ALL""",
     "routed_counts": """SELECT 'events-' || strftime(ts, '%Y.%m.%d') AS _index, count(*) AS n, min(event_id) AS first_id
         FROM events GROUP BY ALL""",
-    "rollover_docs": """SELECT 'events-' || lpad(CAST((row_number() OVER (ORDER BY ts, event_id) - 1) // 700 + 1 AS VARCHAR), 6, '0')
+    "rollover_docs": """SELECT 'events-' || printf('%06d', (row_number() OVER (ORDER BY ts, event_id) - 1) // 700 + 1)
         AS _index, event_id FROM events""",
-    "rollover_age": """SELECT 'events-' || lpad(CAST(dense_rank() OVER (ORDER BY time_bucket(INTERVAL 6 HOUR, ts)) AS VARCHAR), 6, '0')
+    "rollover_age": """SELECT 'events-' || printf('%06d', dense_rank() OVER (ORDER BY time_bucket(INTERVAL 6 HOUR, ts)))
         AS _index, event_id FROM events""",
     "conform": """SELECT c_custkey AS _id, c_name, c_acctbal, CAST(NULL AS VARCHAR) AS since, CAST(NULL AS VARCHAR) AS ip,
         CAST(NULL AS BIGINT) AS visits FROM customer""",

@@ -92,16 +92,22 @@ def rollover(
         placed = with_position(df, keys)
         generation = F.floor((F.col("_position") - 1) / max_docs) + 1
         return placed.withColumn("_index", _generation(name, generation)).drop("_position")
-    aged = df.withColumn("_window", F.window(time, max_age).getField("start"))
+    # `window` leaves out rows without a time, so it gets a stand-in for them.
+    known = F.coalesce(time, F.timestamp_seconds(F.lit(0)))
+    aged = df.withColumn("_window", F.window(known, max_age).getField("start"))
+    aged = aged.withColumn("_window", F.when(time.isNotNull(), F.col("_window")))
     # One row per window that holds rows; written once, numbered and counted from there.
     windows = materialize(aged.select("_window").distinct(), "windows")
     ranked = windows.withColumn("_generation", F.dense_rank().over(Window.orderBy("_window")))
-    joined = aged.join(bounded_broadcast(ranked), "_window")
+    # Rows without a time are a generation of their own, the first.
+    ranked = ranked.withColumnRenamed("_window", "_start")
+    joined = aged.join(bounded_broadcast(ranked), F.col("_window").eqNullSafe(F.col("_start"))).drop("_start")
     return joined.withColumn("_index", _generation(name, F.col("_generation"))).drop("_window", "_generation")
 
 
 def _generation(name: str, number: Column) -> Column:
-    return F.concat(F.lit(name + "-"), F.lpad(number.cast("string"), 6, "0"))
+    # At least six digits; longer numbers stay whole.
+    return F.concat(F.lit(name + "-"), F.format_string("%06d", number.cast("long")))
 
 
 def _resharded(df: DataFrame, path: str) -> DataFrame:

@@ -21,7 +21,7 @@ def scan(spark: SparkSession, index: str, id_col: str | list[str] = "_id", name:
     """
     if not index:
         raise ValueError("an index is required")
-    df = spark.read.parquet(index) if "/" in index else spark.table(f"`{index}`")
+    df = spark.read.parquet(index) if "/" in index else spark.table(".".join(f"`{part}`" for part in index.split(".")))
     name = name or posixpath.basename(index.rstrip("/")).removesuffix(".parquet")
     if "_source" in df.columns:
         return df if "_index" in df.columns else df.withColumn("_index", F.lit(name))
