@@ -33,9 +33,9 @@ REGIONS = 3
 #: Cells of the fingerprint.
 CELLS = 24
 #: Digests that a part of a larger table is meant to hold.
-LOAD = 10
+LOAD = 7
 #: Cells of a part's table at each attempt.
-ATTEMPTS = (24, 48, 96, 384, 1536)
+ATTEMPTS = (18, 36, 96, 384, 1536)
 ROUNDS = 24
 
 
@@ -101,14 +101,18 @@ def subtract(left: Column, right: Column) -> Column:
 
 
 def peel(cells: Column, count: int, seed: int, rounds: int = ROUNDS) -> Column:
-    """The difference as array<struct<key, side>>, side 1 for the left table and -1 for the right; NULL if cells remain."""
+    """The difference as array<struct<key, side>>, side 1 for the left table and -1 for the right; NULL if cells remain.
 
-    def step(state: Column, _: Column) -> Column:
+    Once a round finds no cell with one digest, the later rounds do nothing.
+    """
+
+    def step(state: Column) -> Column:
         lone = F.filter(
             state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["check"] == F.xxhash64(c["key"], F.lit(seed + 1)))
         )
         pure = F.array_distinct(F.transform(lone, lambda c: F.struct(c["key"].alias("key"), c["n"].alias("side"))))
-        return _let(pure, lambda found: F.when(F.size(found) == 0, state).otherwise(taken(state, found)))
+        ended = F.struct(state["cells"].alias("cells"), state["found"].alias("found"), F.lit(False).alias("live")).cast(kind)
+        return _let(pure, lambda found: F.when(F.size(found) == 0, ended).otherwise(taken(state, found).cast(kind)))
 
     def taken(state: Column, found: Column) -> Column:
         placed = F.zip_with(
@@ -122,7 +126,9 @@ def peel(cells: Column, count: int, seed: int, rounds: int = ROUNDS) -> Column:
         return _let(
             placed,
             lambda items: F.struct(
-                F.concat(*[region(items, r) for r in range(REGIONS)]).alias("cells"), F.concat(state["found"], found).alias("found")
+                F.concat(*[region(items, r) for r in range(REGIONS)]).alias("cells"),
+                F.concat(state["found"], found).alias("found"),
+                F.lit(True).alias("live"),
             ),
         )
 
@@ -139,9 +145,9 @@ def peel(cells: Column, count: int, seed: int, rounds: int = ROUNDS) -> Column:
         )
 
     none = F.array().cast("array<struct<key:bigint,side:int>>")
-    kind = "struct<cells:array<struct<n:int,key:bigint,check:bigint>>,found:array<struct<key:bigint,side:int>>>"
-    start = F.struct(cells.alias("cells"), none.alias("found")).cast(kind)
-    done = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, lambda state, i: step(state, i).cast(kind))
+    kind = "struct<cells:array<struct<n:int,key:bigint,check:bigint>>,found:array<struct<key:bigint,side:int>>,live:boolean>"
+    start = F.struct(cells.alias("cells"), none.alias("found"), F.lit(True).alias("live")).cast(kind)
+    done = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, lambda state, _: F.when(state["live"], step(state)).otherwise(state))
     return _let(
         done,
         lambda state: F.when(
@@ -163,33 +169,42 @@ def _exact(left: Column, right: Column) -> Column:
     return F.concat(only(left, right, 1), only(right, left, -1))
 
 
-def difference(left: Column, right: Column, load: int = LOAD) -> Column:
-    """The differing digests of two arrays, by tables of parts: as many parts as leave `load` digests in each."""
-    parts = F.greatest(F.lit(1), F.ceil((F.size(left) + F.size(right)) / load).cast("int"))
+def _split(left: Column, right: Column, count: Column, seed: int, then) -> Column:
+    """`then` of both arrays' digests of each of `count` parts, joined."""
 
-    def dealt(keys: Column, count: Column) -> Column:
-        return F.transform(keys, lambda k: F.struct(k.alias("key"), F.pmod(F.xxhash64(k, F.lit(77)), count).cast("int").alias("part")))
+    def dealt(keys: Column) -> Column:
+        return F.transform(keys, lambda k: F.struct(k.alias("key"), F.pmod(F.xxhash64(k, F.lit(seed)), count).cast("int").alias("part")))
 
     def own(rows: Column, part: Column) -> Column:
         return F.transform(F.filter(rows, lambda x: x["part"] == part), lambda x: x["key"])
 
+    def of_part(rows: Column, part: Column) -> Column:
+        return _let(F.struct(own(rows["left"], part).alias("a"), own(rows["right"], part).alias("b")), lambda pair: then(pair["a"], pair["b"]))
+
+    return _let(
+        F.struct(dealt(left).alias("left"), dealt(right).alias("right")),
+        lambda rows: F.flatten(F.transform(F.sequence(F.lit(0), count - 1), lambda part: of_part(rows, part))),
+    )
+
+
+def difference(left: Column, right: Column, load: int = LOAD) -> Column:
+    """The differing digests of two arrays, by tables of parts: as many parts as leave about `load` digests in each.
+
+    The digests are dealt twice, into groups and these into parts, about as many of
+    each, so that the work of a long text does not grow with the square of its length.
+    """
+
     def of_part(a: Column, b: Column) -> Column:
         tries = [_attempt(a, b, cells, 100 + 2 * i) for i, cells in enumerate(ATTEMPTS)]
         return F.coalesce(*tries, _exact(a, b))
 
-    def of_parts(rows: Column, count: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                F.sequence(F.lit(0), count - 1),
-                lambda p: _let(
-                    F.struct(own(rows["left"], p).alias("a"), own(rows["right"], p).alias("b")), lambda pair: of_part(pair["a"], pair["b"])
-                ),
-            )
-        )
+    def parts(a: Column, b: Column) -> Column:
+        return F.greatest(F.lit(1), F.ceil((F.size(a) + F.size(b)) / load).cast("int"))
 
-    return _let(
-        parts, lambda count: _let(F.struct(dealt(left, count).alias("left"), dealt(right, count).alias("right")), lambda rows: of_parts(rows, count))
-    )
+    def of_group(a: Column, b: Column) -> Column:
+        return _let(parts(a, b), lambda count: _split(a, b, count, 77, of_part))
+
+    return _let(F.ceil(F.sqrt(parts(left, right))).cast("int"), lambda count: _split(left, right, count, 78, of_group))
 
 
 def recovered(left: Column, right: Column, left_table: Column, right_table: Column) -> Column:
