@@ -1,7 +1,8 @@
 """Key lookups and edits of document tables.
 
-`table` is large and unique by `_id`; the other side is a batch that may be
-small or large and may repeat ids. The ids of a batch are broadcast when they are
+`table` is large and unique by (`_index`, `_id`); the other side is a batch that may
+be small or large and may repeat ids. A batch with an `_index` column means the
+documents of those indices, one without it the ids of every index. The ids of a batch are broadcast when they are
 proven to fit, so that the table is filtered where it lies; otherwise both sides
 are shuffled. A batch is reduced to one row per id by an aggregation before it is
 joined, so repeated ids do not pile up in a task.
@@ -13,29 +14,38 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docquery.functions.predicates import selected
 from docquery.functions.shards import shard_of
+from docquery.functions.stored import INTEGRAL
 from docquery.model import build, leaves, quoted, source_type, split_touched
 from docquery.operators.bulk import present, typed_doc
 from docquery.session import bounded_broadcast
 
 
-def with_ids(docs: DataFrame) -> DataFrame:
-    """Give documents without `_id` one made from their content, the same on every run."""
-    made = F.sha2(F.to_json("_source"), 256)
-    if "_id" not in docs.columns:
-        return docs.withColumn("_id", made)
-    return docs.withColumn("_id", F.coalesce(F.col("_id").cast("string"), made))
+def with_ids(docs: DataFrame, order: str | None = None, dtype: T.DataType | None = None) -> DataFrame:
+    """Give documents without `_id` one made from their content, the same on every run.
+
+    With `order` the place counts too, so that equal documents stay apart. Ids are
+    text, or of `dtype`: whole numbers are made from a 64-bit hash.
+    """
+    dtype = dtype or T.StringType()
+    text = F.to_json(F.struct("_source", order) if order else "_source")
+    made = F.xxhash64(text) if isinstance(dtype, INTEGRAL) else F.sha2(text, 256)
+    given = F.col("_id") if "_id" in docs.columns else F.lit(None)
+    return docs.withColumn("_id", F.coalesce(given.cast(dtype), made.cast(dtype)))
 
 
 def index(table: DataFrame, docs: DataFrame, order: str | None = None) -> DataFrame:
-    """Create or replace documents by `_id`; of several for one id the last by `order` wins."""
-    if "_id" not in docs.columns:
-        docs = with_ids(docs)
-    latest = docs.groupBy("_id").agg(F.max_by(F.struct(*_body(table)), _order(order)).alias("_doc"))
-    replaced = latest.select("_id", "_doc.*").select(table.columns)
-    kept = table.join(_ids_of(docs), "_id", "left_anti").select(table.columns)
+    """Create or replace documents by id; of several for one id the last by `order` wins.
+
+    A document without an id gets one made for it.
+    """
+    docs, keys = with_ids(docs, order, table.schema["_id"].dataType), _keys(docs)
+    latest = docs.groupBy(*keys).agg(F.max_by(F.struct(*_body(table, keys)), _order(order)).alias("_doc"))
+    replaced = latest.select(*keys, "_doc.*").select(table.columns)
+    kept = table.join(_ids_of(docs), keys, "left_anti").select(table.columns)
     return kept.unionByName(replaced)
 
 
@@ -45,11 +55,12 @@ def create(table: DataFrame, docs: DataFrame, order: str) -> tuple[DataFrame, Da
     The first document of an id by `order` is inserted unless the id exists;
     every other one is a conflict.
     """
-    first = docs.groupBy("_id").agg(F.min_by(F.struct(*_body(table), order), order).alias("_doc"))
-    existing = table.select("_id").join(_ids_of(docs), "_id", "left_semi")
-    inserted = first.select("_id", "_doc.*").join(existing, "_id", "left_anti")
+    keys = _keys(docs)
+    first = docs.groupBy(*keys).agg(F.min_by(F.struct(*_body(table, keys), order), order).alias("_doc"))
+    existing = table.select(*keys).join(_ids_of(docs), keys, "left_semi")
+    inserted = first.select(*keys, "_doc.*").join(existing, keys, "left_anti")
     # Matching on (id, order) spreads the repeats of one id over all tasks.
-    conflicts = docs.join(inserted.select("_id", order), ["_id", order], "left_anti").select(docs.columns)
+    conflicts = docs.join(inserted.select(*keys, order), [*keys, order], "left_anti").select(docs.columns)
     return table.unionByName(inserted.select(table.columns)), conflicts
 
 
@@ -65,7 +76,7 @@ def get(table: DataFrame, key, shards: int | None = None) -> DataFrame:
 
 def delete(table: DataFrame, ids: DataFrame) -> DataFrame:
     """The table without the documents of a set of ids."""
-    return table.join(_ids_of(ids), "_id", "left_anti").select(table.columns)
+    return table.join(_ids_of(ids), _keys(ids), "left_anti").select(table.columns)
 
 
 def exists(table: DataFrame, ids: DataFrame) -> DataFrame:
@@ -75,7 +86,7 @@ def exists(table: DataFrame, ids: DataFrame) -> DataFrame:
 
 def get_source(table: DataFrame, ids: DataFrame | object) -> DataFrame:
     """The documents of some ids without metadata."""
-    found = table.join(_ids_of(ids), "_id", "left_semi") if isinstance(ids, DataFrame) else get(table, ids)
+    found = table.join(_ids_of(ids), _keys(ids), "left_semi") if isinstance(ids, DataFrame) else get(table, ids)
     return found.select("_source.*")
 
 
@@ -87,14 +98,15 @@ def source_exists(table: DataFrame, ids: DataFrame) -> DataFrame:
 def update_doc(table: DataFrame, partial: DataFrame, order: str | None = None) -> DataFrame:
     """Merge partial documents: fields they name replace, others stay, nested ones too.
 
-    `partial` has `_id`, `_source` and optionally `present ARRAY<STRING>`;
+    `partial` has `_id`, `_source` and optionally `_index` and `present ARRAY<STRING>`;
     without it the non-NULL fields count as named. Several partial documents of
     one id apply in `order`. Ids the table does not have are left out.
     """
     want, have = source_type(table), partial.schema["_source"].dataType
     named = {path: f"_f{n}" for n, (path, _) in enumerate(leaves(want))}
     typed = partial.withColumn("_typed", typed_doc(F.col("_source"), have, want))
-    folded = typed.groupBy("_id").agg(
+    keys = _keys(partial)
+    folded = typed.groupBy(*keys).agg(
         *[
             F.max_by(
                 F.struct(F.col(quoted(("_typed", *path))).alias("v")),
@@ -104,8 +116,8 @@ def update_doc(table: DataFrame, partial: DataFrame, order: str | None = None) -
         ],
         F.lit(True).alias("_hit"),
     )
-    untouched, touched = split_touched(table, partial, ["_id"])
-    joined = touched.join(folded, "_id", "left")
+    untouched, touched = split_touched(table, partial, keys)
+    joined = touched.join(folded, keys, "left")
 
     def field(path, dtype):
         new = F.col(named[path])
@@ -119,8 +131,8 @@ def update_doc(table: DataFrame, partial: DataFrame, order: str | None = None) -
 
 def update_script(table: DataFrame, ids: DataFrame, changes: Mapping[str, Column]) -> DataFrame:
     """Recompute fields of some documents from their own values, e.g. `{"views": source("views") + 1}`."""
-    hit = bounded_broadcast(ids.select("_id").distinct().withColumn("_hit", F.lit(True)))
-    joined = table.join(hit, "_id", "left")
+    hit = bounded_broadcast(ids.select(*_keys(ids)).distinct().withColumn("_hit", F.lit(True)))
+    joined = table.join(hit, _keys(ids), "left")
     return _changed(joined, F.col("_hit").isNotNull(), changes).select(table.columns)
 
 
@@ -129,7 +141,7 @@ def mget(table: DataFrame, requests: DataFrame) -> DataFrame:
 
     Requests have `pos`, `_id` and, when each names its own index, `_index`.
     """
-    keys = ["_index", "_id"] if "_index" in requests.columns else ["_id"]
+    keys = _keys(requests)
     # Only the requested documents are carried into the join that keeps absent ones.
     asked = bounded_broadcast(requests.select(*keys).distinct())
     wanted = table.join(asked, keys, "left_semi").select(*keys, "_source", F.lit(True).alias("found"))
@@ -151,21 +163,27 @@ def update_by_query(table: DataFrame, predicate: Column | None, changes: Mapping
 def _changed(df: DataFrame, hit: Column, changes: Mapping[str, Column]) -> DataFrame:
     body = F.col("_source")
     for name, value in changes.items():
-        body = body.withField(name, F.when(hit, value).otherwise(F.col(f"_source.{name}")))
+        body = body.withField(name, F.when(hit, value).otherwise(F.col(quoted(("_source", name)))))
     return df.withColumn("_source", body)
 
 
 def _flagged(table: DataFrame, ids: DataFrame) -> DataFrame:
-    found = table.select("_id").join(_ids_of(ids), "_id", "left_semi").distinct().withColumn("_found", F.lit(True))
-    return ids.join(found, "_id", "left").withColumn("exists", F.col("_found").isNotNull()).drop("_found")
+    keys = _keys(ids)
+    found = table.select(*keys).join(_ids_of(ids), keys, "left_semi").distinct().withColumn("_found", F.lit(True))
+    joined = ids.join(found, keys, "left").withColumn("exists", F.col("_found").isNotNull())
+    return joined.select(*ids.columns, "exists")
+
+
+def _keys(batch: DataFrame) -> list[str]:
+    return ["_index", "_id"] if "_index" in batch.columns else ["_id"]
 
 
 def _ids_of(batch: DataFrame) -> DataFrame:
-    return bounded_broadcast(batch.select("_id").distinct())
+    return bounded_broadcast(batch.select(*_keys(batch)).distinct())
 
 
-def _body(table: DataFrame) -> Iterable[str]:
-    return [c for c in table.columns if c != "_id"]
+def _body(table: DataFrame, keys: list[str]) -> Iterable[str]:
+    return [c for c in table.columns if c not in keys]
 
 
 def _order(order: str | None) -> Column:

@@ -33,10 +33,11 @@ def stats(df: DataFrame, metrics: Sequence[str] = STATS, deleted: Column | None
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
-    """One row per data file: rows, bytes and time of its last change. No column of the data is read."""
+    """One row per data file, known by its path: rows, bytes and time of its last change. No column of the data is read."""
     return (
         spark.read.parquet(path)
         .groupBy(
+            F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_name").alias("file"),
             F.col("_metadata.file_size").alias("bytes"),
             F.col("_metadata.file_modification_time").alias("modified"),
@@ -64,7 +65,7 @@ def search_shards(spark: SparkSession, path: str, predicate: Column | None = Non
     df = spark.read.parquet(path)
     shard = F.col("_shard") if "_shard" in df.columns else F.lit(0).alias("_shard")
     rows = df if predicate is None else df.filter(predicate)
-    return rows.groupBy(shard, F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    return rows.groupBy(shard, F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def field_caps(

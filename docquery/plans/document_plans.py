@@ -107,14 +107,84 @@ def doc_update_script(spark, sf):
     )
 
 
-def doc_mget(spark, sf):
-    """Each request names its own index; even positions ask the customers."""
-    both = (
+def _both(spark, sf):
+    """Orders and customers as one table; they share ids."""
+    return (
         docs(spark, sf, "orders").select("_index", "_id", F.struct(source("o_totalprice").alias("amount")).alias("_source"))
         .unionByName(docs(spark, sf, "customer").select("_index", "_id", F.struct(source("c_acctbal").alias("amount")).alias("_source")))
     )
-    asked = _asked(spark, sf).withColumn("_index", F.when(F.col("pos") % 2 == 0, "customer").otherwise("orders"))
-    return documents.mget(both, asked).select("pos", "_index", "_id", "found", source("amount").alias("amount"))
+
+
+def _asked_of(spark, sf):
+    """Each request names its own index; even positions ask the customers."""
+    return _asked(spark, sf).withColumn("_index", F.when(F.col("pos") % 2 == 0, "customer").otherwise("orders"))
+
+
+def _new_of(spark, sf):
+    """Documents of both indices."""
+    index = F.when(F.col("seq") % 2 == 0, "customer").otherwise("orders")
+    return changes(spark, sf).select(index.alias("_index"), "_id", "seq", F.struct(F.col("value").alias("amount")).alias("_source"))
+
+
+def _amounts(df):
+    return df.select("_index", "_id", source("amount").alias("amount"))
+
+
+def doc_mget(spark, sf):
+    return documents.mget(_both(spark, sf), _asked_of(spark, sf)).select("pos", "_index", "_id", "found", source("amount").alias("amount"))
+
+
+def doc_index_two_indices(spark, sf):
+    return _amounts(documents.index(_both(spark, sf), _new_of(spark, sf), "seq"))
+
+
+def doc_create_two_indices(spark, sf):
+    return _amounts(documents.create(_both(spark, sf), _new_of(spark, sf), "seq")[0])
+
+
+def doc_delete_two_indices(spark, sf):
+    return _amounts(documents.delete(_both(spark, sf), _asked_of(spark, sf)))
+
+
+def doc_exists_two_indices(spark, sf):
+    return documents.exists(_both(spark, sf), _asked_of(spark, sf))
+
+
+def doc_get_source_two_indices(spark, sf):
+    return documents.get_source(_both(spark, sf), _asked_of(spark, sf))
+
+
+def doc_source_exists_two_indices(spark, sf):
+    both = _both(spark, sf).withColumn("_source", F.when(source("amount") > 5000, F.col("_source")))
+    return documents.source_exists(both, _asked_of(spark, sf))
+
+
+def doc_update_two_indices(spark, sf):
+    return _amounts(documents.update_doc(_both(spark, sf), _new_of(spark, sf), "seq"))
+
+
+def doc_update_script_two_indices(spark, sf):
+    return _amounts(documents.update_script(_both(spark, sf), _asked_of(spark, sf), {"amount": source("amount") + 1}))
+
+
+def doc_index_absent_ids(spark, sf):
+    """Two in three documents have no id; equal ones stay apart by their place."""
+    key = F.concat(F.lit("c"), F.col("c_custkey").cast("string"))
+    body = F.struct(F.col("c_mktsegment").alias("kind"), F.col("c_nationkey").cast("long").alias("who"))
+    people = flat(spark, sf, "customer").select(F.lit("people").alias("_index"), key.alias("_id"), body.alias("_source"))
+    key = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("c"), F.col("user_id").cast("string")))
+    body = F.struct(F.col("event_type").alias("kind"), F.col("user_id").alias("who"))
+    batch = flat(spark, sf, "events").select(
+        F.lit("people").alias("_index"), key.alias("_id"), F.col("event_id").alias("seq"), body.alias("_source")
+    )
+    return documents.index(people, batch, "seq").select("_id", source("kind").alias("kind"), source("who").alias("who"))
+
+
+def doc_update_sparse(spark, sf):
+    """Rows without a source, and rows whose only field is NULL, before a batch that has some of their ids."""
+    body = F.when(F.col("_id") % 3 > 0, F.struct(F.when(F.col("_id") % 3 == 1, source("amount")).alias("amount")))
+    changed = documents.update_doc(_both(spark, sf).withColumn("_source", body), _new_of(spark, sf), "seq")
+    return changed.select("_index", "_id", F.col("_source").isNull().alias("bare"), source("amount").alias("amount"))
 
 
 def _cheap():
@@ -208,7 +278,9 @@ QUERIES = {
     f.__name__: f
     for f in (
         doc_index, doc_index_generated_ids, doc_create, doc_create_conflicts, doc_get, doc_delete, doc_exists, doc_get_source,
-        doc_source_exists, doc_update, doc_update_script, doc_mget, delete_by_query, delete_by_query_count, update_by_query,
+        doc_source_exists, doc_update, doc_update_script, doc_mget, doc_index_two_indices, doc_create_two_indices,
+        doc_delete_two_indices, doc_exists_two_indices, doc_get_source_two_indices, doc_source_exists_two_indices,
+        doc_update_two_indices, doc_update_script_two_indices, doc_index_absent_ids, doc_update_sparse, delete_by_query, delete_by_query_count, update_by_query,
         update_by_query_all, bulk_apply_state, bulk_apply_items, bulk_new_table, pit_as_of, bulk_ndjson_roundtrip,
         bulk_ndjson_apply, forcemerge_live,
     )
@@ -222,6 +294,12 @@ _NEW = (
 )
 
 
+_HAVE = f"""WITH {CHANGES_SQL},
+    asked AS (SELECT seq AS pos, _id, value, CASE WHEN seq % 2 = 0 THEN 'customer' ELSE 'orders' END AS _index FROM changes),
+    have AS (SELECT 'orders' AS _index, o_orderkey AS _id, o_totalprice AS amount FROM orders
+             UNION ALL SELECT 'customer', c_custkey, c_acctbal FROM customer)"""
+
+
 def _seen(where: str, stored: str = "stored") -> str:
     """What each action finds, by one window over the whole log of an id."""
     return f"""{LOG_SQL},
@@ -284,10 +362,34 @@ SQL = {
         SELECT o_orderkey AS _id, o_custkey, o_orderstatus, CASE WHEN hit._id IS NULL THEN o_totalprice ELSE o_totalprice + 1 END AS o_totalprice,
                o_orderdate, CASE WHEN hit._id IS NULL THEN o_orderpriority ELSE upper(substr(o_orderpriority, 3, 3)) END AS o_orderpriority
         FROM orders LEFT JOIN hit ON hit._id = o_orderkey""",
-    "doc_mget": f"""WITH {CHANGES_SQL},
-        asked AS (SELECT seq AS pos, _id, CASE WHEN seq % 2 = 0 THEN 'customer' ELSE 'orders' END AS _index FROM changes),
-        have AS (SELECT 'orders' AS _index, o_orderkey AS _id, o_totalprice AS amount FROM orders
-                 UNION ALL SELECT 'customer', c_custkey, c_acctbal FROM customer)
+    "doc_index_two_indices": f"""{_HAVE}
+        SELECT _index, _id, amount FROM have ANTI JOIN asked USING (_index, _id) UNION ALL SELECT _index, _id, value FROM asked""",
+    "doc_create_two_indices": f"""{_HAVE}
+        SELECT _index, _id, amount FROM have UNION ALL SELECT _index, _id, value FROM asked ANTI JOIN have USING (_index, _id)""",
+    "doc_delete_two_indices": f"{_HAVE} SELECT _index, _id, amount FROM have ANTI JOIN asked USING (_index, _id)",
+    "doc_exists_two_indices": f"""{_HAVE}
+        SELECT _index, _id, pos, have.amount IS NOT NULL AS "exists" FROM asked LEFT JOIN have USING (_index, _id)""",
+    "doc_get_source_two_indices": f"{_HAVE} SELECT amount FROM have SEMI JOIN asked USING (_index, _id)",
+    "doc_source_exists_two_indices": f"""{_HAVE}
+        SELECT _index, _id, pos, coalesce(have.amount > 5000, false) AS "exists" FROM asked LEFT JOIN have USING (_index, _id)""",
+    "doc_update_two_indices": f"""{_HAVE}
+        SELECT _index, _id, coalesce(asked.value, amount) AS amount FROM have LEFT JOIN asked USING (_index, _id)""",
+    "doc_update_script_two_indices": f"""{_HAVE}
+        SELECT _index, _id, CASE WHEN asked.pos IS NULL THEN amount ELSE amount + 1 END AS amount
+        FROM have LEFT JOIN asked USING (_index, _id)""",
+    "doc_index_absent_ids": """WITH batch AS (
+            SELECT event_id AS seq, event_type AS kind, user_id AS who,
+                   CASE WHEN event_id % 3 = 0 THEN 'c' || user_id
+                        ELSE sha256('{"_source":{"kind":"' || event_type || '","who":' || user_id || '},"seq":' || event_id || '}') END AS _id
+            FROM events),
+        latest AS (SELECT * FROM batch QUALIFY row_number() OVER (PARTITION BY _id ORDER BY seq DESC) = 1)
+        SELECT 'c' || c_custkey AS _id, c_mktsegment AS kind, CAST(c_nationkey AS BIGINT) AS who FROM customer
+        WHERE 'c' || c_custkey NOT IN (SELECT _id FROM latest) UNION ALL SELECT _id, kind, who FROM latest""",
+    "doc_update_sparse": f"""{_HAVE}
+        SELECT _index, _id, _id % 3 = 0 AND asked.pos IS NULL AS bare,
+               coalesce(asked.value, CASE WHEN _id % 3 = 1 THEN amount END) AS amount
+        FROM have LEFT JOIN asked USING (_index, _id)""",
+    "doc_mget": f"""{_HAVE}
         SELECT pos, a._index, a._id, have._id IS NOT NULL AS found, amount FROM asked a LEFT JOIN have USING (_index, _id)""",
     "delete_by_query": f"SELECT {_ORDERS} FROM orders WHERE NOT (o_orderstatus <> 'F' AND o_totalprice < 200000)",
     "delete_by_query_count": "SELECT count(*) AS deleted FROM orders WHERE o_orderstatus <> 'F' AND o_totalprice < 200000",

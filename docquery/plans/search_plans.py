@@ -9,7 +9,7 @@ from docquery.functions.text import tokens
 from docquery.model import source
 from docquery.operators import evaluate, paging, search, templates, text_analysis, tiles
 from docquery.operators.profile import field_caps
-from docquery.plans.inputs import docs, flat, text_docs, texts
+from docquery.plans.inputs import IDS, docs, flat, text_docs, texts
 
 QUERY = "that river and the onesen"
 EXPLAIN = "the and que onesen"
@@ -33,6 +33,12 @@ def search_bm25(spark, sf):
     return hits.select("_index", "_id", "_score", source("lang").alias("lang"))
 
 
+def search_sorted(spark, sf):
+    """The longest matching documents."""
+    hits = search.search(text_docs(spark, sf, "documents"), "_source.text", QUERY, size=25, sort=[(source("n_chars"), True)])
+    return hits.select("_id", "_score", source("n_chars").alias("n_chars"))
+
+
 def search_filtered(spark, sf):
     where = term(source("lang"), "en") & (source("n_chars") > 500)
     return search.search(text_docs(spark, sf, "documents"), "_source.text", QUERY, where, size=20).select("_id", "_score")
@@ -164,9 +170,20 @@ def msearch_template(spark, sf):
     return hits.select("query_id", "_rank", "o_orderkey", "o_totalprice")
 
 
+def msearch_template_default(spark, sf):
+    """The first ten orders of every customer, in the order of their ids."""
+    params = flat(spark, sf, "customer").select(F.col("c_custkey").alias("query_id"))
+    orders = docs(spark, sf, "orders").select("_id", source("o_custkey").alias("who"))
+    return templates.msearch_template(orders, params, {"who": "query_id"}).select("query_id", "_rank", "_id")
+
+
 def field_caps_all(spark, sf):
-    tables = {n: docs(spark, sf, n) for n in ("orders", "lineitem", "customer", "supplier", "part", "events")}
-    return field_caps(tables).select("_index", "field", "conflict", "has_data")
+    """All tables, and two more in which `amount` is a number here and text there."""
+    tables = {n: docs(spark, sf, n) for n in IDS}
+    for name, field in (("prices", "o_totalprice"), ("brands", "p_brand")):
+        rows = docs(spark, sf, {"prices": "orders", "brands": "part"}[name])
+        tables[name] = rows.withColumn("_source", F.struct(source(field).alias("amount")))
+    return field_caps(tables).select("_index", "field", "type", "conflict", "has_data")
 
 
 def analyze_tokens(spark, sf):
@@ -197,7 +214,7 @@ def mtermvectors(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        search_bm25, search_filtered, search_scores, msearch_benchmark, msearch_two_indices, explain_terms, count_term, count_match,
+        search_bm25, search_sorted, msearch_template_default, search_filtered, search_scores, msearch_benchmark, msearch_two_indices, explain_terms, count_term, count_match,
         terms_enum_prefix, terms_enum_part, query_ids, query_index_filter, query_source_filter, scroll_page, number_pages,
         rank_eval_precision, rank_eval_mean, tile_grid, search_template, msearch_template, analyze_tokens,
         analyze_conversations, termvectors, mtermvectors,
@@ -256,6 +273,11 @@ SQL = {
     "search_bm25": f"""WITH {TOKENS_SQL}, {_HITS}
         SELECT 'documents' AS _index, doc_id AS _id, score AS _score, lang
         FROM hits JOIN documents USING (doc_id) ORDER BY score DESC, doc_id LIMIT 10""",
+    "search_sorted": f"""WITH {TOKENS_SQL}, {_HITS}
+        SELECT doc_id AS _id, score AS _score, n_chars FROM hits JOIN documents USING (doc_id) ORDER BY n_chars DESC, doc_id LIMIT 25""",
+    "msearch_template_default": """SELECT query_id, CAST(rk AS INTEGER) AS _rank, _id FROM (
+        SELECT c_custkey AS query_id, o_orderkey AS _id, row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderkey) AS rk
+        FROM customer JOIN orders ON o_custkey = c_custkey) WHERE rk <= 10""",
     "search_filtered": f"""WITH {TOKENS_SQL}, {_HITS}
         SELECT doc_id AS _id, score AS _score FROM hits JOIN documents USING (doc_id)
         WHERE lang = 'en' AND n_chars > 500 ORDER BY score DESC, doc_id LIMIT 20""",
@@ -329,9 +351,13 @@ SQL = {
                row_number() OVER (PARTITION BY c_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rk
         FROM customer JOIN orders ON o_custkey = c_custkey AND o_totalprice > c_acctbal * 20) WHERE rk <= 3""",
     "field_caps": " UNION ALL ".join(
-        f"SELECT '{t}' AS _index, column_name AS field, false AS conflict, true AS has_data FROM (DESCRIBE {t})"
-        for t in ("orders", "lineitem", "customer", "supplier", "part", "events")
-    ),
+        f"""SELECT '{t}' AS _index, column_name AS field,
+            CASE column_type WHEN 'BIGINT' THEN 'long' WHEN 'INTEGER' THEN 'integer' WHEN 'DOUBLE' THEN 'double' WHEN 'FLOAT[]' THEN 'float'
+                             WHEN 'TIMESTAMP' THEN 'date' ELSE 'text' END AS type,
+            false AS conflict, true AS has_data FROM (DESCRIBE {t})"""
+        for t in IDS
+    )
+    + """ UNION ALL SELECT 'prices', 'amount', 'double', true, true UNION ALL SELECT 'brands', 'amount', 'text', true, true""",
     "analyze_tokens": _analyze_sql("documents", "doc_id"),
     "analyze_conversations": _analyze_sql("conversations", "conv_id, turn"),
     "termvectors": f"WITH {_VECTORS} SELECT * FROM vec JOIN stats USING (term) CROSS JOIN field",

@@ -28,10 +28,36 @@ def scan_many(spark, sf):
 
 
 def scan_paths(spark, sf):
-    df = scan.scan_many(spark, [f"{sf}/customer.parquet"], "c_custkey")
+    """Two folders as one index; each has fields the other lacks."""
+    renamed = {}
+    for name, key in (("customer", "c_custkey"), ("supplier", "s_suppkey")):
+        renamed[name] = f"{new_folder(spark, 'paths')}/{name}.parquet"
+        flat(spark, sf, name).withColumnRenamed(key, "number").write.parquet(renamed[name])
+    df = scan.scan_many(spark, list(renamed.values()), "number")
+    return df.select("_index", "_id", source("c_mktsegment").alias("segment"), source("s_acctbal").alias("balance"))
+
+
+def scan_qualified(spark, sf):
+    """A table named with its database."""
+    flat(spark, sf, "customer").createOrReplaceGlobalTempView("docquery_customer")
+    df = scan.scan(spark, "global_temp.docquery_customer", "c_custkey", "customer")
     return df.select("_index", "_id", source("c_mktsegment").alias("segment"))
 
 
+def reindex_upsert(spark, sf):
+    """Urgent orders copied, at twice the price, over an index that holds the finished ones."""
+    orders = docs(spark, sf, "orders").withColumn("_index", F.lit("kept"))
+    copied = layout.reindex(
+        orders,
+        new_folder(spark, "upsert"),
+        "kept",
+        source("o_orderpriority") == "1-URGENT",
+        lambda df: df.withColumn("_source", F.col("_source").withField("o_totalprice", F.round(source("o_totalprice") * 2, 2))),
+        into=orders.filter(source("o_orderstatus") == "F"),
+    )
+    return copied.select("_index", "_id", source("o_totalprice").alias("price"))
+
+
 def scan_pattern(spark, sf):
     """All catalog tables of a name pattern."""
     for n, status in enumerate(("F", "O", "P")):
@@ -123,7 +149,7 @@ def stats_docs(spark, sf):
 
 
 def segments(spark, sf):
-    return profile.segments(spark, f"{sf}/orders.parquet").select("file", "rows")
+    return profile.segments(spark, f"{sf}/orders.parquet").select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), "rows")
 
 
 def disk_usage(spark, sf):
@@ -145,7 +171,7 @@ def search_shards(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_many, scan_paths, scan_pattern, alias_scan, reindex_filter, clone, split_counts, shrink_counts, routed_counts,
+        scan_many, scan_paths, scan_qualified, reindex_upsert, scan_pattern, alias_scan, reindex_filter, clone, split_counts, shrink_counts, routed_counts,
         rollover_docs, rollover_age, conform, stats, stats_docs, segments, disk_usage, disk_usage_documents, search_shards,
     )
 }
@@ -168,7 +194,12 @@ SQL = {
     "scan_many": r"""SELECT 'orders' AS _index, o_orderkey AS key, regexp_replace(CAST(o_totalprice AS VARCHAR), '\.0$', '') AS amount FROM orders
         UNION ALL SELECT 'lineitem', l_orderkey, CAST(l_linenumber AS VARCHAR) FROM lineitem
         UNION ALL SELECT 'part', p_partkey, p_brand FROM part""",
-    "scan_paths": "SELECT 'customer' AS _index, c_custkey AS _id, c_mktsegment AS segment FROM customer",
+    "scan_paths": """SELECT 'customer' AS _index, c_custkey AS _id, c_mktsegment AS segment, NULL::DOUBLE AS balance FROM customer
+        UNION ALL SELECT 'supplier', s_suppkey, NULL, s_acctbal FROM supplier""",
+    "scan_qualified": "SELECT 'customer' AS _index, c_custkey AS _id, c_mktsegment AS segment FROM customer",
+    "reindex_upsert": """SELECT 'kept' AS _index, o_orderkey AS _id,
+        CASE WHEN o_orderpriority = '1-URGENT' THEN round(o_totalprice * 2, 2) ELSE o_totalprice END AS price
+        FROM orders WHERE o_orderpriority = '1-URGENT' OR o_orderstatus = 'F'""",
     "scan_pattern": """SELECT CASE o_orderstatus WHEN 'F' THEN 'docquery_orders_0' WHEN 'O' THEN 'docquery_orders_1'
         ELSE 'docquery_orders_2' END AS _index, count(*) AS n, o_orderstatus AS status FROM orders GROUP BY o_orderstatus""",
     "alias_scan": """SELECT 'orders' AS _index, CAST(o_orderkey AS VARCHAR) AS _id, o_totalprice AS amount FROM orders

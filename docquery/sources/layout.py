@@ -30,10 +30,18 @@ def reindex(
     index: str,
     query: Column | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    into: DataFrame | None = None,
 ) -> DataFrame:
-    """Copy the documents `query` selects, transformed, into a new index at `path`."""
+    """Copy the documents `query` selects, transformed, into an index written at `path`.
+
+    `into` is what the index holds already: its documents stay, except those of
+    an id that is copied. The copied ids must be unique, as those of one index are.
+    """
     df = source if query is None else source.filter(query)
     df = (transform(df) if transform else df).withColumn("_index", F.lit(index))
+    if into is not None:
+        copied = bounded_broadcast(df.select("_index", "_id").distinct())
+        df = into.join(copied, ["_index", "_id"], "left_anti").select(into.columns).unionByName(df.select(into.columns))
     # What a query leaves of each task may be little; a rebalance packs it into files of a proper size.
     (df if query is None else df.hint("rebalance")).write.parquet(path)
     return df.sparkSession.read.parquet(path)

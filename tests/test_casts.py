@@ -142,6 +142,7 @@ def variant(spark, json, column):
         ('"1.2,3.4"', None),
         ("[3.4, 1.2]", None),
         ('{"lat": 1.2}', None),
+        ('{"lat": 1.2, "lon": 3.4, "alt": 5}', None),
         ("null", None),
     ],
 )
@@ -158,6 +159,7 @@ def test_geo(spark, json, expected):
         ('{"gte": "1", "lte": "2"}', None),
         ('{"gte": 1}', None),
         ('{"gt": 1, "lte": 2}', None),
+        ('{"gte": 1, "lte": 2, "boost": 3}', None),
         ("7", None),
     ],
 )
@@ -173,6 +175,7 @@ def test_int_range(spark, json, expected):
         ('{"gte": 0, "lte": 86400000}', None, (dt.date(1970, 1, 1), dt.date(1970, 1, 2))),
         ('{"gte": "soon", "lte": "2026-08-11"}', None, None),
         ('{"lte": "2026-08-11"}', None, None),
+        ('{"gte": 0, "lte": 0, "zone": "Z"}', None, None),
     ],
 )
 def test_date_range(spark, json, format, expected):

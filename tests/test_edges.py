@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from docquery import session
 from docquery.functions.addresses import load_ip
-from docquery.functions.shapes import load_binary
-from docquery.operators.documents import update_doc
+from docquery.functions.shapes import load_binary, load_int_range
+from docquery.operators.documents import delete, index, update_doc
 from docquery.operators.paging import page
 from docquery.sources.layout import _generation, rollover
 
@@ -46,3 +46,26 @@ def test_update_leaves_other_bodies_alone_at_any_batch_size(spark, monkeypatch):
         results.append(sorted((r["_id"], r["_source"]) for r in update_doc(table, partial).collect()))
     assert results[0] == results[1]
     assert results[0][0] == ("a", None)
+
+
+def test_edits_keep_to_the_index_a_batch_names(spark, docs):
+    both = docs({"1": (1,)}, "n int", "a").unionByName(docs({"1": (2,)}, "n int", "b"))
+    out = index(both, docs({"1": (9,)}, "n int", "a"))
+    assert sorted((r["_index"], r["_source"].n) for r in out.collect()) == [("a", 9), ("b", 2)]
+    assert [r["_index"] for r in delete(both, docs({"1": (0,)}, "n int", "b")).collect()] == ["a"]
+
+
+def test_documents_without_id_are_all_kept(spark, docs):
+    batch = spark.createDataFrame([("posts", None, 1, (5,)), ("posts", None, 2, (5,)), ("posts", "1", 3, (7,))], "_index string, _id string, seq int, _source struct<n:int>")
+    assert sorted(r["_source"].n for r in index(docs({"1": (1,)}, "n int"), batch, "seq").collect()) == [5, 5, 7]
+    numbers = batch.withColumn("_id", F.col("_id").cast("long"))
+    table = docs({"1": (1,)}, "n int").withColumn("_id", F.col("_id").cast("long"))
+    out = index(table, numbers, "seq")
+    assert out.schema["_id"].dataType.simpleString() == "bigint"
+    assert sorted(r["_source"].n for r in out.collect()) == [5, 5, 7] and not out.filter("_id IS NULL").count()
+
+
+def test_a_third_member_makes_a_struct_no_range(spark):
+    df = spark.createDataFrame([((1, 2, None),), ((1, 2, 3),)], "r struct<gte:long,lte:long,boost:long>")
+    out = df.select(load_int_range(F.col("r"), df.schema["r"].dataType).alias("r")).collect()
+    assert [r.r and tuple(r.r) for r in out] == [(1, 2), None]
