@@ -13,16 +13,20 @@ row each. The final documents are a plain aggregation with map-side partials.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docquery.functions.stored import INTEGRAL, let
 from docquery.model import build, leaves, quoted, source_type, split_touched
 from docquery.sources.mapping import merge, reshape
 
 #: Rows a chunk of the order should hold.
 CHUNK = 1 << 18
+#: Cuts that a row is compared with in each of two steps.
+BOUNDS = 32
 
 KEYS = ("_index", "_id")
 
@@ -39,10 +43,9 @@ def apply_bulk(
 
     Outcomes are created, updated, conflict (a create of an existing id),
     missing (an update of an absent one), deleted and not_found. `chunk` must
-    not decrease along `order`. Without one the range of the first order column
-    is cut evenly, or, for an order such as (file, line), each file by its
-    lines; a log that comes in bursts can be given a dense order by
-    `paging.with_position` first. The log is read several times, so write
+    not decrease along `order`. Without one the order's first column is cut at
+    its quantiles, or, for an order such as (file, line), each file by its
+    lines. The log is read several times, so write
     parsed bulk files as a table before.
     """
     log = _normal(log, order, default_index)
@@ -76,10 +79,17 @@ def typed_doc(doc: Column, have: T.DataType, want: T.StructType) -> Column:
     return reshape(doc, have, want)
 
 
-def present(path: tuple[str, ...], doc: str, have: T.DataType, columns: Sequence[str]) -> Column:
-    """Whether a log document says anything about a field; an explicit NULL does."""
+def present(path: tuple[str, ...], dtype: T.DataType, doc: str, have: T.DataType, columns: Sequence[str]) -> Column:
+    """Whether a log document sets a field; an explicit NULL does, of the field or an object around it.
+
+    A value that does not fit the field's type sets nothing.
+    """
     if isinstance(have, T.VariantType):
-        return F.try_variant_get(F.col(doc), "$." + ".".join(path), "variant").isNotNull()
+        fits = F.try_variant_get(F.col(doc), "$." + ".".join(path), dtype.simpleString()).isNotNull()
+        for n in range(1, len(path) + 1):
+            part = F.try_variant_get(F.col(doc), "$." + ".".join(path[:n]), "variant")
+            fits = fits | F.coalesce(F.is_variant_null(part), F.lit(False))
+        return fits
     if not _has(have, path):
         return F.lit(False)
     if "present" in columns:
@@ -90,29 +100,58 @@ def present(path: tuple[str, ...], doc: str, have: T.DataType, columns: Sequence
 def _normal(log: DataFrame, order: Sequence[str], default_index: str | None) -> DataFrame:
     index = F.col("_index") if "_index" in log.columns else F.lit(None).cast("string")
     log = log.withColumn("_index", F.coalesce(index, F.lit(default_index).cast("string"), F.lit("")))
-    if not isinstance(log.schema["_id"].dataType, T.StringType):
-        return log
     # A new document without an id gets one from its place in the log, the same on every run.
-    made = F.sha2(F.to_json(F.struct(*order, "_index")), 256)
-    new = F.col("action").isin("index", "create")
-    return log.withColumn("_id", F.coalesce(F.col("_id"), F.when(new, made), F.lit("")))
+    place, new = F.to_json(F.struct(*order, "_index")), F.col("action").isin("index", "create")
+    dtype = log.schema["_id"].dataType
+    if isinstance(dtype, T.StringType):
+        return log.withColumn("_id", F.coalesce(F.col("_id"), F.when(new, F.sha2(place, 256)), F.lit("")))
+    if isinstance(dtype, INTEGRAL):
+        return log.withColumn("_id", F.coalesce(F.col("_id"), F.when(new, F.xxhash64(place).cast(dtype))))
+    return log
 
 
 def even_chunks(log: DataFrame, order: Sequence[str], rows: int = CHUNK) -> Column:
-    """Stretches of the order that hold about `rows` rows each; the bounds come from one small aggregation."""
+    """Stretches of the order that hold about `rows` rows each, however unevenly its values lie.
+
+    The bounds are quantiles of the first column, found by one aggregation. A log of
+    more than `BOUNDS * BOUNDS` chunks is cut at as many quantiles, and evenly in between.
+    """
     whole = (T.LongType, T.IntegerType)
     first, last = order[0], order[-1]
     if isinstance(log.schema[first].dataType, whole):
-        low, high, n = log.agg(F.min(first), F.max(first), F.count(F.lit(1))).first()
-        if not n:
-            return F.lit(0)
-        width = max(1, (high - low + 1) * rows // n)
-        return F.floor((F.col(first) - low) / width)
+        n = log.count()
+        stretches = min(BOUNDS * BOUNDS, max(1, n // rows))
+        share = [k / stretches for k in range(stretches + 1)]
+        cuts = log.agg(F.percentile_approx(first, F.lit(share), 10 * BOUNDS * BOUNDS)).first()[0]
+        return _stretch(F.col(first), cuts, max(1, n // (stretches * rows))) if cuts else F.lit(0)
     if isinstance(log.schema[last].dataType, whole):
         return F.struct(*[F.col(c) for c in order[:-1]], F.floor(F.col(last) / rows).alias("part"))
     raise ValueError("give a chunk column for an order without an integer column")
 
 
+def _stretch(at: Column, cuts: Sequence[int], parts: int) -> Column:
+    """The number of the stretch between two cuts that a place lies in, and of its even part; -1 without a place.
+
+    The stretch is looked up in two steps, each among few cuts.
+    """
+    lows, highs = cuts[:-1], cuts[1:]
+    fine = [lows[k : k + BOUNDS] for k in range(0, len(lows), BOUNDS)]
+
+    def passed(bounds: Column) -> Column:
+        return F.greatest(F.size(F.filter(bounds, lambda low: low <= at)) - 1, F.lit(0))
+
+    block = passed(F.array(*[F.lit(b[0]) for b in fine]))
+    number = let(block, lambda b: b * BOUNDS + passed(F.get(F.array(*[F.array(*map(F.lit, x)) for x in fine]), b)))
+    if parts > 1:
+        widths = [max(1, -(-(high - low) // parts)) for low, high in zip(lows, highs, strict=True)]
+        low, width = F.array(*map(F.lit, lows)), F.array(*map(F.lit, widths))
+        number = let(
+            number,
+            lambda k: k.cast("long") * parts + F.least(F.floor((at - F.get(low, k)) / F.get(width, k)), F.lit(parts - 1).cast("long")),
+        )
+    return F.when(at.isNull(), F.lit(-1).cast("long")).otherwise(number.cast("long"))
+
+
 def _keyed(table: DataFrame) -> DataFrame:
     index = F.col("_index") if "_index" in table.columns else F.lit("")
     return table.select(index.alias("_index"), "_id", "_source")
@@ -137,7 +176,10 @@ def _with_before(table: DataFrame | None, log: DataFrame, order: Sequence[str],
         carried = carried.join(ids, list(KEYS), "left").withColumn("_stored", F.coalesce("_stored", F.lit(False)))
 
     in_chunk = Window.partitionBy(*KEYS, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return marked.join(carried, [*KEYS, "_chunk"]).withColumn(
+    # A place or an id may be NULL; such actions have an outcome too.
+    m, c = marked.alias("m"), carried.alias("c")
+    same = [F.col(f"m.{k}").eqNullSafe(F.col(f"c.{k}")) for k in (*KEYS, "_chunk")]
+    return m.join(c, reduce(Column.__and__, same)).select("m.*", "_carried", "_stored").withColumn(
         "_before", F.coalesce(F.last("_exists", ignorenulls=True).over(in_chunk), "_carried", "_stored")
     )
 
@@ -171,9 +213,9 @@ def _state(table: DataFrame | None, seen: DataFrame, order: Sequence[str], schem
     typed = seen.withColumn("_typed", typed_doc(F.col("doc"), have, want)).withColumn("_base", replaces)
     aggregates = [F.max_by("_exists", F.when(F.col("_exists").isNotNull(), at)).alias("_alive")]
     names = {}
-    for n, (path, _) in enumerate(leaves(want)):
+    for n, (path, dtype) in enumerate(leaves(want)):
         names[path] = f"_f{n}"
-        sets = F.col("_base") | ((F.col("action") == "update") & present(path, "doc", have, seen.columns))
+        sets = F.col("_base") | ((F.col("action") == "update") & present(path, dtype, "doc", have, seen.columns))
         # The struct around the value keeps an explicit NULL apart from "never set".
         value = F.struct(F.col(quoted(("_typed", *path))).alias("v"))
         aggregates.append(F.max_by(value, F.when(sets, at)).alias(names[path]))

@@ -110,9 +110,9 @@ def update_doc(table: DataFrame, partial: DataFrame, order: str | None = None) -
         *[
             F.max_by(
                 F.struct(F.col(quoted(("_typed", *path))).alias("v")),
-                F.when(present(path, "_source", have, partial.columns), _order(order)),
+                F.when(present(path, dtype, "_source", have, partial.columns), _order(order)),
             ).alias(name)
-            for path, name in named.items()
+            for (path, name), dtype in zip(named.items(), (t for _, t in leaves(want)), strict=True)
         ],
         F.lit(True).alias("_hit"),
     )

@@ -231,6 +231,21 @@ def bulk_apply_items(spark, sf):
     return _applied(spark, sf)[1].select("at", "seq", "action", "_id", "outcome")
 
 
+def _gapped(spark, sf):
+    """The log with NULL for every seventh id and for every eleventh time."""
+    log = action_log(spark, sf)
+    return log.withColumns(
+        {"_id": F.when(F.col("seq") % 7 > 0, F.col("_id")), "at": F.when(F.col("seq") % 11 > 0, F.col("at"))}
+    )
+
+
+def bulk_items_nulls(spark, sf):
+    """Outcomes by actions without an id or a time: an action without a time comes first."""
+    log = _gapped(spark, sf)
+    items = bulk.apply_bulk(users(spark, sf), log, ORDER)[1]
+    return items.select("at", "seq", "action", F.when(F.col("seq") % 7 > 0, F.col("_id")).alias("_id"), "outcome")
+
+
 def bulk_new_table(spark, sf):
     """The log applied to nothing, one order column and the default chunks."""
     state, _ = bulk.apply_bulk(None, action_log(spark, sf), ("seq",))
@@ -281,7 +296,7 @@ QUERIES = {
         doc_source_exists, doc_update, doc_update_script, doc_mget, doc_index_two_indices, doc_create_two_indices,
         doc_delete_two_indices, doc_exists_two_indices, doc_get_source_two_indices, doc_source_exists_two_indices,
         doc_update_two_indices, doc_update_script_two_indices, doc_index_absent_ids, doc_update_sparse, delete_by_query, delete_by_query_count, update_by_query,
-        update_by_query_all, bulk_apply_state, bulk_apply_items, bulk_new_table, pit_as_of, bulk_ndjson_roundtrip,
+        update_by_query_all, bulk_items_nulls, bulk_apply_state, bulk_apply_items, bulk_new_table, pit_as_of, bulk_ndjson_roundtrip,
         bulk_ndjson_apply, forcemerge_live,
     )
 }
@@ -405,6 +420,17 @@ SQL = {
                       WHEN 'index' THEN CASE WHEN bef THEN 'updated' ELSE 'created' END
                       WHEN 'update' THEN CASE WHEN bef THEN 'updated' ELSE 'missing' END
                       ELSE CASE WHEN bef THEN 'deleted' ELSE 'not_found' END END AS outcome FROM seen""",
+    "bulk_items_nulls": f"""WITH {LOG_SQL},
+        gapped AS (SELECT CASE WHEN seq % 11 > 0 THEN "at" END AS "at", seq, action, CASE WHEN seq % 7 > 0 THEN _id END AS _id FROM log),
+        seen AS (SELECT *, _id IS NOT NULL AND coalesce(last_value(CASE WHEN action IN ('index', 'create') THEN true
+                        WHEN action = 'delete' THEN false END IGNORE NULLS)
+                    OVER (PARTITION BY _id ORDER BY "at" NULLS FIRST, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                    _id IN (SELECT _id FROM stored)) AS bef FROM gapped)
+        SELECT "at", seq, action, _id,
+          CASE action WHEN 'create' THEN CASE WHEN bef THEN 'conflict' ELSE 'created' END
+                      WHEN 'index' THEN CASE WHEN bef THEN 'updated' ELSE 'created' END
+                      WHEN 'update' THEN CASE WHEN bef THEN 'updated' ELSE 'missing' END
+                      ELSE CASE WHEN bef THEN 'deleted' ELSE 'not_found' END END AS outcome FROM seen""",
     "bulk_new_table": _state_sql(stored="(SELECT * FROM stored WHERE false)"),
     "pit_as_of": _state_sql('"at" <= 1705276799999999'),
     "bulk_ndjson_roundtrip": f"""WITH {LOG_SQL}

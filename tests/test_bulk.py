@@ -209,3 +209,24 @@ def test_variant_log_applies_with_explicit_nulls(spark, tmp_path):
     state, items = bulk.apply_bulk(None, read_bulk(spark, str(tmp_path), "t"), ("file", "seq"), schema=schema)
     assert state.first()["_source"].asDict(True) == {"a": 1, "b": None, "o": {"p": 1, "q": 2}}
     assert [r.outcome for r in items.orderBy("seq").collect()] == ["created", "updated", "missing"]
+
+
+def test_an_early_outlier_does_not_fill_a_chunk(spark):
+    log = spark.range(1, 1001).select(F.when(F.col("id") == 1, F.lit(-(10**12))).otherwise(F.col("id") * 3).alias("seq"))
+    sizes = [r["count"] for r in log.groupBy(bulk.even_chunks(log, ["seq"], 100)).count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 200
+
+
+def test_many_cuts_keep_the_order(spark):
+    log = spark.range(20_000).select((F.col("id") * F.col("id")).alias("seq"))
+    for rows in (1, 13, 500):
+        at = log.select("seq", bulk.even_chunks(log, ["seq"], rows).alias("chunk")).orderBy("seq").toPandas()["chunk"]
+        assert at.is_monotonic_increasing and at.value_counts().max() <= 2 * max(rows, 20_000 // bulk.BOUNDS**2)
+
+
+def test_misfits_set_nothing_and_a_null_object_clears_its_fields(spark, docs):
+    table = docs({"1": (1, (2,)), "2": (1, (2,))}, "n int, o struct<p:int>")
+    log = spark.sql("""SELECT * FROM VALUES (1L, 'update', '1', parse_json('{"n":"abc"}')), (2L, 'update', '2', parse_json('{"o":null}'))
+        AS t(seq, action, _id, doc)""").withColumn("_index", F.lit("posts"))
+    out = {r["_id"]: r["_source"].asDict(recursive=True) for r in bulk.apply_bulk(table, log)[0].collect()}
+    assert out == {"1": {"n": 1, "o": {"p": 2}}, "2": {"n": 1, "o": None}}
