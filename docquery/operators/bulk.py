@@ -93,7 +93,8 @@ def present(path: tuple[str, ...], dtype: T.DataType, doc: str, have: T.DataType
     if not _has(have, path):
         return F.lit(False)
     if "present" in columns:
-        return F.coalesce(F.array_contains("present", ".".join(path)), F.lit(False))
+        around = F.array(*[F.lit(".".join(path[:n])) for n in range(1, len(path) + 1)])
+        return F.coalesce(F.arrays_overlap("present", around), F.lit(False))
     return F.col(quoted((doc, *path))).isNotNull()
 
 

@@ -8,12 +8,13 @@ without moving anything again.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docquery.functions.text import STARTS_WITH_WORD, analyzer, runs, term_frequencies
-from docquery.session import join_statistics, materialize
+from docquery.session import bounded_broadcast, join_statistics, materialize
 
 
 def analyze(df: DataFrame, id_cols: str | Sequence[str], text_col: str, by: str = "standard") -> DataFrame:
@@ -93,17 +94,25 @@ def termvectors(
 def mtermvectors(
     tables: dict[str, DataFrame], id_cols: str | Sequence[str], text_col: str, requests: DataFrame, default_index: str | None = None
 ) -> DataFrame:
-    """Term vectors for a list of documents, each possibly in its own index; statistics are the index's own."""
+    """Term vectors for a list of documents, each possibly in its own index; statistics are the index's own.
+
+    Every request is answered: `found` tells whether the document is there, and one
+    that is not, or has no token, gets a row without a term.
+    """
+    keys = ["_index", *_ids(id_cols)]
     index = F.col("_index") if "_index" in requests.columns else F.lit(None).cast("string")
     asked = requests.withColumn("_index", F.coalesce(index, F.lit(default_index).cast("string")))
-    parts = [
-        termvectors(table, id_cols, text_col, asked.filter(F.col("_index") == name)).withColumn("_index", F.lit(name))
-        for name, table in tables.items()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    asked = asked.select(*keys).distinct()
+    parts, stored = [], []
+    for name, table in tables.items():
+        own = asked.filter(F.col("_index") == name)
+        parts.append(termvectors(table, id_cols, text_col, own).withColumn("_index", F.lit(name)))
+        there = table.select(*keys[1:]).join(bounded_broadcast(own.select(*keys[1:])), keys[1:], "left_semi")
+        stored.append(there.withColumns({"_index": F.lit(name), "_there": F.lit(True)}))
+    answered = asked.join(reduce(DataFrame.unionByName, stored).distinct(), keys, "left")
+    vectors = reduce(DataFrame.unionByName, parts)
+    joined = answered.join(vectors, keys, "left").withColumn("found", F.col("_there").isNotNull())
+    return joined.select(*vectors.columns, "found")
 
 
 def _term_statistics(df: DataFrame, text_col: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docquery.functions.predicates import ids, index_filter, match, match_all, source_filter, term
@@ -117,6 +120,22 @@ def scroll_page(spark, sf):
     return first.unionByName(later)
 
 
+def scroll_all_pages(spark, sf):
+    """All orders in five pages, each found by the last row of the one before; the key descends and may be NULL."""
+    price = F.when(F.col("o_totalprice") <= 200000, F.col("o_totalprice"))
+    orders = flat(spark, sf, "orders").select("o_orderkey", price.alias("price"))
+    keys, size = [("price", True), "o_orderkey"], max(1, -(-orders.count() // 5))
+    pages, after = [], None
+    for number in range(1, 6):
+        found = paging.page(orders, keys, after, size)
+        pages.append(found.withColumn("page", F.lit(number)))
+        last = found.orderBy(F.asc_nulls_first("price"), F.desc("o_orderkey")).first()
+        if last is None:
+            break
+        after = (last["price"], last["o_orderkey"])
+    return reduce(DataFrame.unionByName, pages)
+
+
 def number_pages(spark, sf):
     orders = flat(spark, sf, "orders").select("o_totalprice", "o_orderkey")
     return paging.number_pages(orders, ["o_totalprice", "o_orderkey"], 100)
@@ -205,17 +224,25 @@ def termvectors(spark, sf):
 
 
 def mtermvectors(spark, sf):
-    """Vectors of the labelled documents; the statistics are those of all documents."""
-    asked = flat(spark, sf, "labels").select("doc_id")
-    tables = {"documents": texts(spark, sf, "documents")}
-    return _joined(text_analysis.mtermvectors(tables, "doc_id", "text", asked, "documents")).drop("end_offsets")
+    """Vectors of the labelled documents and of as many benchmark items; the statistics are each index's own.
+
+    Labelled ids that the benchmark lacks are answered as not found.
+    """
+    labelled = flat(spark, sf, "labels").select("doc_id")
+    index = F.explode(F.array(F.lit(None), F.lit("benchmark"))).alias("_index")
+    tables = {
+        "documents": texts(spark, sf, "documents").select("doc_id", "text"),
+        "benchmark": texts(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text"),
+    }
+    found = text_analysis.mtermvectors(tables, "doc_id", "text", labelled.select("doc_id", index), "documents")
+    return _joined(found).select("_index", "doc_id", "found", "term", "tf", "positions", "end_offsets", "doc_freq", "total_tf", "doc_count")
 
 
 QUERIES = {
     f.__name__: f
     for f in (
         search_bm25, search_sorted, msearch_template_default, search_filtered, search_scores, msearch_benchmark, msearch_two_indices, explain_terms, count_term, count_match,
-        terms_enum_prefix, terms_enum_part, query_ids, query_index_filter, query_source_filter, scroll_page, number_pages,
+        terms_enum_prefix, terms_enum_part, query_ids, query_index_filter, query_source_filter, scroll_page, scroll_all_pages, number_pages,
         rank_eval_precision, rank_eval_mean, tile_grid, search_template, msearch_template, analyze_tokens,
         analyze_conversations, termvectors, mtermvectors,
     )
@@ -361,8 +388,21 @@ SQL = {
     "analyze_tokens": _analyze_sql("documents", "doc_id"),
     "analyze_conversations": _analyze_sql("conversations", "conv_id, turn"),
     "termvectors": f"WITH {_VECTORS} SELECT * FROM vec JOIN stats USING (term) CROSS JOIN field",
-    "mtermvectors": f"""WITH {_VECTORS}
-        SELECT doc_id, term, tf, positions, start_offsets, doc_freq, total_tf, doc_count, sum_doc_freq, sum_total_tf,
-               'documents' AS _index
-        FROM vec JOIN stats USING (term) CROSS JOIN field WHERE doc_id IN (SELECT doc_id FROM labels)""",
+    "mtermvectors": f"""WITH
+        texts AS (SELECT 'documents' AS _index, doc_id, text FROM documents UNION ALL SELECT 'benchmark', item_id, text FROM benchmark),
+        asked AS (SELECT DISTINCT unnest(['documents', 'benchmark']) AS _index, doc_id FROM labels),
+        {_RUNS.format(ids="_index, doc_id", table="texts")},
+        vec AS (SELECT _index, doc_id, token AS term, count(*) AS tf, string_agg(CAST(position AS VARCHAR), ',' ORDER BY position) AS positions,
+                       string_agg(CAST(CAST(e AS BIGINT) AS VARCHAR), ',' ORDER BY s) AS end_offsets
+                FROM words GROUP BY _index, doc_id, token),
+        stats AS (SELECT _index, term, count(*) AS doc_freq, CAST(sum(tf) AS BIGINT) AS total_tf FROM vec GROUP BY _index, term),
+        field AS (SELECT _index, count(DISTINCT doc_id) AS doc_count FROM vec GROUP BY _index)
+        SELECT _index, doc_id, t.doc_id IS NOT NULL AS found, term, tf, coalesce(positions, '') AS positions,
+               coalesce(end_offsets, '') AS end_offsets, doc_freq, total_tf, doc_count
+        FROM asked a LEFT JOIN (SELECT DISTINCT _index, doc_id FROM texts) t USING (_index, doc_id)
+        LEFT JOIN vec USING (_index, doc_id) LEFT JOIN stats USING (_index, term)
+        LEFT JOIN field ON field._index = vec._index""",
+    "scroll_all_pages": """WITH keyed AS (SELECT o_orderkey, CASE WHEN o_totalprice <= 200000 THEN o_totalprice END AS price FROM orders)
+        SELECT o_orderkey, price, CAST((row_number() OVER (ORDER BY price DESC NULLS LAST, o_orderkey) - 1)
+                                       // (SELECT CAST(ceil(count(*) / 5) AS BIGINT) FROM orders) + 1 AS INTEGER) AS page FROM keyed""",
 }

@@ -12,7 +12,10 @@ ACTIONS = ("index", "create", "update", "delete")
 
 
 def read_bulk(spark: SparkSession, path: str, default_index: str | None = None) -> DataFrame:
-    """Parse bulk files into an action log `(file, seq, action, _index, _id, doc VARIANT)`.
+    """Parse bulk files into an action log `(file, seq, action, _index, _id, doc VARIANT, malformed)`.
+
+    `malformed` marks actions whose header or payload is no JSON. Lines after one
+    keep alternating, as if it had been an index action.
 
     Whether a line is a header depends on all lines before it, but only through
     two numbers: how many lines there are and where the last delete-shaped line
@@ -102,6 +105,7 @@ def _actions(headers: DataFrame, default_index: str | None) -> DataFrame:
         F.coalesce(_text(F.col("details"), "_index"), F.lit(default_index).cast("string")).alias("_index"),
         _text(F.col("details"), "_id").alias("_id"),
         doc.alias("doc"),
+        (F.col("header").isNull() | ((F.col("action") != "delete") & F.col("body").isNull())).alias("malformed"),
     )
 
 
@@ -109,7 +113,7 @@ def write_bulk(log: DataFrame, path: str, order: tuple[str, ...] = ("seq",)) ->
     """Write an action log as bulk files whose names and lines follow the log's order.
 
     `doc` may be a VARIANT, or a STRUCT with an optional `present ARRAY<STRING>`
-    naming the fields that are set; without it the non-NULL fields are.
+    naming the fields that are set, by dotted paths; without it the non-NULL fields are.
     """
     details = F.to_json(F.struct("_index", "_id"))
     header = F.concat(F.lit('{"'), F.col("action"), F.lit('":'), details, F.lit("}"))
@@ -130,13 +134,25 @@ def document_json(log: DataFrame) -> Column:
     if isinstance(dtype, T.VariantType) or "present" not in log.columns:
         return F.to_json(doc)
 
-    def value(name: str) -> Column:
-        wrapped = F.to_json(F.struct(doc.getField(name).alias("v")))
-        text = F.substring(wrapped, F.lit(6), F.length(wrapped) - 6)
-        return F.concat(F.lit(f'"{name}":'), F.when(doc.getField(name).isNull(), "null").otherwise(text))
-
-    pairs = [F.when(F.array_contains("present", name), value(name)) for name in dtype.names]
-    return F.when(doc.isNotNull(), F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}")))
+    members = F.concat_ws(",", *_members(doc, dtype, "", F.lit(False)))
+    return F.when(doc.isNotNull(), F.concat(F.lit("{"), members, F.lit("}")))
+
+
+def _members(value: Column, dtype: T.StructType, prefix: str, named: Column) -> list[Column]:
+    """The members of an object as JSON, NULL for those that `present` does not name; a named object names its members."""
+    pairs = []
+    for field in dtype.fields:
+        member, path = value.getField(field.name), prefix + field.name
+        here = named | F.coalesce(F.array_contains("present", path), F.lit(False))
+        if isinstance(field.dataType, T.StructType):
+            inner = F.concat_ws(",", *_members(member, field.dataType, path + ".", here))
+            text, here = F.concat(F.lit("{"), inner, F.lit("}")), here | (inner != "")
+            text = F.when(member.isNull() & (named | F.coalesce(F.array_contains("present", path), F.lit(False))), "null").otherwise(text)
+        else:
+            wrapped = F.to_json(F.struct(member.alias("v")))
+            text = F.when(member.isNull(), "null").otherwise(F.substring(wrapped, F.lit(6), F.length(wrapped) - 6))
+        pairs.append(F.when(here, F.concat(F.lit(f'"{field.name}":'), text)))
+    return pairs
 
 
 def _get(value: Column, key: str) -> Column:

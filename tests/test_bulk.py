@@ -230,3 +230,19 @@ def test_misfits_set_nothing_and_a_null_object_clears_its_fields(spark, docs):
         AS t(seq, action, _id, doc)""").withColumn("_index", F.lit("posts"))
     out = {r["_id"]: r["_source"].asDict(recursive=True) for r in bulk.apply_bulk(table, log)[0].collect()}
     assert out == {"1": {"n": 1, "o": {"p": 2}}, "2": {"n": 1, "o": None}}
+
+
+def test_nested_present_fields_are_written(spark, tmp_path):
+    rows = [(1, "update", "a", "1", ((2, None), 3), ["o.p"]), (2, "update", "a", "2", ((None, 5), 3), ["o"]), (3, "update", "a", "3", (None, 3), ["o", "n"])]
+    log = spark.createDataFrame(rows, "seq long, action string, _index string, _id string, doc struct<o:struct<p:int,q:int>,n:int>, present array<string>")
+    write_bulk(log, str(tmp_path / "nested"))
+    out = read_bulk(spark, str(tmp_path / "nested")).select("_id", F.to_json("doc").alias("doc"), "malformed").collect()
+    assert {r["_id"]: r.doc for r in out} == {"1": '{"o":{"p":2}}', "2": '{"o":{"p":null,"q":5}}', "3": '{"n":3,"o":null}'}
+    assert not any(r.malformed for r in out)
+
+
+def test_malformed_lines_are_marked(spark, tmp_path):
+    lines = ['{"index":{"_id":"1"}}', '{"n":1', '{"index":{"_id":"2"}}', '{"n":2}', '{"index":{"_id"', '{"n":3}']
+    (tmp_path / "bad.ndjson").write_text("\n".join(lines))
+    out = read_bulk(spark, str(tmp_path / "bad.ndjson")).orderBy("seq").collect()
+    assert [r.malformed for r in out] == [True, False, True]
