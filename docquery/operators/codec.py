@@ -147,7 +147,10 @@ def _raw(col: Column, dtype: T.DataType, typed: dict[str, Column]) -> Column:
 
 
 def _decode_variant(col: Column, entries: Entries, casts: CastRegistry) -> list[Column]:
-    """Mapped fields of a schemaless body; the whole body stays available as `_document`."""
+    """Mapped fields of a schemaless body; the whole body stays available as `_document`.
+
+    Where an object is mapped and another kind is found, a list for example, it goes to `f__raw` as JSON.
+    """
     names = dict.fromkeys(n for m in entries.values() for n in m.get("properties", {}))
     out = []
     for name in names:
@@ -155,7 +158,9 @@ def _decode_variant(col: Column, entries: Entries, casts: CastRegistry) -> list[
         value = F.try_variant_get(col, f"$.{name}", "variant")
         objects = {i: m for i, m in own.items() if "properties" in m}
         if objects:
-            out.append(F.struct(*_decode_variant(value, objects, casts)).alias(name))
+            fits = F.coalesce(F.startswith(F.schema_of_variant(value), F.lit("OBJECT")), F.lit(False))
+            out.append(F.when(fits, F.struct(*_decode_variant(value, objects, casts))).alias(name))
+            out.append(F.when(~fits & ~is_null(value, T.VariantType()), F.to_json(value)).alias(name + RAW))
         else:
             out.extend(_decode_field(value, T.VariantType(), name, own, casts))
     return out
@@ -370,7 +375,7 @@ def _raw_paths(struct: T.StructType, prefix: tuple = ()):
     for field in struct.fields:
         if field.name + RAW in struct.names:
             yield (*prefix, field.name)
-        elif isinstance(field.dataType, T.StructType):
+        if isinstance(field.dataType, T.StructType):
             yield from _raw_paths(field.dataType, (*prefix, field.name))
 
 

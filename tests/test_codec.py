@@ -189,3 +189,13 @@ def test_lists_keep_every_place(docs):
     assert raw == {"1": [None, "host", None, None], "2": None}
     again = {r["_id"]: r["_source"].ips for r in codec.encode(decoded, mapping).collect()}
     assert again == {"1": ["::1", "host", None, "::1"], "2": None}
+
+
+def test_what_is_no_object_is_kept_as_text(spark):
+    df = spark.sql("""SELECT 'i' AS _index, id AS _id, parse_json(body) AS _source FROM VALUES ('1', '{"o":{"at":"2024-01-02"}}'),
+        ('2', '{"o":[{"at":"2024-01-02"}]}'), ('3', '{"o":null}'), ('4', '{}') AS t(id, body)""")
+    mapping = {"properties": {"o": {"properties": {"at": {"type": "date"}}}}}
+    out = {r["_id"]: r["_source"] for r in codec.decode(df, mapping).collect()}
+    assert out["1"]["o"]["at"] is not None and out["1"]["o__raw"] is None
+    assert out["2"]["o"] is None and out["2"]["o__raw"] == '[{"at":"2024-01-02"}]'
+    assert all(out[k]["o"] is None and out[k]["o__raw"] is None for k in "34")
