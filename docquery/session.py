@@ -34,8 +34,9 @@ def get_session(app: str = "docquery", master: str | None = None, **conf: str) -
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """Whether `df` has at most `max_rows` (else `BROADCAST_ROWS`) rows.
 
-    The count stops at the limit, so it is meant for inputs that are cheap to
-    read (a batch of ids, a query table).
+    The count stops at the limit where `df` is a plain read; distinct ids are
+    aggregated first. It is meant for inputs that are cheap to read (a batch of
+    ids, a query table).
     """
     bound = BROADCAST_ROWS if max_rows is None else max_rows
     return df.limit(bound + 1).count() <= bound
