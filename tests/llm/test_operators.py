@@ -169,6 +169,19 @@ def test_shards_are_even_and_slots_gapless(spark, odd, empty):
     assert sharding.shard(empty).count() == 0
 
 
+def test_equal_texts_share_a_shard(spark):
+    texts = ["third"] * 400 + [f"x{i % 10}" for i in range(200)] + [f"y{i % 40}" for i in range(200)] + [f"z{i % 100}" for i in range(200)]
+    texts += [f"alone{i}" for i in range(203)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held: dict[str, Counter] = {}
+    for r in sharding.shard(docs, per_group=50).collect():
+        held.setdefault(texts[r["doc_id"]], Counter())[r["shard"]] += 1
+    assert sorted(sum(held.values(), Counter()).values()) == [150] * 5 + [151] * 3
+    assert len(held.pop("third")) == 3
+    assert {len(shards) for shards in held.values()} == {1}
+    assert sharding.plan({(0, 4): 2, (1, 2): 1}, {0: 5, 1: 5}) == ([(0, 4, 0, 1, 0), (0, 4, 1, 2, 1)], [(1, 2, 0, 0, 1, 1), (1, 2, 0, 1, 2, 0)])
+
+
 def test_fingerprints_equal_set_differences(spark, odd, empty):
     rows = fingerprints.fingerprint(odd.dropDuplicates(["doc_id"])).collect()
     texts = {r["doc_id"]: r["text"] or "" for r in odd.collect()}
