@@ -23,7 +23,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docquery.llm.components import components
@@ -62,14 +62,17 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(bits)).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) for every row."""
-
+def fingerprint_column(shingle: int = SHINGLE) -> Column:
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([simhash(t, shingle) for t in texts], dtype="int64")
 
-    return docs.select("doc_id", of("text").alias("fp"))
+    return of("text")
+
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, fp) for every row."""
+    return docs.select("doc_id", fingerprint_column(shingle).alias("fp"))
 
 
 def segments(count: int = SEGMENTS, distance: int = DISTANCE) -> list[tuple[int, int, int]]:
@@ -149,28 +152,45 @@ def links(prints: DataFrame, distance: int = DISTANCE, count: int = SEGMENTS) ->
     ).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"), bits.alias("bits"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, count: int = SEGMENTS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id, the least doc_id that links lead to."""
-    rows = materialize(fingerprints(docs, shingle), "fingerprints")
+def rooted(rows: DataFrame, distance: int = DISTANCE, count: int = SEGMENTS) -> DataFrame:
+    """(fp, least, root) for the fingerprints of `rows` (doc_id, fp): the least doc_id of each, and the fingerprint its component is named by."""
     prints = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     close = materialize(gathered(prints, distance), "close")
     first = components(close)
     placed = prints.join(first, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("group"))
     found = links(materialize(placed, "placed"), distance, count)
     roots = components(close.select("a", "b").unionByName(found.select("a", "b")))
-    named = prints.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    return prints.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, count: int = SEGMENTS) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id, the least doc_id that links lead to."""
+    rows = materialize(fingerprints(docs, shingle), "fingerprints")
+    named = rooted(rows, distance, count)
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
     named = named.join(ids, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _row_key(docs: DataFrame) -> Column:
+    """The same for rows equal in all columns, and for no others: two salted hashes of the values and of where they are NULL."""
+    values = [c for name in docs.columns for c in (F.col(f"`{name}`"), F.col(f"`{name}`").isNull())]
+    return F.struct(F.xxhash64(F.lit(1), *values).alias("a"), F.xxhash64(F.lit(2), *values).alias("b"))
+
+
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """The documents without the near-copies: the one with the least id of each component stays.
+    """The documents without the near-copies: one row of each component stays, the one with the least id.
 
-    A repeated row stays once. Rows without an id stay when no document of their
-    component has one.
+    Rows without an id come last; among rows of one id, and among those without,
+    the least hash of the text decides. A repeated row stays once.
     """
-    found = near_duplicates(docs, shingle, distance)
-    kept = found.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.filter(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
-    return named.dropDuplicates(["doc_id"])
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", fingerprint_column(shingle).alias("fp"), F.xxhash64(text).alias("hash"), _row_key(docs).alias("key"))
+    rows = materialize(rows, "fingerprints")
+    # One row per fingerprint comes to the join, however many documents have it.
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "hash", "key")
+    firsts = materialize(rows.groupBy("fp").agg(F.min(order).alias("first")), "firsts")
+    kept = firsts.join(rooted(rows.select("doc_id", "fp"), distance), "fp").groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.key.a").alias("_a"), F.col("first.key.b").alias("_b")).distinct()
+    named = docs.withColumn("_key", _row_key(docs)).withColumn("_a", F.col("_key.a")).withColumn("_b", F.col("_key.b"))
+    return named.join(kept, ["_a", "_b"], "left_semi").dropDuplicates(["_a", "_b"]).select(*[F.col(f"`{c}`") for c in docs.columns])

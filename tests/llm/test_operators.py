@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from docquery.llm import decontamination, fingerprints, html_extraction, html_pages, packing, quality, sharding, simhash, token_counts, toxicity, url_filters
 from docquery.llm.components import components
@@ -69,6 +70,14 @@ def test_simhash_and_components_equal_brute_force(spark, odd, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_one_of_each_keeps_a_row_of_every_component(spark):
+    one, two, three = ("red green blue white black", "seven lazy dogs sleep under trees", "rain falls on quiet stone roofs tonight")
+    rows = [(None, one), (None, one), (5, two), (5, three), (7, three), (None, two), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("source", F.lit(None).cast("string"))
+    kept = [(r["doc_id"], r["text"]) for r in simhash.one_of_each(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(None, one), (5, two), (5, three), (9, None)], key=str)
+
+
 def test_links_and_gathering_lose_no_component(spark):
     random = np.random.default_rng(2)
     base = random.integers(0, 1 << 62, 5)
