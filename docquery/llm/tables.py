@@ -21,8 +21,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
 
     The rows are those with the smallest hashes of their ids, so the sample is the
     same on every run. Only ids are sorted; the texts are then picked by a
-    broadcast of at most `2 * per_class` ids. Rows that are held out, or whose id
-    or label is NULL, never take part.
+    broadcast of at most `2 * per_class` ids. Of rows with one id the one with the
+    least text takes part. Rows that are held out, or whose id or label is NULL,
+    never do.
     """
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).alias("_label")).filter(
         F.col("_id").isNotNull() & F.col("_label").isin(0, 1) & ~held_out("_id")
@@ -34,6 +35,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     return (
         docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("_text"))
         .join(F.broadcast(picked), "_id")
+        .groupBy("_id", "_label")
+        .agg(F.min("_text").alias("_text"))
         .select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), F.col("_label").cast("int").alias("label"))
     )
 

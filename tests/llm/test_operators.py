@@ -12,6 +12,7 @@ from docquery.llm import decontamination, fingerprints, html_extraction, html_pa
 from docquery.llm.components import components
 from docquery.llm.html_blocks import blocks
 from docquery.llm.queries import tokenizer_files
+from docquery.llm.tables import held_out, labelled_sample
 from docquery.session import new_folder
 
 DOCS = "doc_id long, text string, lang string, source string, fingerprint int"
@@ -160,6 +161,14 @@ def test_models_without_labels(spark, odd):
     assert {r["score"] for r in quality.scores(odd, quality.train(odd, labels)).collect()} == {1.0}
 
 
+def test_sample_takes_one_row_of_each_id(spark):
+    docs = spark.createDataFrame([(i, f"text {n}") for i in range(20) for n in range(30 if i == 3 else 1)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    ids = [r["doc_id"] for r in labels.distinct().filter(~held_out()).collect()]
+    rows = labelled_sample(docs, labels, "toxic", 100).collect()
+    assert 3 in ids and sorted(map(tuple, rows)) == sorted((i, "text 0", i % 2) for i in ids)
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
