@@ -11,6 +11,7 @@ from docquery import session
 from docquery.functions.text import query_terms, term_frequencies, tokens
 from docquery.model import source
 from docquery.operators import documents, evaluate, paging, profile, search, templates, text_analysis, tiles
+from docquery.plans import search_plans
 from docquery.sources import layout
 
 TEXTS = {
@@ -163,6 +164,13 @@ def test_positions_under_a_hot_value(spark):
     assert [r["count"] for r in pages] == [999, 999, 999, 999, 999, 5]
 
 
+def test_all_pages_pass_through_no_single_task(spark, sf):
+    pages = search_plans.scroll_all_pages(spark, sf)
+    assert "Limit" not in pages._jdf.queryExecution().toString()
+    counts = {r["page"]: r["count"] for r in pages.groupBy("page").count().collect()}
+    assert sorted(counts) == [1, 2, 3, 4, 5] and max(counts.values()) - min(counts.values()) < 5
+
+
 def test_pages_follow_each_other(spark):
     df = spark.range(100).select((F.col("id") % 7).alias("k"), "id").repartition(4)
     seen, after = [], None
