@@ -215,8 +215,7 @@ def learn_terms(sample: DataFrame, evidence: float = LEAST_EVIDENCE, ratio: floa
             for text, label in zip(batch["text"], batch["label"], strict=True):
                 found = _WORD.findall(text.lower())
                 for before, word, after in zip(["", *found], found, [*found[1:], ""], strict=False):
-                    if len(word) >= 4:
-                        rows.add((word, f"{before} {after}", int(label)))
+                    rows.add((word, f"{before} {after}", int(label)))
             yield pd.DataFrame(list(rows), columns=["word", "context", "label"])
 
     rows = sample.mapInPandas(contexts, "word string, context string, label int").distinct()
@@ -253,11 +252,13 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
 
     The weights come from one half of it, with the lexicon of the other half, so
     that finds are as reliable there as in new texts. The lexicon that is then
-    used comes from all of it.
+    used comes from all of it; where half of the sample is too little evidence for
+    any term, the weights come with that lexicon too.
     """
     sample = materialize(labelled_sample(docs, labels, "toxic", per_class), "toxic-sample")
     half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2))
-    terms = learn_terms(sample.filter(half == 0))
+    lexicon = Lexicon(learn_terms(sample))
+    terms = learn_terms(sample.filter(half == 0)) or lexicon.terms
     sent = send(docs.sparkSession, Lexicon(terms))
 
     def features(batches):
@@ -268,9 +269,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     rows = sample.filter(half == 1).mapInPandas(features, "label int, x array<double>").toPandas()
     y = rows["label"].to_numpy(float)
     if not terms or len(set(y)) < 2:
-        return Model(Lexicon(terms), None)
+        return Model(lexicon, None)
     x = np.array(rows["x"].tolist(), dtype=float)
-    lexicon = Lexicon(learn_terms(sample))
     return Model(lexicon, logistic.fit(x, y, logistic.class_weights(y, label_counts(labels, "toxic"))))
 
 

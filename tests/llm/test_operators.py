@@ -155,6 +155,16 @@ def test_quoted_terms_count_for_less():
     assert list(weight.values()) == [1.0, toxicity.QUOTED, toxicity.ADDRESSED]
 
 
+@pytest.mark.parametrize("term", ["zog", "zogling"])
+def test_short_terms_and_little_evidence_give_a_model(spark, term):
+    rows = [(i, f"a{i} {'car' if i % 2 else term} b{i}", 1 - i % 2) for i in range(76)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert model.lexicon.terms == [term]
+    bad, fine = model.score([f"x {term} y", "x car y"])
+    assert bad > toxicity.THRESHOLD > fine
+
+
 def test_models_without_labels(spark, odd):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r["score"] for r in toxicity.scores(odd, toxicity.train(odd, labels)).collect()} == {0.0}
