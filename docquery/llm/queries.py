@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquery.llm import decontamination, fingerprints, html_extraction, packing, quality, sharding, simhash, token_counts, toxicity, url_filters
+from docquery.llm import decontamination, fingerprints, html_extraction, packing, personal_data, quality, resampling, sharding, simhash, spelling, token_counts, toxicity, url_filters
 from docquery.llm.tables import table
 from docquery.session import new_folder
 
@@ -75,6 +75,18 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_files())
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -88,6 +100,9 @@ QUERIES = {
         op8_benchmark_decontamination,
         op9_simhash_near_dedup,
         op10_best_fit_packing,
+        op11_spelling_variants,
+        op12_importance_resampling,
+        op13_personal_data,
     )
 }
 
