@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import repeat
 
 import pandas as pd
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from docquery.llm.shared import send
+from docquery.llm.tables import unused
+from docquery.session import materialize
 
 WINDOW = 13
 #: A document is contaminated when at least one word in this many is hit.
@@ -130,17 +133,16 @@ def covered(spans: Iterable[int]) -> int:
     return total
 
 
-def parts(benchmark: DataFrame, part_bytes: int = PART_BYTES, window: int = WINDOW) -> list[Index]:
-    """The benchmark as indexes of about `part_bytes` bytes of text each, at least one."""
+def parts(benchmark: DataFrame, part_bytes: int = PART_BYTES, window: int = WINDOW) -> Iterator[Index]:
+    """The benchmark as indexes of about `part_bytes` bytes of text each, at least one, made one after the other."""
     items = benchmark.select(F.col("item_id").cast("string").alias("id"), F.col("text").alias("text")).filter(
         F.col("id").isNotNull() & F.col("text").isNotNull()
     )
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = 1 + total // part_bytes
-    if count == 1:
-        return [Index(map(tuple, items.collect()), window)]
     placed = items.withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(count)))
-    return [Index(((r["id"], r["text"]) for r in placed.filter(F.col("part") == i).toLocalIterator()), window) for i in range(count)]
+    for i in range(count):
+        yield Index(map(tuple, placed.filter(F.col("part") == i).select("id", "text").collect()), window)
 
 
 def _search_with(index, spark) -> Column:
@@ -159,21 +161,38 @@ def _covered(spans: pd.Series) -> pd.Series:
     return pd.Series([covered(s) for s in spans], dtype="int64")
 
 
-def search(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES, text: str = "text", window: int = WINDOW) -> DataFrame:
-    """`docs` with a column `_found`: n_words, n_hit, items (ids as text, sorted) and contaminated."""
+def search(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES, name: str = "_found", window: int = WINDOW) -> DataFrame:
+    """`docs` with a column `name`: n_words, n_hit, items (ids as text, sorted) and contaminated.
+
+    A benchmark of several parts is searched part by part. What a part finds is
+    written before the next part's index is made, so that the driver and the
+    executors hold one index at a time; only documents with finds are written.
+    """
     indexes = parts(benchmark, part_bytes, window)
-    out = docs
-    for i, index in enumerate(indexes):
-        out = out.withColumn(f"_found_{i}", _search_with(index, docs.sparkSession)(F.col(text)))
-    names = [f"_found_{i}" for i in range(len(indexes))]
-    items = F.array_sort(F.array_distinct(F.concat(*[F.col(f"{n}.items") for n in names])))
-    n_words = F.col(f"{names[0]}.n_words")
-    n_hit = F.col(f"{names[0]}.n_hit") if len(names) == 1 else _covered(F.concat(*[F.col(f"{n}.spans") for n in names]))
-    out = out.withColumn("_n_hit", n_hit)
-    contaminated = (F.col("_n_hit") > 0) & (F.col("_n_hit") * WORDS_PER_HIT >= n_words)
-    return out.withColumn(
-        "_found", F.struct(n_words.alias("n_words"), F.col("_n_hit").alias("n_hit"), items.alias("items"), contaminated.alias("contaminated"))
-    ).drop(*names, "_n_hit")
+    first = next(indexes)
+    found = _search_with(first, docs.sparkSession)(F.col("text"))
+    following = next(indexes, None)
+    if following is None:
+        rows = docs.withColumn(name, found)
+        n_hit, items = F.col(f"{name}.n_hit"), F.col(f"{name}.items")
+    else:
+        key, hits = unused(docs, "_row", "_hits")
+        rows = materialize(docs.withColumn(key, F.monotonically_increasing_id()).withColumn(name, found), "documents")
+        finds = [rows.select(key, F.col(f"{name}.spans").alias("spans"), F.col(f"{name}.items").alias("items")).filter(F.size("spans") > 0)]
+        while following is not None:
+            part = rows.select(key, _search_with(following, docs.sparkSession)(F.col("text")).alias("part"))
+            finds.append(materialize(part.select(key, "part.spans", "part.items").filter(F.size("spans") > 0), "finds"))
+            following = next(indexes, None)
+        merged = reduce(DataFrame.unionByName, finds).groupBy(key).agg(
+            F.struct(_covered(F.flatten(F.collect_list("spans"))).alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).alias(hits)
+        )
+        rows = rows.join(merged, key, "left").drop(key)
+        n_hit = F.coalesce(F.col(f"{hits}.n_hit"), F.lit(0).cast("long"))
+        items = F.coalesce(F.col(f"{hits}.items"), F.array().cast("array<string>"))
+    n_words = F.col(f"{name}.n_words")
+    contaminated = (n_hit > 0) & (n_hit * WORDS_PER_HIT >= n_words)
+    merged_column = F.struct(n_words.alias("n_words"), n_hit.alias("n_hit"), items.alias("items"), contaminated.alias("contaminated"))
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], merged_column.alias(name))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
@@ -191,4 +210,5 @@ def report(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES)
 
 def clean(docs: DataFrame, benchmark: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """The documents that are not contaminated, with their own columns."""
-    return search(docs, benchmark, part_bytes).filter(~F.col("_found.contaminated")).drop("_found")
+    (name,) = unused(docs, "_found")
+    return search(docs, benchmark, part_bytes, name).filter(~F.col(f"{name}.contaminated")).drop(name)

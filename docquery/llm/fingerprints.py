@@ -218,9 +218,9 @@ def likeness(left: Column, right: Column, differing: Column) -> Column:
 
 
 def written(cells: Column) -> Column:
-    """A table as text: 36 hex digits per cell."""
+    """A table as text: 40 hex digits per cell, of which the first eight hold any count."""
     return F.array_join(
-        F.transform(cells, lambda c: F.concat(F.lpad(F.hex(c["n"]), 4, "0"), F.lpad(F.hex(c["key"]), 16, "0"), F.lpad(F.hex(c["check"]), 16, "0"))), ""
+        F.transform(cells, lambda c: F.concat(F.lpad(F.hex(c["n"]), 8, "0"), F.lpad(F.hex(c["key"]), 16, "0"), F.lpad(F.hex(c["check"]), 16, "0"))), ""
     )
 
 

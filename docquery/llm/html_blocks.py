@@ -14,7 +14,9 @@ BLOCK_TAGS = frozenset(
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is not text of the page.
-RAW_TAGS = frozenset("script style noscript template textarea iframe svg math object canvas audio video".split())
+RAW_TAGS = frozenset("script style noscript template textarea iframe".split())
+#: Elements deeper than this are not told apart from their parents, as in browsers.
+DEEPEST = 512
 #: A start tag on the left ends an open element on the right, up to the nearest of its containers.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -57,27 +59,41 @@ def _marks(attributes: str) -> frozenset[str]:
 
 
 def blocks(page: str | None) -> Iterator[Block]:
-    """The non-empty leaf blocks in page order; unclosed and misnested tags are taken as browsers do, roughly."""
+    """The non-empty leaf blocks in page order; unclosed and misnested tags are taken as browsers do, roughly.
+
+    Behind the last `>` of a page there are no tags, only text. Every tag that is
+    tried before it ends there at the latest, so broken pages take linear time.
+    """
     page = page or ""
     stack: list[tuple[str, frozenset[str]]] = []
+    above: tuple[tuple[str, ...], frozenset[str]] | None = None  # tags and names of the stack, while it stays as it is
+    deeper = 0
     parts: list[str] = []
-    links = 0
+    links = anchors = 0
     place, size = 0, len(page)
+    tags_end = page.rfind(">") + 1
 
     def flush() -> Block | None:
-        nonlocal links
+        nonlocal links, above
         text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
         parts.clear()
         chars, links = links, 0
         if not text:
             return None
-        names = frozenset().union(*(marks for _, marks in stack)) if stack else frozenset()
-        return Block(text, tuple(name for name, _ in stack), names, chars)
+        if above is None:
+            above = tuple(name for name, _ in stack), frozenset().union(*(marks for _, marks in stack))
+        return Block(text, *above, chars)
+
+    def cut(i: int) -> None:
+        nonlocal above, anchors
+        anchors -= sum(name == "a" for name, _ in stack[i:])
+        del stack[i:]
+        above = None
 
     def pop_to(names: set[str], stops: set[str]) -> None:
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] in names:
-                del stack[i:]
+                cut(i)
                 return
             if stack[i][0] in stops:
                 return
@@ -85,17 +101,19 @@ def blocks(page: str | None) -> Iterator[Block]:
     def add(piece: str) -> None:
         nonlocal links
         parts.append(piece)
-        if any(name == "a" for name, _ in stack):
+        if anchors:
             links += len(piece.strip())
 
     while place < size:
-        found = _TAG.search(page, place)
+        found = _TAG.search(page, place, tags_end) if place < tags_end else None
         if found is None:
             add(page[place:])
             break
         if found.start() > place:
             add(page[place : found.start()])
         place = found.end()
+        if found[0].startswith("<!--") and not found[0].endswith("-->"):
+            break
         name = (found["name"] or found["name2"] or "").lower()
         if not name:
             continue
@@ -112,10 +130,13 @@ def blocks(page: str | None) -> Iterator[Block]:
             continue
         if name in BLOCK_TAGS and (block := flush()):
             yield block
+        if ends and deeper:
+            deeper -= 1
+            continue
         if ends:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    del stack[i:]
+                    cut(i)
                     break
             continue
         if name in BLOCK_TAGS:
@@ -123,6 +144,11 @@ def blocks(page: str | None) -> Iterator[Block]:
         if name in CLOSES:
             pop_to(*CLOSES[name])
         if name not in VOID_TAGS and not (found["attributes"] or "").endswith("/"):
+            if len(stack) >= DEEPEST:
+                deeper += 1
+                continue
             stack.append((name, _marks(found["attributes"] or found["attributes2"] or "")))
+            anchors += name == "a"
+            above = None
     if block := flush():
         yield block

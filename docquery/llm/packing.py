@@ -258,7 +258,9 @@ def runs(sequences: list[tuple[dict[int, int], int]]) -> pd.DataFrame:
 def pack(docs: DataFrame, files: TokenizerFiles, sequence: int = SEQUENCE, end_id: int = END_ID, per_group: int = ROWS_PER_GROUP) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
-    rows = materialize(pieces(docs.select("doc_id", "text"), files, sequence, end_id), "pieces")
+    rows = pieces(docs.select("doc_id", "text"), files, sequence, end_id)
+    # Rows of one id, repeated ones too, are told apart by where they stand.
+    rows = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     # At most one row per possible length.
     counts = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
     place = send(spark, _Places(runs(plan(counts, sequence))))
@@ -267,7 +269,7 @@ def pack(docs: DataFrame, files: TokenizerFiles, sequence: int = SEQUENCE, end_i
     def placed(lengths: pd.Series, ranks: pd.Series) -> pd.DataFrame:
         return place().of(lengths.to_numpy(), ranks.to_numpy())
 
-    group = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups(rows.count(), per_group)))
+    group = F.pmod(F.xxhash64("_row"), F.lit(groups(rows.count(), per_group)))
     ranked = numbered(rows, ["length"], group, ["doc_id", "piece", "ids_crc32"], "rank")
     out = ranked.withColumn("_at", placed("length", "rank"))
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "_at.sequence_id", "_at.offset")

@@ -36,14 +36,16 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds:
     """(node, shard, linked) for `nodes` (node) and `links` (a, b), before the counts are made even."""
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = materialize(both.distinct(), "links")
+    # How many links lead to a node: a group's hub has as many as the group has members.
+    degrees = both.groupBy(F.col("b").alias("node")).agg(F.count("*").alias("degree"))
     spread = F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int")
     apart = both.select(F.col("a").alias("node")).distinct()
-    linked = materialize(apart.withColumn("shard", spread), "labels")
+    linked = materialize(apart.withColumn("shard", spread).join(degrees, "node"), "labels")
     total = nodes.count()
     capacity = -(-total // shards)
     for turn in range(rounds):
-        there = linked.select(F.col("node").alias("b"), F.col("shard").alias("there"))
-        votes = both.join(there, "b").groupBy("a", "there").agg(F.count("*").alias("votes"))
+        there = linked.select(F.col("node").alias("b"), F.col("shard").alias("there"), "degree")
+        votes = join_statistics(both, there, "b", "degree").groupBy("a", "there").agg(F.count("*").alias("votes"))
         best = votes.groupBy(F.col("a").alias("node")).agg(
             F.max(F.struct("votes", (-F.col("there")).alias("to"))).alias("best"),
             F.map_from_entries(F.collect_list(F.struct("there", "votes"))).alias("all"),
@@ -51,6 +53,7 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds:
         asked = linked.join(best, "node").select(
             "node",
             "shard",
+            "degree",
             (-F.col("best.to")).cast("int").alias("to"),
             (F.col("best.votes") - F.coalesce(F.try_element_at("all", "shard"), F.lit(0))).alias("gain"),
         )
@@ -66,7 +69,7 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds:
         for (start, end), part in chance.items():
             lot = F.pmod(F.xxhash64("node", F.lit(turn), F.lit("lot")), F.lit(1_000_000)) < int(part * 1_000_000)
             allowed = allowed | ((F.col("shard") == start) & (F.col("to") == end) & lot)
-        linked = materialize(asked.select("node", F.when(F.col("asks") & allowed, F.col("to")).otherwise(F.col("shard")).alias("shard")), "labels")
+        linked = materialize(asked.select("node", F.when(F.col("asks") & allowed, F.col("to")).otherwise(F.col("shard")).alias("shard"), "degree"), "labels")
     placed = nodes.select("node").join(linked, "node", "left")
     return placed.select("node", F.coalesce("shard", spread).alias("shard"), F.col("shard").isNotNull().alias("linked"))
 
@@ -186,8 +189,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, per_group
         F.monotonically_increasing_id().alias("node"),
     )
     rows = materialize(rows, "documents")
-    hubs = rows.groupBy("bond").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    links = rows.join(hubs, "bond").filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    hubs = materialize(rows.groupBy("bond").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1"), "hubs")
+    links = join_statistics(rows, hubs, "bond", "n").filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     total = rows.count()
     share = shares(total, shards)
     placed = materialize(propagate(rows.select("node"), links, shards, rounds).join(rows.select("node", "bond"), "node"), "propagated")

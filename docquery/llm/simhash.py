@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docquery.llm.components import components
-from docquery.session import materialize
+from docquery.llm.tables import unused
+from docquery.session import join_statistics, materialize
 
 SHINGLE = 4
 DISTANCE = 4
@@ -88,6 +89,15 @@ def segments(count: int = SEGMENTS, distance: int = DISTANCE) -> list[tuple[int,
     return [(lo, hi - lo, radius) for lo, hi, radius in zip(edges, edges[1:], radii, strict=False) if radius >= 0]
 
 
+def segments_for(prints: int, distance: int = DISTANCE) -> int:
+    """How many segments ask least of `prints` fingerprints: values asked for, and fingerprints met at each."""
+
+    def cost(count: int) -> float:
+        return sum(len(ball(bits, radius)) * (1 + prints / 2**bits) for _, bits, radius in segments(count, distance))
+
+    return min((SEGMENTS, 2), key=cost)
+
+
 def ball(bits: int, radius: int) -> list[int]:
     """All masks of up to `radius` of `bits` bits, 0 first."""
     return [sum(1 << b for b in chosen) for k in range(radius + 1) for chosen in combinations(range(bits), k)]
@@ -152,24 +162,27 @@ def links(prints: DataFrame, distance: int = DISTANCE, count: int = SEGMENTS) ->
     ).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"), bits.alias("bits"))
 
 
-def rooted(rows: DataFrame, distance: int = DISTANCE, count: int = SEGMENTS) -> DataFrame:
-    """(fp, least, root) for the fingerprints of `rows` (doc_id, fp): the least doc_id of each, and the fingerprint its component is named by."""
-    prints = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
+def rooted(rows: DataFrame, distance: int = DISTANCE, count: int | None = None) -> DataFrame:
+    """(fp, least, n, root) for the fingerprints of `rows` (doc_id, fp): the least doc_id and the number of rows of each, and the
+    fingerprint its component is named by. Without a `count` of segments it is chosen by the number of fingerprints."""
+    prints = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "prints")
+    count = count or segments_for(prints.count(), distance)
     close = materialize(gathered(prints, distance), "close")
     first = components(close)
     placed = prints.join(first, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("group"))
     found = links(materialize(placed, "placed"), distance, count)
     roots = components(close.select("a", "b").unionByName(found.select("a", "b")))
-    return prints.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    return prints.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, count: int = SEGMENTS) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, count: int | None = None) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, the least doc_id that links lead to."""
     rows = materialize(fingerprints(docs, shingle), "fingerprints")
-    named = rooted(rows, distance, count)
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(ids, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    roots = materialize(rooted(rows, distance, count), "rooted")
+    # `prints` tells how many fingerprints a root has, as one key may have very many.
+    ids = materialize(roots.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("prints")), "ids")
+    named = materialize(join_statistics(roots, ids, "root", "prints").select("fp", "component_id", "n"), "named")
+    return join_statistics(rows, named, "fp", "n").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def _row_key(docs: DataFrame) -> Column:
@@ -192,5 +205,7 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     firsts = materialize(rows.groupBy("fp").agg(F.min(order).alias("first")), "firsts")
     kept = firsts.join(rooted(rows.select("doc_id", "fp"), distance), "fp").groupBy("root").agg(F.min("first").alias("first"))
     kept = kept.select(F.col("first.key.a").alias("_a"), F.col("first.key.b").alias("_b")).distinct()
-    named = docs.withColumn("_key", _row_key(docs)).withColumn("_a", F.col("_key.a")).withColumn("_b", F.col("_key.b"))
-    return named.join(kept, ["_a", "_b"], "left_semi").dropDuplicates(["_a", "_b"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    key, a, b = unused(docs, "_key", "_a", "_b")
+    named = docs.withColumn(key, _row_key(docs)).withColumn(a, F.col(f"{key}.a")).withColumn(b, F.col(f"{key}.b"))
+    kept = kept.select(F.col("_a").alias(a), F.col("_b").alias(b))
+    return named.join(kept, [a, b], "left_semi").dropDuplicates([a, b]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -10,6 +10,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names like `names` that `df` does not have, whatever the case of its own."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def held_out(doc_id: Column | str = "doc_id") -> Column:
     """Whether a document is kept out of all training: crc32 of its id as text is divisible by 5."""
     key = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docquery.session import join_statistics, materialize
+
 #: Token counts that built-in functions work out, by tokenizer version.
 VERSIONS = {
     "words-1": r"[^\x20\x09-\x0D]+",
@@ -111,5 +113,6 @@ class Ledger:
 def copies(docs: DataFrame) -> DataFrame:
     """The documents whose text an earlier id has too."""
     keyed = docs.select("doc_id", "source", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
-    first = keyed.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return keyed.join(first, "digest").filter("doc_id > first").select("doc_id", "source", "lang")
+    keyed = materialize(keyed, "digests")
+    first = materialize(keyed.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1"), "first")
+    return join_statistics(keyed, first, "digest", "n").filter("doc_id > first").select("doc_id", "source", "lang")

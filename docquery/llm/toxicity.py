@@ -40,7 +40,6 @@ SAMPLE_PER_CLASS = 4000
 #: A term's G statistic, and its rate in toxic texts over that in others, must reach these.
 LEAST_EVIDENCE = 30.0
 LEAST_RATIO = 20.0
-LARGEST_LEXICON = 5000
 #: Words around a find that are looked at.
 CONTEXT = 6
 QUOTED = 0.1
@@ -206,8 +205,8 @@ def context_weight(text: str, spans: list[tuple[int, int]], i: int, context: int
     return ADDRESSED if any(w in ADDRESS for w in near) else 1.0
 
 
-def learn_terms(sample: DataFrame, evidence: float = LEAST_EVIDENCE, ratio: float = LEAST_RATIO, most: int = LARGEST_LEXICON) -> list[str]:
-    """Terms of the toxic texts of `sample` (doc_id, text, label)."""
+def learn_terms(sample: DataFrame, evidence: float = LEAST_EVIDENCE, ratio: float = LEAST_RATIO) -> list[str]:
+    """Terms of the toxic texts of `sample` (doc_id, text, label). The bounded sample and the evidence asked for bound their number."""
 
     def contexts(batches):
         for batch in batches:
@@ -231,7 +230,7 @@ def learn_terms(sample: DataFrame, evidence: float = LEAST_EVIDENCE, ratio: floa
     neg = F.when(F.col("neg") > 0, F.col("neg") * F.log(F.col("neg") / (n * (1 - share)))).otherwise(0.0)
     scored = counted.filter("pos > 0").withColumn("g", 2 * (F.col("pos") * F.log(F.col("pos") / (n * share)) + neg))
     rate = (F.col("pos") / toxic) / ((F.col("neg") + 0.5) / other)
-    kept = scored.filter((F.col("g") >= evidence) & (rate >= ratio)).orderBy(F.desc("g"), "word").limit(most)
+    kept = scored.filter((F.col("g") >= evidence) & (rate >= ratio)).orderBy(F.desc("g"), "word")
     return [r["word"] for r in kept.select("word").collect()]
 
 

@@ -20,6 +20,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docquery.session import bounded_broadcast, materialize
+
 #: (host, path, verdict) as the contract fixes them.
 RULES = (
     ("net", "/", "block"),
@@ -97,15 +99,20 @@ def _times(text: Column, mark: str) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))).cast("double")
 
 
-def with_features(urls: DataFrame, suffixes: dict[str, float], overall: float) -> DataFrame:
+def suffix_of(name: Column) -> Column:
+    """The last two labels of a host."""
+    return F.array_join(F.slice(F.concat(F.array(F.lit("")), F.split(name, r"\.")), -2, 2), ".")
+
+
+def with_features(urls: DataFrame, suffixes: DataFrame | None, overall: float) -> DataFrame:
     """`urls` (with `url`) and the features; columns are named apart from any of the table's."""
     url = F.coalesce("url", F.lit(""))
     name, where = host(url), path(url)
-    suffix = F.array_join(F.slice(F.concat(F.array(F.lit("")), F.split(name, r"\.")), -2, 2), ".")
-    rate = F.lit(overall)
-    if suffixes:
-        known = F.create_map(*[F.lit(x) for pair in suffixes.items() for x in pair])
-        rate = F.coalesce(F.try_element_at(known, suffix), rate)
+    if suffixes is None:
+        urls = urls.withColumn("f_suffix", F.lit(overall))
+    else:
+        urls = urls.withColumn("f_name", suffix_of(name)).join(bounded_broadcast(suffixes), "f_name", "left").drop("f_name")
+        urls = urls.withColumn("f_suffix", F.coalesce("f_suffix", F.lit(overall)))
     values = {
         "f_length": F.length(url).cast("double"),
         "f_host": F.length(name).cast("double"),
@@ -116,7 +123,6 @@ def with_features(urls: DataFrame, suffixes: dict[str, float], overall: float) -
         "f_parameters": _times(url, "="),
         "f_hyphens": _times(name, "-"),
         "f_labels": _times(name, "."),
-        "f_suffix": rate,
     }
     return urls.withColumns(values)
 
@@ -124,7 +130,7 @@ def with_features(urls: DataFrame, suffixes: dict[str, float], overall: float) -
 class Model:
     """The trees with the suffix statistics that they were trained with; trees are None without two classes."""
 
-    def __init__(self, trees: GBTClassificationModel | None, suffixes: dict[str, float], overall: float):
+    def __init__(self, trees: GBTClassificationModel | None, suffixes: DataFrame | None, overall: float):
         self.trees, self.suffixes, self.overall = trees, suffixes, overall
 
 
@@ -132,17 +138,15 @@ def _assembled(urls: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(urls)
 
 
-def train(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH, suffixes: int = 1000) -> Model:
-    """Fit on `labelled` (url, label), label 1 for URLs to block; the most frequent `suffixes` keep a share of their own."""
-    name = host(F.col("url"))
-    suffix = F.array_join(F.slice(F.concat(F.array(F.lit("")), F.split(name, r"\.")), -2, 2), ".")
-    counted = labelled.groupBy(suffix.alias("suffix")).agg(F.count("*").alias("n"), F.sum("label").alias("bad"))
+def train(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH) -> Model:
+    """Fit on `labelled` (url, label), label 1 for URLs to block. Every suffix has a share of its own, smoothed by the share of all."""
+    counted = labelled.groupBy(suffix_of(host(F.col("url"))).alias("f_name")).agg(F.count("*").alias("n"), F.sum("label").alias("bad"))
     total = labelled.agg(F.count("*"), F.sum("label")).first()
     if not total[0] or total[1] in (0, total[0], None):
-        return Model(None, {}, 0.0)
+        return Model(None, None, 0.0)
     overall = total[1] / total[0]
-    top = counted.orderBy(F.desc("n"), "suffix").limit(suffixes).collect()
-    shares = {r["suffix"]: (r["bad"] + SMOOTHING * overall) / (r["n"] + SMOOTHING) for r in top}
+    share = (F.col("bad") + SMOOTHING * overall) / (F.col("n") + SMOOTHING)
+    shares = materialize(counted.select("f_name", share.alias("f_suffix")), "suffixes")
     rows = _assembled(with_features(labelled, shares, overall)).select("features", F.col("label").cast("double").alias("label"))
     fitted = GBTClassifier(maxIter=trees, maxDepth=depth, seed=5, labelCol="label", featuresCol="features").fit(rows)
     return Model(fitted, shares, overall)

@@ -239,7 +239,7 @@ def test_html_blocks_and_field(spark):
 def test_url_rules(spark):
     urls = ["https://Sub.Example.NET/en/1", "http://a.net/x", "http://example.com/de/", "http://b.org/fr/1?x", None, "nothing", "http://notexample.com/de/"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
-    rows = url_filters.judge(pages, url_filters.Model(None, {}, 0.0)).orderBy("page_id").collect()
+    rows = url_filters.judge(pages, url_filters.Model(None, None, 0.0)).orderBy("page_id").collect()
     assert [r["rule"] for r in rows] == ["example.net/en/", "net/", "example.com/de/", "org/fr/", None, None, None]
     assert [r["host"] for r in rows] == ["sub.example.net", "a.net", "example.com", "b.org", "", "", "notexample.com"]
     assert [r["path"] for r in rows][3:5] == ["/fr/1", ""]
