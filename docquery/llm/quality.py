@@ -13,6 +13,7 @@ equal scores. Rows without an id are scored too, never held out, never trained o
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -141,19 +142,10 @@ class Model:
         return logistic.sigmoid(self.curve[0] * margins + self.curve[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
-    """Fit on a bounded sample; only the numbers of its n-grams come to the driver."""
-    sample = labelled_sample(docs, labels, "quality", per_class)
-
-    def featured(batches):
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "row": [grams(t).tobytes() for t in batch["text"]]})
-
-    found = sample.mapInPandas(featured, "doc_id long, label int, row binary").toPandas().sort_values(["doc_id", "label"])
-    y = found["label"].to_numpy(int)
+def fit_all(rows: list[np.ndarray], y: np.ndarray, shares: dict[int, int]) -> Model:
+    """The machine of all rows, and the curve that turns margins into scores, from margins of rows a machine has not seen."""
     if len(set(y)) < 2 or min(np.bincount(y)) < 2:
         return Model(None, None)
-    rows = [np.frombuffer(r, dtype=np.int32) for r in found["row"]]
     good = np.where(y == 1, 1.0, -1.0)
     # Every other row of each class is in the same half.
     half = np.zeros(len(y), dtype=int)
@@ -165,10 +157,36 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
         inside, outside = np.flatnonzero(half == part), np.flatnonzero(half != part)
         machine = fit([rows[i] for i in inside], good[inside])
         margins[outside] = [machine.margin(rows[i]) for i in outside]
-    curve = logistic.fit(margins[:, None], y.astype(float), logistic.class_weights(y, label_counts(labels, "quality")))
+    curve = logistic.fit(margins[:, None], y.astype(float), logistic.class_weights(y, shares))
     return Model(fit(rows, good), curve)
 
 
+def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model:
+    """Fit on a bounded sample, in one task of an executor; the driver gets the finished model only.
+
+    A row of the sample has at most `2 ** BITS` numbers, however long its text is.
+    """
+    sample = labelled_sample(docs, labels, "quality", per_class)
+    shares = label_counts(labels, "quality")
+
+    def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "row": [grams(t).tobytes() for t in batch["text"]]})
+
+    def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = pd.concat([pd.DataFrame({"doc_id": [], "label": [], "row": []}), *batches]).sort_values(["doc_id", "label"])
+        model = fit_all([np.frombuffer(r, dtype=np.int32) for r in found["row"]], found["label"].to_numpy(int), shares)
+        if (own := model.machine) is not None:
+            yield pd.DataFrame({"pull": [own.pull.tobytes()], "norm": [own.norm.tobytes()], "constant": [own.constant], "curve": [model.curve.tobytes()]})
+
+    rows = sample.mapInPandas(featured, "doc_id long, label int, row binary").repartition(1)
+    made = rows.mapInPandas(fitted, "pull binary, norm binary, constant double, curve binary").first()
+    if made is None:
+        return Model(None, None)
+    pull, norm, curve = (np.frombuffer(made[c], dtype=np.float64) for c in ("pull", "norm", "curve"))
+    return Model(Machine(pull, norm, made["constant"]), curve)
+
+
 def score_column(spark: SparkSession, model: Model) -> Column:
     sent = send(spark, model)
 
