@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docquery.functions.made_ids import made_id
 from docquery.functions.stored import INTEGRAL, let
 from docquery.model import build, leaves, quoted, source_type, split_touched
 from docquery.sources.mapping import merge, reshape
@@ -104,11 +105,10 @@ def _normal(log: DataFrame, order: Sequence[str], default_index: str | None) ->
     # A new document without an id gets one from its place in the log, the same on every run.
     place, new = F.to_json(F.struct(*order, "_index")), F.col("action").isin("index", "create")
     dtype = log.schema["_id"].dataType
-    if isinstance(dtype, T.StringType):
-        return log.withColumn("_id", F.coalesce(F.col("_id"), F.when(new, F.sha2(place, 256)), F.lit("")))
-    if isinstance(dtype, INTEGRAL):
-        return log.withColumn("_id", F.coalesce(F.col("_id"), F.when(new, F.xxhash64(place).cast(dtype))))
-    return log
+    if not isinstance(dtype, (T.StringType, *INTEGRAL)):
+        return log
+    # Other actions without an id stay without one and find nothing.
+    return log.withColumn("_id", F.coalesce(F.col("_id"), F.when(new, made_id(place, dtype))))
 
 
 def even_chunks(log: DataFrame, order: Sequence[str], rows: int = CHUNK) -> Column:

@@ -13,11 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docquery.functions.json_text import rename_members, strip_members
 from docquery.functions.registry import BUILT_IN, CastRegistry
 from docquery.functions.stored import as_text, is_null, null
 from docquery.model import quoted
 
 RAW = "__raw"
+ITEMS = "__items"
 #: Mapping entries of one field, by the index they hold for; `None` holds for every row.
 Entries = Mapping[str | None, dict]
 
@@ -149,7 +151,10 @@ def _raw(col: Column, dtype: T.DataType, typed: dict[str, Column]) -> Column:
 def _decode_variant(col: Column, entries: Entries, casts: CastRegistry) -> list[Column]:
     """Mapped fields of a schemaless body; the whole body stays available as `_document`.
 
-    Where an object is mapped and another kind is found, a list for example, it goes to `f__raw` as JSON.
+    A column has one type, so a list is found beside the field: `f__items` holds its
+    elements, cast one by one, and `f__items__raw` those that do not fit, both by
+    place. Where an object is mapped and neither one nor a list is found, the value
+    goes to `f__raw` as JSON.
     """
     names = dict.fromkeys(n for m in entries.values() for n in m.get("properties", {}))
     out = []
@@ -157,15 +162,36 @@ def _decode_variant(col: Column, entries: Entries, casts: CastRegistry) -> list[
         own = {i: m["properties"][name] for i, m in entries.items() if name in m.get("properties", {})}
         value = F.try_variant_get(col, f"$.{name}", "variant")
         objects = {i: m for i, m in own.items() if "properties" in m}
+        items = F.when(_is_kind(value, "ARRAY"), F.try_variant_get(value, "$", "array<variant>"))
+        single = F.when(items.isNull(), value)
         if objects:
-            fits = F.coalesce(F.startswith(F.schema_of_variant(value), F.lit("OBJECT")), F.lit(False))
-            out.append(F.when(fits, F.struct(*_decode_variant(value, objects, casts))).alias(name))
-            out.append(F.when(~fits & ~is_null(value, T.VariantType()), F.to_json(value)).alias(name + RAW))
+            out.extend(_variant_object(single, name, objects, casts))
+            out.extend(_variant_objects(items, name + ITEMS, objects, casts))
+        elif any(casts.find(m) for m in own.values()):
+            out.extend(_decode_field(single, T.VariantType(), name, own, casts))
+            out.extend(_decode_field(items, T.ArrayType(T.VariantType()), name + ITEMS, own, casts))
         else:
-            out.extend(_decode_field(value, T.VariantType(), name, own, casts))
+            out.append(value.alias(name))
     return out
 
 
+def _variant_object(value: Column, name: str, objects: Entries, casts: CastRegistry) -> list[Column]:
+    fits = _is_kind(value, "OBJECT")
+    body = F.when(fits, F.struct(*_decode_variant(value, objects, casts))).alias(name)
+    return [body, F.when(~fits & ~is_null(value, T.VariantType()), F.to_json(value)).alias(name + RAW)]
+
+
+def _variant_objects(items: Column, name: str, objects: Entries, casts: CastRegistry) -> list[Column]:
+    cast = F.transform(items, lambda x: F.struct(*_variant_object(x, "v", objects, casts)))
+    raws = F.transform(cast, lambda x: x.getField("v" + RAW))
+    bodies = F.transform(cast, lambda x: x.getField("v"))
+    return [bodies.alias(name), F.when(F.exists(raws, lambda r: r.isNotNull()), raws).alias(name + RAW)]
+
+
+def _is_kind(value: Column, kind: str) -> Column:
+    return F.coalesce(F.startswith(F.schema_of_variant(value), F.lit(kind)), F.lit(False))
+
+
 def _document_paths(dtype: T.DataType, path: tuple = ()) -> list[tuple]:
     """Paths to document objects; `None` in a path stands for the elements of an array."""
     if isinstance(dtype, T.ArrayType):
@@ -273,19 +299,51 @@ def _element(dtype: T.DataType) -> T.DataType:
 # -- keys and blanks ------------------------------------------------------------------------------
 
 
-def rename_keys(df: DataFrame, fn: Callable[[str], str]) -> DataFrame:
-    """Apply `fn` to every key: all levels of `_source` (or of a bare document), the top level of the rest."""
+def rename_keys(df: DataFrame, fn: Callable[[str], str], in_data: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Apply `fn` to every key: all levels of `_source` (or of a bare document), the top level of the rest.
+
+    The keys of maps and of schemaless bodies are data; `in_data` is the same
+    renaming as a column function, `F.upper` for `str.upper` say, and such a
+    table needs it. Two keys of one object must not become equal.
+    """
     hit = "_source" in df.columns
 
     def column(field: T.StructField) -> Column:
         col = F.col(quoted((field.name,)))
         if not hit or field.name == "_source":
+            if _has_data_keys(field.dataType):
+                if in_data is None:
+                    raise ValueError(f"{field.name} has keys that are data; give in_data")
+                col = _renamed_data(col, field.dataType, in_data)
             col = col.cast(_renamed(field.dataType, fn))
         return col.alias(fn(field.name))
 
     return df.select(*[column(field) for field in df.schema.fields])
 
 
+def _has_data_keys(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return any(_has_data_keys(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _has_data_keys(dtype.elementType)
+    return isinstance(dtype, (T.MapType, T.VariantType))
+
+
+def _renamed_data(col: Column, dtype: T.DataType, in_data: Callable[[Column], Column]) -> Column:
+    """The value with the keys of all maps and variants in it renamed."""
+    if not _has_data_keys(dtype):
+        return col
+    if isinstance(dtype, T.VariantType):
+        return F.parse_json(rename_members(F.to_json(col), in_data))
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(col, lambda x: _renamed_data(x, dtype.elementType, in_data))
+    if isinstance(dtype, T.MapType):
+        values = F.transform_values(col, lambda k, v: _renamed_data(v, dtype.valueType, in_data))
+        return F.transform_keys(values, lambda k, v: in_data(k)) if isinstance(dtype.keyType, T.StringType) else values
+    parts = [_renamed_data(col.getField(f.name), f.dataType, in_data).alias(f.name) for f in dtype.fields]
+    return F.when(col.isNotNull(), F.struct(*parts))
+
+
 def _renamed(dtype: T.DataType, fn: Callable[[str], str]) -> T.DataType:
     if isinstance(dtype, T.StructType):
         return T.StructType(
@@ -293,6 +351,8 @@ def _renamed(dtype: T.DataType, fn: Callable[[str], str]) -> T.DataType:
         )
     if isinstance(dtype, T.ArrayType):
         return T.ArrayType(_renamed(dtype.elementType, fn), dtype.containsNull)
+    if isinstance(dtype, T.MapType):
+        return T.MapType(dtype.keyType, _renamed(dtype.valueType, fn), dtype.valueContainsNull)
     return dtype
 
 
@@ -316,6 +376,8 @@ def _stripped(col: Column, dtype: T.DataType) -> Column:
         return F.nullif(col, F.lit(""))
     if isinstance(dtype, T.BinaryType):
         return F.when(F.octet_length(col) > 0, col)
+    if isinstance(dtype, T.VariantType):
+        return F.parse_json(strip_members(F.to_json(col)))
     if isinstance(dtype, T.ArrayType):
         kept = F.filter(F.transform(col, lambda x: _stripped(x, dtype.elementType)), lambda x: x.isNotNull())
         return F.when(F.size(kept) > 0, kept)
@@ -338,23 +400,21 @@ def _stripped(col: Column, dtype: T.DataType) -> Column:
 def cast_report(df: DataFrame, mapping: dict, casts: CastRegistry = BUILT_IN) -> DataFrame:
     """Per index and cast field: rows, NULLs, cast values, passed-through values and the least of those.
 
+    In a list of objects every object counts, so the three may add up to more or less than the rows.
+
     One aggregation with map-side partial results, whatever the number of fields.
     """
     decoded = decode(df, mapping, casts)
     body = "_source" in df.columns
     struct = decoded.schema["_source"].dataType if body else decoded.schema
-    prefix = ("_source",) if body else ()
     paths = list(_raw_paths(struct))
     aggregates = []
     for n, path in enumerate(paths):
-        typed = F.col(quoted((*prefix, *path)))
-        raw = F.col(quoted((*prefix, *path[:-1], path[-1] + RAW)))
-        sample = raw if _path_type(struct, (*path[:-1], path[-1] + RAW)) == T.StringType() else F.to_json(raw)
+        seen = _seen(F.col("_source") if body else None, struct, path)
+        state = F.transform(seen, lambda x: F.when(x["raw"].isNotNull(), 2).when(x["cast"], 1).otherwise(0))
         aggregates += [
-            F.count_if(typed.isNull() & raw.isNull()).alias(f"nulls{n}"),
-            F.count_if(typed.isNotNull() & raw.isNull()).alias(f"cast{n}"),
-            F.count_if(raw.isNotNull()).alias(f"passed{n}"),
-            F.min(sample).alias(f"sample{n}"),
+            *[F.sum(_times(state, kind)).alias(f"{name}{n}") for kind, name in enumerate(("nulls", "cast", "passed"))],
+            F.min(F.array_min(F.transform(seen, lambda x: x["raw"]))).alias(f"sample{n}"),
         ]
     key = F.col("_index") if "_index" in df.columns else null("string").alias("_index")
     counted = decoded.groupBy(key).agg(F.count(F.lit(1)).alias("rows"), *aggregates)
@@ -372,14 +432,32 @@ def cast_report(df: DataFrame, mapping: dict, casts: CastRegistry = BUILT_IN) ->
 
 
 def _raw_paths(struct: T.StructType, prefix: tuple = ()):
+    """Paths to the cast fields below a struct, also below lists of objects."""
     for field in struct.fields:
         if field.name + RAW in struct.names:
             yield (*prefix, field.name)
-        if isinstance(field.dataType, T.StructType):
-            yield from _raw_paths(field.dataType, (*prefix, field.name))
+        inner = field.dataType
+        while isinstance(inner, T.ArrayType):
+            inner = inner.elementType
+        if isinstance(inner, T.StructType):
+            yield from _raw_paths(inner, (*prefix, field.name))
+
+
+def _times(values: Column, value: int) -> Column:
+    return F.size(F.filter(values, lambda x: x == value))
+
+
+def _seen(col: Column | None, dtype: T.DataType, path: tuple) -> Column:
+    """`ARRAY<STRUCT<cast, raw>>`: one member for the row, or one for every object of the lists on the way."""
+    if isinstance(dtype, T.ArrayType):
+        return F.flatten(F.transform(F.coalesce(col, F.array().cast(dtype)), lambda x: _seen(x, dtype.elementType, path)))
 
+    def member(name: str) -> Column:
+        return F.col(quoted((name,))) if col is None else col.getField(name)
 
-def _path_type(struct: T.StructType, path: tuple) -> T.DataType:
-    for name in path[:-1]:
-        struct = struct[name].dataType
-    return struct[path[-1]].dataType
+    name, rest = path[0], path[1:]
+    if rest:
+        return _seen(member(name), dtype[name].dataType, rest)
+    raw = member(name + RAW)
+    text = raw if isinstance(dtype[name + RAW].dataType, T.StringType) else F.to_json(raw)
+    return F.array(F.struct(member(name).isNotNull().alias("cast"), text.alias("raw")))

@@ -11,14 +11,15 @@ joined, so repeated ids do not pile up in a task.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docquery.functions.made_ids import made_id
 from docquery.functions.predicates import selected
 from docquery.functions.shards import shard_of
-from docquery.functions.stored import INTEGRAL
 from docquery.model import build, leaves, quoted, source_type, split_touched
 from docquery.operators.bulk import present, typed_doc
 from docquery.session import bounded_broadcast
@@ -28,13 +29,12 @@ def with_ids(docs: DataFrame, order: str | None = None, dtype: T.DataType | None
     """Give documents without `_id` one made from their content, the same on every run.
 
     With `order` the place counts too, so that equal documents stay apart. Ids are
-    text, or of `dtype`: whole numbers are made from a 64-bit hash.
+    text, or of `dtype`: whole numbers are made from a 64-bit hash (`made_id`).
     """
     dtype = dtype or T.StringType()
     text = F.to_json(F.struct("_source", order) if order else "_source")
-    made = F.xxhash64(text) if isinstance(dtype, INTEGRAL) else F.sha2(text, 256)
     given = F.col("_id") if "_id" in docs.columns else F.lit(None)
-    return docs.withColumn("_id", F.coalesce(given.cast(dtype), made.cast(dtype)))
+    return docs.withColumn("_id", F.coalesce(given.cast(dtype), made_id(text, dtype)))
 
 
 def index(table: DataFrame, docs: DataFrame, order: str | None = None) -> DataFrame:
@@ -53,14 +53,18 @@ def create(table: DataFrame, docs: DataFrame, order: str) -> tuple[DataFrame, Da
     """Insert documents of new ids: `(new table, conflicts)`.
 
     The first document of an id by `order` is inserted unless the id exists;
-    every other one is a conflict.
+    every other one is a conflict. A document without an id gets one made for it
+    from its content and place; one without a place comes last.
     """
-    keys = _keys(docs)
-    first = docs.groupBy(*keys).agg(F.min_by(F.struct(*_body(table, keys), order), order).alias("_doc"))
+    docs, keys = with_ids(docs, order, table.schema["_id"].dataType), _keys(docs)
+    place = F.struct(F.col(order).isNull(), F.col(order))
+    first = docs.groupBy(*keys).agg(F.min_by(F.struct(*_body(table, keys), order), place).alias("_doc"))
     existing = table.select(*keys).join(_ids_of(docs), keys, "left_semi")
     inserted = first.select(*keys, "_doc.*").join(existing, keys, "left_anti")
     # Matching on (id, order) spreads the repeats of one id over all tasks.
-    conflicts = docs.join(inserted.select(*keys, order), [*keys, order], "left_anti").select(docs.columns)
+    d, i = docs.alias("d"), inserted.select(*keys, order).alias("i")
+    same = [F.col(f"d.{quoted((c,))}").eqNullSafe(F.col(f"i.{quoted((c,))}")) for c in (*keys, order)]
+    conflicts = d.join(i, reduce(Column.__and__, same), "left_anti").select(docs.columns)
     return table.unionByName(inserted.select(table.columns)), conflicts
 
 
@@ -161,12 +165,39 @@ def update_by_query(table: DataFrame, predicate: Column | None, changes: Mapping
 
 
 def _changed(df: DataFrame, hit: Column, changes: Mapping[str, Column]) -> DataFrame:
-    body = F.col("_source")
+    body, dtype = F.col("_source"), source_type(df)
     for name, value in changes.items():
-        body = body.withField(name, F.when(hit, value).otherwise(F.col(quoted(("_source", name)))))
+        path = (name,) if name in dtype.names else tuple(name.split("."))
+        own = df.select(value.alias("v")).schema["v"].dataType
+        body, dtype = _with_path(body, dtype, path, value, own, hit)
     return df.withColumn("_source", body)
 
 
+def _with_path(body: Column | None, dtype: T.StructType, path: tuple[str, ...], value: Column, own: T.DataType, hit: Column) -> tuple[Column, T.StructType]:
+    """`body` with the value at a path where `hit` holds, and its type; absent fields and objects on the way are added.
+
+    A row that isn't hit gets NULL for a new field and keeps an absent object absent.
+    """
+    name, rest = path[0], path[1:]
+    known = name in dtype.names
+    held = body.getField(name) if known else None
+    if rest:
+        inner = dtype[name].dataType if known else T.StructType([])
+        if not isinstance(inner, T.StructType):
+            raise ValueError(f"{name} is no object, so it has no field {'.'.join(rest)}")
+        new, kind = _with_path(held, inner, rest, value, own, hit)
+    elif known:
+        kind = dtype[name].dataType
+        # A value of another type makes the field that type, as it did before.
+        new, kind = F.when(hit, value).otherwise(held), kind if kind == own else own
+    else:
+        new, kind = F.when(hit, value), own
+    fields = [(f.name, kind if f.name == name else f.dataType) for f in dtype.fields] + ([] if known else [(name, kind)])
+    parts = [(new if n == name else body.getField(n)).alias(n) for n, _ in fields]
+    there = hit if body is None else body.isNotNull() | hit
+    return F.when(there, F.struct(*parts)), T.StructType([T.StructField(n, t) for n, t in fields])
+
+
 def _flagged(table: DataFrame, ids: DataFrame) -> DataFrame:
     keys = _keys(ids)
     found = table.select(*keys).join(_ids_of(ids), keys, "left_semi").distinct().withColumn("_found", F.lit(True))

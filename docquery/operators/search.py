@@ -83,14 +83,16 @@ def count(df: DataFrame, where: Column | None = None) -> DataFrame:
 def explain(df: DataFrame, text_col: str, text: str, ids: DataFrame, by: str | Analyzer = "standard") -> DataFrame:
     """Why each asked document matches: one row per document and query term.
 
-    A document without the term, or an id the table does not have, gives
-    `matched = false`.
+    `ids` has `_id` and, where only the documents of some indices are meant,
+    `_index`; the result tells the index of each document. A document without the
+    term, or one the table does not have, gives `matched = false`.
     """
     terms = query_terms(text, by, df.sparkSession)
     counts = _counts(df, analyzer(by)(F.col(text_col)), terms, [])
     stats = _statistics(counts, len(terms))
-    asked = ids.select("_id").distinct()
-    docs = counts.join(asked, "_id", "left_semi").select("_id", "_length", "_tf")
+    keys = ["_index", "_id"] if "_index" in ids.columns else ["_id"]
+    asked = ids.select(*keys).distinct()
+    docs = counts.join(bounded_broadcast(asked), keys, "left_semi").select("_index", "_id", "_length", "_tf")
     entries = F.array(
         *[
             F.struct(
@@ -102,11 +104,12 @@ def explain(df: DataFrame, text_col: str, text: str, ids: DataFrame, by: str | A
             for n, term in enumerate(terms)
         ]
     )
-    detail = asked.join(docs, "_id", "left").select("_id", "_length", F.inline(entries)).withColumn(
+    detail = asked.join(docs, keys, "left").select("_index", "_id", "_length", F.inline(entries)).withColumn(
         "norm", K1 * (1 - B + B * F.col("_length") / F.lit(stats["avgdl"]))
     )
     part = F.col("idf") * F.col("tf") / (F.col("tf") + F.col("norm"))
     return detail.select(
+        "_index",
         "_id",
         "term",
         (F.col("tf") > 0).alias("matched"),

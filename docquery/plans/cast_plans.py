@@ -328,6 +328,56 @@ def cast_report(spark, sf):
     return codec.cast_report(_stored_dates(spark, sf).withColumn("_index", F.lit("orders")), _mapping(stored=DATE))
 
 
+def _schemaless(spark, sf):
+    """Bodies without a schema: lists of dates, of which one in three is none, objects and lists of them, blanks at every level."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    turn = F.col("o_orderkey") % 3
+    body = F.concat(
+        F.lit('{"at":'), F.when(turn == 0, F.concat(F.lit('"'), day, F.lit('"'))).otherwise(F.concat(F.lit('["'), day, F.lit('",'), turn.cast("string"), F.lit(',"day"]'))),
+        F.lit(',"who":'), F.when(turn == 1, F.concat(F.lit('{"on":"'), day, F.lit('","note":""}'))).otherwise(F.concat(F.lit('[{"on":"'), day, F.lit('"},{"on":"x"},7,{"none":[{}]}]'))),
+        F.lit(',"empty":{"a":[null,""]},"Id":'), F.col("o_orderkey").cast("string"), F.lit("}"),
+    )
+    return texts(spark, sf, "orders").select(F.lit("orders").alias("_index"), F.col("o_orderkey").alias("_id"), F.parse_json(body).alias("_source"))
+
+
+def decode_variant_nested(spark, sf):
+    """Lists in schemaless bodies are cast element by element, objects in lists too."""
+    out = codec.decode(_schemaless(spark, sf), _mapping(at=DATE, who={"properties": {"on": DATE}}))
+    items, who = source("at__items"), source("who__items")
+    return out.select(
+        "_id",
+        _us(source("at")).alias("at"),
+        source("at__raw").alias("at_raw"),
+        _us(F.get(items, F.lit(0))).alias("item0"),
+        _us(F.get(items, F.lit(1))).alias("item1"),
+        F.get(source("at__items__raw"), F.lit(2)).alias("raw2"),
+        F.size(items).alias("n_items"),
+        _us(source("who", "on")).alias("who_on"),
+        _us(F.get(who, F.lit(0))["on"]).alias("first_on"),
+        F.get(who, F.lit(1))["on__raw"].alias("second_raw"),
+        F.get(source("who__items__raw"), F.lit(2)).alias("third_raw"),
+    )
+
+
+def rename_keys_variant(spark, sf):
+    out = codec.rename_keys(_schemaless(spark, sf), lambda key: key if key.startswith("_") else key.upper(), F.upper)
+    return out.select("_id", F.to_json("_source").alias("json"))
+
+
+def strip_blank_variant(spark, sf):
+    return codec.strip_blank(_schemaless(spark, sf)).select("_id", F.to_json("_source").alias("json"))
+
+
+def cast_report_nested(spark, sf):
+    """Casts inside a list of objects: every object counts."""
+    day = F.when(F.col("o_orderkey") % 3 == 0, "never").when(F.col("o_orderkey") % 3 == 1, F.date_format("o_orderdate", "yyyy-MM-dd"))
+    visits = F.array(F.struct(day.alias("on")), F.struct(F.lit("2024-01-01").alias("on")))
+    stored = texts(spark, sf, "orders").select(
+        F.lit("orders").alias("_index"), F.col("o_orderkey").alias("_id"), F.struct(F.when(F.col("o_orderkey") % 5 != 0, visits).alias("visits")).alias("_source")
+    )
+    return codec.cast_report(stored, _mapping(visits={"properties": {"on": DATE}}))
+
+
 def custom_cast(spark, sf):
     """A user's cast for prices stored as whole cents, behind the built-in ones."""
     scaled = FieldCast(
@@ -354,7 +404,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         cast_date, cast_date_epoch, dump_date, cast_ip, cast_binary, cast_geo, cast_int_range, cast_date_range, decode_nested,
-        encode_table, found_documents, decode_mixed, encode_log, rename_keys, strip_blank, cast_report, custom_cast,
+        encode_table, found_documents, decode_mixed, encode_log, rename_keys, strip_blank, cast_report, decode_variant_nested, rename_keys_variant, strip_blank_variant, cast_report_nested, custom_cast,
     )
 }
 
@@ -450,6 +500,23 @@ SQL = {
     "cast_report": f"""WITH {_DATES} SELECT 'orders' AS _index, 'stored' AS field, count(*) AS rows,
         count(*) FILTER (turn = 6) AS nulls, count(*) FILTER (turn IN (0, 1, 2)) AS "cast",
         count(*) FILTER (turn IN (3, 4, 5)) AS passed, min(stored) FILTER (turn IN (3, 4, 5)) AS sample FROM d""",
+    "decode_variant_nested": """WITH d AS (SELECT o_orderkey AS _id, o_orderkey % 3 AS turn, epoch_us(date_trunc('day', o_orderdate)) AS us FROM orders)
+        SELECT _id, CASE WHEN turn = 0 THEN us END AS "at", CAST(NULL AS VARCHAR) AS at_raw, CASE WHEN turn <> 0 THEN us END AS item0,
+               CASE WHEN turn <> 0 THEN turn * 1000 END AS item1, CASE WHEN turn <> 0 THEN 'day' END AS raw2,
+               CASE WHEN turn <> 0 THEN 3 END AS n_items, CASE WHEN turn = 1 THEN us END AS who_on, CASE WHEN turn <> 1 THEN us END AS first_on,
+               CASE WHEN turn <> 1 THEN 'x' END AS second_raw, CASE WHEN turn <> 1 THEN '7' END AS third_raw FROM d""",
+    "rename_keys_variant": """WITH d AS (SELECT o_orderkey AS _id, o_orderkey % 3 AS turn, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders)
+        SELECT _id, '{"AT":' || CASE WHEN turn = 0 THEN '"' || day || '"' ELSE '["' || day || '",' || turn || ',"day"]' END
+            || ',"EMPTY":{"A":[null,""]},"ID":' || _id || ',"WHO":'
+            || CASE WHEN turn = 1 THEN '{"NOTE":"","ON":"' || day || '"}' ELSE '[{"ON":"' || day || '"},{"ON":"x"},7,{"NONE":[{}]}]' END || '}' AS json FROM d""",
+    "strip_blank_variant": """WITH d AS (SELECT o_orderkey AS _id, o_orderkey % 3 AS turn, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders)
+        SELECT _id, '{"Id":' || _id || ',"at":' || CASE WHEN turn = 0 THEN '"' || day || '"' ELSE '["' || day || '",' || turn || ',"day"]' END
+            || ',"who":' || CASE WHEN turn = 1 THEN '{"on":"' || day || '"}' ELSE '[{"on":"' || day || '"},{"on":"x"},7]' END || '}' AS json FROM d""",
+    "cast_report_nested": """SELECT 'orders' AS _index, 'visits.on' AS field, count(*) AS rows,
+        count(*) FILTER (o_orderkey % 5 <> 0 AND o_orderkey % 3 = 2) AS nulls,
+        count(*) FILTER (o_orderkey % 5 <> 0) + count(*) FILTER (o_orderkey % 5 <> 0 AND o_orderkey % 3 = 1) AS "cast",
+        count(*) FILTER (o_orderkey % 5 <> 0 AND o_orderkey % 3 = 0) AS passed,
+        min('never') FILTER (o_orderkey % 5 <> 0 AND o_orderkey % 3 = 0) AS sample FROM orders""",
     "custom_cast": """SELECT o_orderkey AS _id, round(o_totalprice, 2) AS price, epoch_us(date_trunc('day', o_orderdate)) AS "at",
         CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders""",
 }

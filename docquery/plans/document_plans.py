@@ -180,6 +180,60 @@ def doc_index_absent_ids(spark, sf):
     return documents.index(people, batch, "seq").select("_id", source("kind").alias("kind"), source("who").alias("who"))
 
 
+def _kinds(spark, sf, key):
+    """Events as documents of people, with ids as given by `key`."""
+    body = F.struct(F.col("event_type").alias("kind"), F.col("user_id").alias("who"))
+    return flat(spark, sf, "events").select(F.lit("people").alias("_index"), key.alias("_id"), F.col("event_id").alias("seq"), body.alias("_source"))
+
+
+def _people(spark, sf, key):
+    body = F.struct(F.col("c_mktsegment").alias("kind"), F.col("c_nationkey").cast("long").alias("who"))
+    return flat(spark, sf, "customer").select(F.lit("people").alias("_index"), key.alias("_id"), body.alias("_source"))
+
+
+def doc_index_int_ids(spark, sf):
+    """Whole-number ids of 32 bits; two in three documents have none and get one."""
+    batch = _kinds(spark, sf, F.when(F.col("event_id") % 3 == 0, F.col("user_id").cast("int")))
+    made = documents.index(_people(spark, sf, F.col("c_custkey").cast("int")), batch, "seq")
+    return made.select(source("kind").alias("kind"), source("who").alias("who"))
+
+
+def doc_create_absent_ids(spark, sf):
+    """Documents without ids are all created; those with one only where it is new."""
+    batch = _kinds(spark, sf, F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("c"), F.col("user_id").cast("string"))))
+    table, conflicts = documents.create(_people(spark, sf, F.concat(F.lit("c"), F.col("c_custkey").cast("string"))), batch, "seq")
+    out = table.select(F.lit("stored").alias("part"), source("kind").alias("kind"), source("who").alias("who"), F.lit(None).cast("long").alias("seq"))
+    return out.unionByName(conflicts.select(F.lit("conflict").alias("part"), source("kind").alias("kind"), source("who").alias("who"), "seq"))
+
+
+def bulk_items_no_ids(spark, sf):
+    """Actions of which a third have no id, on a table that holds a document whose id is empty."""
+    body = F.struct(F.col("event_type").alias("kind"))
+    held = flat(spark, sf, "events").filter("event_id % 2 = 0").select(F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("_id"), body.alias("_source"))
+    empty = flat(spark, sf, "region").filter("r_regionkey = 0").select(F.lit("").alias("_id"), F.struct(F.col("r_name").alias("kind")).alias("_source"))
+    table = held.unionByName(empty).withColumn("_index", F.lit("people"))
+    kind = F.col("event_type")
+    log = flat(spark, sf, "events").select(
+        F.col("event_id").alias("seq"),
+        F.when(kind == "error", "delete").when(kind.isin("view", "click"), "update").otherwise("index").alias("action"),
+        F.lit("people").alias("_index"),
+        F.when(F.col("event_id") % 3 != 0, F.concat(F.lit("e"), F.col("event_id").cast("string"))).alias("_id"),
+        body.alias("doc"),
+    )
+    state, items = bulk.apply_bulk(table, log, ("seq",))
+    kept = state.filter("_id = ''").select(F.lit(None).cast("long").alias("seq"), F.lit("kept").alias("action"), source("kind").alias("outcome"))
+    return items.select("seq", "action", "outcome").unionByName(kept)
+
+
+def update_by_query_nested(spark, sf):
+    """A field of an object, a new field, and a field of a new object, each from the document's own values."""
+    body = F.struct(F.struct(F.col("o_orderstatus").alias("status"), F.col("o_custkey").alias("who")).alias("order"), F.col("o_totalprice").alias("price"))
+    table = flat(spark, sf, "orders").select(F.lit("orders").alias("_index"), F.col("o_orderkey").alias("_id"), body.alias("_source"))
+    cheap = source("price") < 100_000
+    changed = documents.update_by_query(table, cheap, {"order.status": F.concat(source("order", "status"), F.lit("!")), "double": source("price") * 2, "seen.by": source("order", "who")})
+    return changed.select("_id", source("order", "status").alias("status"), source("order", "who").alias("who"), source("double").alias("double"), source("seen", "by").alias("seen_by"))
+
+
 def doc_update_sparse(spark, sf):
     """Rows without a source, and rows whose only field is NULL, before a batch that has some of their ids."""
     body = F.when(F.col("_id") % 3 > 0, F.struct(F.when(F.col("_id") % 3 == 1, source("amount")).alias("amount")))
@@ -295,7 +349,7 @@ QUERIES = {
         doc_index, doc_index_generated_ids, doc_create, doc_create_conflicts, doc_get, doc_delete, doc_exists, doc_get_source,
         doc_source_exists, doc_update, doc_update_script, doc_mget, doc_index_two_indices, doc_create_two_indices,
         doc_delete_two_indices, doc_exists_two_indices, doc_get_source_two_indices, doc_source_exists_two_indices,
-        doc_update_two_indices, doc_update_script_two_indices, doc_index_absent_ids, doc_update_sparse, delete_by_query, delete_by_query_count, update_by_query,
+        doc_update_two_indices, doc_update_script_two_indices, doc_index_absent_ids, doc_index_int_ids, doc_create_absent_ids, bulk_items_no_ids, update_by_query_nested, doc_update_sparse, delete_by_query, delete_by_query_count, update_by_query,
         update_by_query_all, bulk_items_nulls, bulk_apply_state, bulk_apply_items, bulk_new_table, pit_as_of, bulk_ndjson_roundtrip,
         bulk_ndjson_apply, forcemerge_live,
     )
@@ -400,6 +454,25 @@ SQL = {
         latest AS (SELECT * FROM batch QUALIFY row_number() OVER (PARTITION BY _id ORDER BY seq DESC) = 1)
         SELECT 'c' || c_custkey AS _id, c_mktsegment AS kind, CAST(c_nationkey AS BIGINT) AS who FROM customer
         WHERE 'c' || c_custkey NOT IN (SELECT _id FROM latest) UNION ALL SELECT _id, kind, who FROM latest""",
+    "doc_index_int_ids": """WITH given AS (SELECT event_id AS seq, event_type AS kind, user_id AS who FROM events WHERE event_id % 3 = 0
+          QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
+        SELECT kind, who FROM given UNION ALL SELECT event_type, user_id FROM events WHERE event_id % 3 <> 0
+        UNION ALL SELECT c_mktsegment, CAST(c_nationkey AS BIGINT) FROM customer WHERE c_custkey NOT IN (SELECT who FROM given)""",
+    "doc_create_absent_ids": """WITH given AS (SELECT event_id AS seq, event_type AS kind, user_id AS who,
+            row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1 AND user_id NOT IN (SELECT c_custkey FROM customer) AS new
+          FROM events WHERE event_id % 3 = 0)
+        SELECT 'stored' AS part, kind, who, CAST(NULL AS BIGINT) AS seq FROM given WHERE new
+        UNION ALL SELECT 'stored', event_type, user_id, NULL FROM events WHERE event_id % 3 <> 0
+        UNION ALL SELECT 'stored', c_mktsegment, CAST(c_nationkey AS BIGINT), NULL FROM customer
+        UNION ALL SELECT 'conflict', kind, who, seq FROM given WHERE NOT new""",
+    "bulk_items_no_ids": """WITH a AS (SELECT event_id AS seq, event_id % 2 = 0 AND event_id % 3 <> 0 AS had,
+            CASE WHEN event_type = 'error' THEN 'delete' WHEN event_type IN ('view', 'click') THEN 'update' ELSE 'index' END AS action FROM events)
+        SELECT seq, action, CASE action WHEN 'delete' THEN CASE WHEN had THEN 'deleted' ELSE 'not_found' END
+            WHEN 'update' THEN CASE WHEN had THEN 'updated' ELSE 'missing' END ELSE CASE WHEN had THEN 'updated' ELSE 'created' END END AS outcome FROM a
+        UNION ALL SELECT NULL, 'kept', r_name FROM region WHERE r_regionkey = 0""",
+    "update_by_query_nested": """SELECT o_orderkey AS _id, CASE WHEN o_totalprice < 100000 THEN o_orderstatus || '!' ELSE o_orderstatus END AS status,
+        o_custkey AS who, CASE WHEN o_totalprice < 100000 THEN o_totalprice * 2 END AS "double",
+        CASE WHEN o_totalprice < 100000 THEN o_custkey END AS seen_by FROM orders""",
     "doc_update_sparse": f"""{_HAVE}
         SELECT _index, _id, _id % 3 = 0 AND asked.pos IS NULL AS bare,
                coalesce(asked.value, CASE WHEN _id % 3 = 1 THEN amount END) AS amount

@@ -73,7 +73,19 @@ def msearch_two_indices(spark, sf):
 def explain_terms(spark, sf):
     return search.explain(
         text_docs(spark, sf, "documents"), "_source.text", EXPLAIN, flat(spark, sf, "labels").select(F.col("doc_id").alias("_id"))
-    )
+    ).drop("_index")
+
+
+def _documents_twice(spark, sf):
+    """The documents under two indices with the same ids; the second one's texts end in another word."""
+    one = text_docs(spark, sf, "documents").select(F.lit("a").alias("_index"), "_id", source("text").alias("text"))
+    return one.unionByName(one.select(F.lit("b").alias("_index"), "_id", F.concat("text", F.lit(" onesen")).alias("text")))
+
+
+def explain_two_indices(spark, sf):
+    """Ids that both indices have, each asked for in one of them."""
+    asked = flat(spark, sf, "labels").select(F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b").alias("_index"), F.col("doc_id").alias("_id"))
+    return search.explain(_documents_twice(spark, sf), "text", EXPLAIN, asked)
 
 
 def count_term(spark, sf):
@@ -141,6 +153,22 @@ def rank_eval_mean(spark, sf):
     return evaluate.mean_score(evaluate.rank_eval(_results(spark, sf), _ratings(spark, sf), "mean_reciprocal_rank", 10))
 
 
+def rank_eval_two_indices(spark, sf):
+    """Results of two indices with the same ids, of which each has ratings of its own."""
+    hits = _results(spark, sf)
+    both = hits.withColumn("_index", F.lit("a")).unionByName(hits.withColumn("_index", F.lit("b")).withColumn("_score", F.col("_score") + 1))
+    rated = _ratings(spark, sf)
+    ratings = rated.withColumn("_index", F.lit("a")).unionByName(rated.select("_id", (1 - F.col("rating")).alias("rating"), F.lit("b").alias("_index")))
+    return evaluate.rank_eval(both, ratings, "precision", 15)
+
+
+def rank_eval_ndcg(spark, sf):
+    """Ratings per query: a labelled document is worth one to three, by its place among the ids."""
+    hits = _results(spark, sf)
+    rated = hits.join(_ratings(spark, sf).filter("rating = 1"), "_id").select("query_id", "_id", (F.col("_id") % 3 + 1).alias("rating"))
+    return evaluate.rank_eval(hits, rated, "ndcg", 5)
+
+
 def _results(spark, sf):
     return msearch_benchmark(spark, sf).select("query_id", "_id", "_score")
 
@@ -233,9 +261,9 @@ def mtermvectors(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        search_bm25, search_sorted, msearch_template_default, search_filtered, search_scores, msearch_benchmark, msearch_two_indices, explain_terms, count_term, count_match,
+        search_bm25, search_sorted, msearch_template_default, search_filtered, search_scores, msearch_benchmark, msearch_two_indices, explain_terms, explain_two_indices, count_term, count_match,
         terms_enum_prefix, terms_enum_part, query_ids, query_index_filter, query_source_filter, scroll_page, scroll_all_pages, number_pages,
-        rank_eval_precision, rank_eval_mean, tile_grid, search_template, msearch_template, analyze_tokens,
+        rank_eval_precision, rank_eval_mean, rank_eval_two_indices, rank_eval_ndcg, tile_grid, search_template, msearch_template, analyze_tokens,
         analyze_conversations, termvectors, mtermvectors,
     )
 }
@@ -333,6 +361,21 @@ SQL = {
                round(coalesce({SCORE_SQL.replace("tf", "tf.tf")}, 0.0), 6) AS contribution
         FROM (SELECT DISTINCT doc_id FROM labels) l CROSS JOIN q JOIN df USING (term) CROSS JOIN st
         LEFT JOIN dl ON dl.doc_id = l.doc_id LEFT JOIN tf ON tf.doc_id = l.doc_id AND tf.term = q.term""",
+    "explain_two_indices": rf"""WITH both_ AS (SELECT 'a' AS _index, doc_id, text FROM documents UNION ALL SELECT 'b', doc_id, text || ' onesen' FROM documents),
+        toks AS (SELECT _index, doc_id, lower(w) AS term FROM (SELECT _index, doc_id, unnest(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+')) AS w FROM both_)),
+        dl AS (SELECT _index, doc_id, count(*) AS dl FROM toks GROUP BY ALL),
+        st AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl),
+        q(term) AS (VALUES {_terms(EXPLAIN)}),
+        tf AS (SELECT _index, doc_id, term, count(*) AS tf FROM toks JOIN q USING (term) GROUP BY ALL),
+        df AS (SELECT q.term, count(doc_id) AS df FROM q LEFT JOIN tf USING (term) GROUP BY q.term),
+        asked AS (SELECT DISTINCT CASE WHEN doc_id % 2 = 0 THEN 'a' ELSE 'b' END AS _index, doc_id FROM labels)
+        SELECT l._index, l.doc_id AS _id, q.term, tf.tf IS NOT NULL AS matched, coalesce(tf.tf, 0) AS tf, df.df,
+               round(ln(1 + (n - df + 0.5) / (df + 0.5)), 6) AS idf,
+               round(1.2 * (1 - 0.75 + 0.75 * dl / avgdl), 6) AS norm,
+               round(coalesce({SCORE_SQL.replace("tf", "tf.tf")}, 0.0), 6) AS contribution
+        FROM asked l CROSS JOIN q JOIN df USING (term) CROSS JOIN st
+        LEFT JOIN dl ON dl.doc_id = l.doc_id AND dl._index = l._index
+        LEFT JOIN tf ON tf.doc_id = l.doc_id AND tf.term = q.term AND tf._index = l._index""",
     "count_term": "SELECT count(*) AS count FROM events WHERE event_type = 'purchase'",
     "count_match": f"""WITH {TOKENS_SQL}
         SELECT count(DISTINCT doc_id) AS count FROM toks WHERE term IN ('river', 'onesen', 'que')""",
@@ -355,6 +398,20 @@ SQL = {
                count(*) FILTER (quality IS NULL) AS unrated,
                round(count(*) FILTER (quality >= 1) / count(*), 6) AS metric_score
         FROM results LEFT JOIN labels USING (doc_id) GROUP BY query_id""",
+    "rank_eval_two_indices": f"""WITH {TOKENS_SQL}, {_MSEARCH},
+        both_ AS (SELECT query_id, 'a' AS _index, doc_id, score FROM results UNION ALL SELECT query_id, 'b', doc_id, score + 1 FROM results),
+        top AS (SELECT * FROM both_ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, _index) <= 15),
+        rated AS (SELECT t.query_id, CASE WHEN t._index = 'a' THEN l.quality ELSE 1 - l.quality END AS rating FROM top t LEFT JOIN labels l USING (doc_id))
+        SELECT query_id, count(*) AS hits, count(*) FILTER (rating >= 1) AS relevant, count(*) FILTER (rating IS NULL) AS unrated,
+               round(count(*) FILTER (rating >= 1) / count(*), 6) AS metric_score FROM rated GROUP BY query_id""",
+    "rank_eval_ndcg": f"""WITH {TOKENS_SQL}, {_MSEARCH},
+        rated AS (SELECT query_id, rk, doc_id % 3 + 1 AS rating FROM results JOIN labels USING (doc_id) WHERE quality = 1),
+        best AS (SELECT query_id, rating, row_number() OVER (PARTITION BY query_id ORDER BY rating DESC) AS place FROM rated),
+        ideal AS (SELECT query_id, sum((2.0 ** rating - 1) / log2(place + 1)) AS ideal FROM best WHERE place <= 5 GROUP BY query_id),
+        per AS (SELECT r.query_id, count(*) AS hits, count(*) FILTER (rating >= 1) AS relevant, count(*) FILTER (rating IS NULL) AS unrated,
+                       sum((2.0 ** coalesce(rating, 0) - 1) / log2(r.rk + 1)) AS gain
+                FROM results r LEFT JOIN rated USING (query_id, rk) WHERE r.rk <= 5 GROUP BY r.query_id)
+        SELECT query_id, hits, relevant, unrated, round(coalesce(gain / ideal, 0.0), 6) AS metric_score FROM per LEFT JOIN ideal USING (query_id)""",
     "rank_eval_mean": f"""WITH {TOKENS_SQL}, {_MSEARCH},
         per AS (SELECT query_id, round(coalesce(1.0 / min(rk) FILTER (quality >= 1), 0), 6) AS s
                 FROM results LEFT JOIN labels USING (doc_id) GROUP BY query_id)
