@@ -8,6 +8,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from docquery.functions.stored import let
+from docquery.functions.sums import running_sums
 
 # A token is a maximal run of letters, digits and underscores.
 WORD = r"[\p{L}\p{N}_]+"
@@ -71,6 +72,61 @@ def term_frequencies(words: Column) -> Column:
     return F.when(F.size(words) > 0, let(F.sort_array(words), count_runs))
 
 
+def token_places(col: Column | str) -> Column:
+    """`ARRAY<STRUCT<position, token, start_offset, end_offset>>` of a text's tokens, offsets in characters."""
+
+    def placed(pieces: Column, ends: Column) -> Column:
+        def one(piece: Column, i: Column) -> Column:
+            # Word and other runs alternate, so the n-th word is run 2n or 2n + 1.
+            end = F.get(ends, i)
+            return F.when(
+                piece.rlike(STARTS_WITH_WORD),
+                F.struct(
+                    F.shiftright(i, 1).alias("position"),
+                    F.lower(piece).alias("token"),
+                    (end - F.length(piece)).alias("start_offset"),
+                    end.alias("end_offset"),
+                ),
+            )
+
+        return F.filter(F.transform(pieces, one), F.isnotnull)
+
+    return let(runs(col), lambda pieces: let(running_sums(F.transform(pieces, F.length)), lambda ends: placed(pieces, ends)))
+
+
+def term_places(places: Column) -> Column:
+    """`ARRAY<STRUCT<term, tf, positions, start_offsets, end_offsets>>` of `token_places`, equal tokens being runs of the sorted array."""
+
+    def gathered(ordered: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(0), F.size(ordered) - 1), lambda i: (i == 0) | (F.get(ordered, i)["token"] != F.get(ordered, i - 1)["token"])
+        )
+
+        def one(run: Column) -> Column:
+            return F.struct(
+                F.get(run, F.lit(0))["token"].alias("term"),
+                F.size(run).cast("long").alias("tf"),
+                *[F.transform(run, part).alias(name) for name, part in _PLACE_PARTS.items()],
+            )
+
+        return let(
+            starts,
+            lambda begin: F.transform(
+                begin, lambda i, n: let(F.slice(ordered, i + 1, F.coalesce(F.get(begin, n + 1), F.size(ordered)) - i), one)
+            ),
+        )
+
+    by_token = F.transform(places, lambda p: F.struct(p["token"].alias("token"), *[p[c].alias(c) for c in ("position", "start_offset", "end_offset")]))
+    return let(F.array_sort(by_token), lambda ordered: F.when(F.size(ordered) > 0, gathered(ordered)))
+
+
+_PLACE_PARTS: dict[str, Callable[[Column], Column]] = {
+    "positions": lambda p: p["position"],
+    "start_offsets": lambda p: p["start_offset"],
+    "end_offsets": lambda p: p["end_offset"],
+}
+
+
 def term_count(words: Column, term: str) -> Column:
     """How often `term` occurs in a token array."""
     return F.size(F.filter(words, lambda w: w == F.lit(term)))

@@ -1,8 +1,8 @@
 """Tokens and term vectors of whole tables.
 
-`id_cols` must identify a text. Texts are shuffled by them once, before they are
-exploded into tokens; offsets, term counts and positions are then worked out
-without moving anything again.
+`id_cols` must identify a text. Offsets, positions and counts are worked out inside
+a text's row, by running sums over the lengths of its pieces, so that no text and
+no token ever moves; only terms and their counts are shuffled.
 """
 
 from __future__ import annotations
@@ -10,10 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docquery.functions.text import STARTS_WITH_WORD, analyzer, runs, term_frequencies
+from docquery.functions.text import analyzer, term_frequencies, term_places, token_places
 from docquery.session import bounded_broadcast, join_statistics, materialize
 
 
@@ -22,20 +22,8 @@ def analyze(df: DataFrame, id_cols: str | Sequence[str], text_col: str, by: str
     if by != "standard":
         raise ValueError("offsets are defined for the standard analyzer")
     ids = _ids(id_cols)
-    texts = df.select(*ids, F.col(text_col).alias("_text")).repartition(*ids)
-    # Only ids and pieces leave the generator; the whole text must not be copied beside every token.
-    pieces = texts.select(*ids, F.posexplode_outer(runs("_text")).alias("_run", "_piece"))
-    before = Window.partitionBy(*ids).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(F.length("_piece")).over(before), F.lit(0))
-    placed = pieces.withColumn("start_offset", start).filter(F.col("_piece").rlike(STARTS_WITH_WORD))
-    return placed.select(
-        *ids,
-        # Word and other runs alternate, so the n-th word is run 2n or 2n + 1.
-        F.shiftright("_run", 1).alias("position"),
-        F.lower("_piece").alias("token"),
-        "start_offset",
-        (F.col("start_offset") + F.length("_piece")).alias("end_offset"),
-    )
+    # The outer form, since for the plain one Spark adds a filter that analyzes the text again.
+    return df.select(*ids, F.inline_outer(token_places(text_col))).filter("token IS NOT NULL")
 
 
 def termvectors(
@@ -49,21 +37,9 @@ def termvectors(
     documents that are not stored, pass a union of both and request the new ids.
     """
     ids = _ids(id_cols)
-    chosen = df if requests is None else df.join(requests.select(*ids).distinct(), ids, "left_semi")
-    place = F.struct("position", "start_offset", "end_offset")
-    vectors = (
-        analyze(chosen, ids, text_col)
-        .groupBy(*ids, F.col("token").alias("term"))
-        .agg(F.count(F.lit(1)).alias("tf"), F.sort_array(F.collect_list(place)).alias("_places"))
-        .select(
-            *ids,
-            "term",
-            "tf",
-            F.col("_places.position").alias("positions"),
-            F.col("_places.start_offset").alias("start_offsets"),
-            F.col("_places.end_offset").alias("end_offsets"),
-        )
-    )
+    chosen = df if requests is None else df.join(bounded_broadcast(requests.select(*ids).distinct()), ids, "left_semi")
+    # A text's terms are gathered inside its row.
+    vectors = chosen.select(*ids, F.inline_outer(term_places(token_places(text_col)))).filter("term IS NOT NULL")
     # Written once; for a whole table the statistics come from the vectors, not from analyzing all texts again.
     vectors = materialize(vectors, "vectors")
     if requests is None:
