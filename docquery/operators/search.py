@@ -28,6 +28,15 @@ from docquery.session import bounded_broadcast, materialize
 
 K1, B = 1.2, 0.75
 
+#: What tells a pair of a query and a document apart.
+PAIR = ("query_id", "_index", "_id")
+#: For a floor of the best scores, so many documents per hit asked for are scored, those that the query's rarest terms speak for.
+SEEDS = 5
+#: Partial scores leave out terms that give a document at most this part of the floor.
+LEFT_OUT = 0.2
+#: Scores are compared after rounding, so a floor lies a little below the score it comes from.
+MARGIN = 1e-5
+
 #: Up to so many hits are fetched by a filter on their ids; more are joined. The answer is the same.
 MAX_SIZE = 10_000
 
@@ -133,26 +142,87 @@ def msearch(
 
     `queries` has `query_id`, `text` and optionally `_index`, the one index the
     query is meant for (else `default_index`, else all). Texts never move: their
-    terms, as far as a query has them, are written as a narrow table. That is
-    shuffled once, by document; scoring and cutting to the best `size` of each
-    partition happen there, and only those few rows move again.
+    terms, as far as a query has them, are written as a narrow table, from which
+    `candidates` picks the few pairs of query and document that can be among the
+    best. Only those are scored in full. The answer is the same as if all were.
     """
     # One row per query and term.
     asked = materialize(_query_terms_table(queries, default_index, by), "query-terms")
     postings = materialize(_postings(docs, text_col, by, asked.select("term").distinct()), "postings")
-    weights = bounded_broadcast(materialize(_weights(postings, asked), "weights"))
-
-    target = F.col("_target").isNull() | (F.col("_target") == F.col("_index"))
-    by_document = postings.filter("term IS NOT NULL").repartition("_id")
-    matched = by_document.join(weights, "term").filter(target)
-    norm = K1 * (1 - B + B * F.col("_length") / F.col("avgdl"))
-    part = F.col("idf") * F.col("tf") / (F.col("tf") + norm)
-    scored = matched.groupBy("query_id", "_index", "_id").agg(F.round(F.sum(part), 6).alias("_score"))
+    weights = materialize(_weights(postings, asked), "weights")
+    entries = postings.filter("term IS NOT NULL")
+    found, left = candidates(entries, weights, size)
+    whole = found.select(*PAIR, F.col("partial").alias("part")).unionByName(_parts_of(found, entries, left))
+    scored = whole.groupBy(*PAIR).agg(F.round(F.sum("part"), 6).alias("_score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("_score"), "_id", "_index")
     ranked = scored.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= size)
     return ranked.select("query_id", "_rank", "_index", "_id", "_score")
 
 
+def candidates(entries: DataFrame, weights: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs `(query_id, _index, _id, partial)` that can be among the `size` best of their query, and the weights still to be added.
+
+    A term gives a document at most its greatest contribution to any. Some
+    documents that have a query's rarest terms are scored in full; the `size`-th
+    best of them is a floor that the answer does not fall below. Terms whose
+    bounds together stay below the floor cannot lift a document over it alone, so
+    a candidate has one of the other terms. Partial scores leave out the
+    terms with the least bounds, at most `LEFT_OUT` of the floor, and a document
+    goes on only if what is left out could still lift it to the floor.
+
+    A query with no floor keeps all its matches, scored in full.
+    """
+    bounds = entries.join(bounded_broadcast(weights.select("_target", "term", "avgdl").distinct()), "term").filter(_in_target())
+    bounds = bounds.groupBy(F.col("_target").alias("_of"), "term").agg(F.max(_share()).alias("most"))
+    own = F.col("_target").eqNullSafe(F.col("_of")) & (F.col("w.term") == F.col("b.term"))
+    bounded = weights.alias("w").join(bounds.alias("b"), own).select("w.*", (F.col("idf") * F.col("most")).alias("bound"))
+    rarest = Window.partitionBy("query_id").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
+    rarer = F.coalesce(F.sum("df").over(rarest), F.lit(0))
+    bounded = materialize(bounded.withColumn("_rare", rarer < SEEDS * size), "bounds")
+
+    seeds = _contributions(entries, bounded.filter("_rare")).groupBy(*PAIR).agg(F.sum("part").alias("part"))
+    first = Window.partitionBy("query_id").orderBy(F.desc("part"), "_id", "_index")
+    seeds = materialize(seeds.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= SEEDS * size).select(*PAIR), "seeds")
+    scored = _parts_of(seeds, entries, bounded).groupBy(*PAIR).agg(F.sum("part").alias("score"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"))
+    floors = scored.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") == size).select("query_id", (F.col("score") - MARGIN).alias("floor"))
+
+    least = Window.partitionBy("query_id").orderBy("bound", "term")
+    ranked = bounded.join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0)))
+    ranked = ranked.withColumn("_sum", F.sum("bound").over(least.rowsBetween(Window.unboundedPreceding, 0)))
+    ranked = ranked.withColumn("_needed", F.col("_sum") >= F.col("floor")).withColumn("_counted", F.col("_sum") > LEFT_OUT * F.col("floor"))
+    left_sum = F.coalesce(F.max(F.when(~F.col("_counted"), F.col("_sum"))).over(Window.partitionBy("query_id")), F.lit(0.0))
+    ranked = materialize(ranked.withColumn("_left", left_sum), "ranked")
+    met = _contributions(entries, ranked.filter("_counted"), "_needed", "floor", "_left")
+    pairs = met.groupBy(*PAIR).agg(F.sum("part").alias("partial"), F.max("_needed").alias("_needed"), F.max("floor").alias("floor"), F.max("_left").alias("_left"))
+    alive = pairs.filter(F.col("_needed") & (F.col("partial") + F.col("_left") >= F.col("floor")))
+    return materialize(alive.select(*PAIR, "partial"), "candidates"), ranked.filter("NOT _counted")
+
+
+def _in_target() -> Column:
+    return F.col("_target").isNull() | (F.col("_target") == F.col("_index"))
+
+
+def _share() -> Column:
+    """A term's contribution to a document's score, without the term's weight."""
+    return F.col("tf") / (F.col("tf") + K1 * (1 - B + B * F.col("_length") / F.col("avgdl")))
+
+
+def _contributions(entries: DataFrame, weights: DataFrame, *more: str) -> DataFrame:
+    """`(query_id, _index, _id, part)` for every entry of a term that has a weight in a query."""
+    matched = entries.join(bounded_broadcast(weights), "term").filter(_in_target())
+    return matched.select(*PAIR, (F.col("idf") * _share()).alias("part"), *more)
+
+
+def _parts_of(pairs: DataFrame, entries: DataFrame, weights: DataFrame) -> DataFrame:
+    """`(query_id, _index, _id, part)` for given pairs and every term that has a weight. Documents meet by id, terms of a query by both."""
+    p, e = pairs.select(*PAIR).alias("p"), entries.alias("e")
+    same = F.col("p._index").eqNullSafe(F.col("e._index")) & (F.col("p._id") == F.col("e._id"))
+    met = e.join(p, same).select("p.*", "e._length", "e.term", "e.tf")
+    weighed = met.join(bounded_broadcast(weights.select("query_id", "_target", "term", "idf", "avgdl")), ["query_id", "term"]).filter(_in_target())
+    return weighed.select(*PAIR, (F.col("idf") * _share()).alias("part"))
+
+
 def terms_enum(df: DataFrame, terms: Column, prefix: str, size: int = 10, ignore_case: bool = False) -> DataFrame:
     """The first `size` distinct terms of a field that start with a string.
 
@@ -273,7 +343,7 @@ def _weights(postings: DataFrame, asked: DataFrame) -> DataFrame:
     )
     idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     return weighted.select(
-        "query_id", "_target", "term", idf.alias("idf"), (F.col("length") / F.col("n")).alias("avgdl")
+        "query_id", "_target", "term", "df", idf.alias("idf"), (F.col("length") / F.col("n")).alias("avgdl")
     )
 
 
