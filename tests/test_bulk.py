@@ -138,10 +138,10 @@ def read_sequentially(lines: list[str], default=None):
 
 ROLES = ['{"index":{}}', '{"delete":{"x":1}}', '{"delete":{}}', '{"delete":{}}', '{"update":{}}', '{"doc":{}}', '{"create":{}}', '{"p":1}']
 MIXED = [
-    '{"index":{"_id":"1"}}', '{"published_at":"2026-08-11"}', '{"delete":{"_id":"2"}}', '{"update":{"_id":"3"}}',
-    '{"doc":{"published_at":"2026-08-11"}}', "", '{"index":{"_id":"1","_index":"comments"}}', '{"ip":"127.0.0.1"}',
-    '{"_id":"9","_index":"own"}', '{"delete":{"index":"no header"}}', '{"delete":"text"}', '{"delete":{"_id":"7"}}',
-    '{"index":{"_id":5}}', '{"delete":null}',
+    '{"create":{"_id":"oak"}}', '{"height":31.5,"felled":null}', '{"update":{"_id":"elm"}}', '{"doc":{"height":12}}',
+    '{"delete":{"_id":"ash"}}', "", '{"index":{"_id":"fir","_index":"nursery"}}', '{"rows":[1,2]}',
+    '{"update":{"_index":"nursery","_id":"yew"}}', '{"doc":{"delete":{"_id":"not a header"}}}', '{"delete":{"_id":77}}',
+    '{"index":{"_id":12}}', '{"delete":null}', '{"create":{}}', '{"_id":"inside","_index":"own"}',
 ]
 
 

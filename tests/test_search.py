@@ -1,6 +1,7 @@
 """Search, term vectors, paging, evaluation and layout against brute force."""
 
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -8,6 +9,7 @@ import regex
 from pyspark.sql import functions as F
 
 from docquery import session
+from docquery.functions.sums import running_sums
 from docquery.functions.text import query_terms, term_frequencies, tokens
 from docquery.model import source
 from docquery.operators import documents, evaluate, paging, profile, search, templates, text_analysis, tiles
@@ -278,3 +280,60 @@ def test_stats(docs):
     assert usage == {"n": (2, 8), "s": (2, 3)}
     with pytest.raises(ValueError):
         profile.stats(df, ["heat"])
+
+
+def test_analysis_moves_no_text(spark, sf):
+    """Offsets come from running sums inside a row: the plan has no exchange."""
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    plan = text_analysis.analyze(table, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_running_sums_equal_brute_force(spark):
+    lists = [[], [5], [1, 2, 3], list(range(1000)), [0] * 7]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lists)], "i int, v array<int>")
+    for r in df.select("v", running_sums(F.col("v")).alias("s")).collect():
+        assert r.s == [sum(r.v[: n + 1]) for n in range(len(r.v))]
+
+
+def test_few_pairs_are_scored(spark, monkeypatch):
+    """Exact pruning scores under a tenth of all pairs of query and document; the answer is compared with SQL elsewhere."""
+    found = []
+    pick = search.candidates
+
+    def counted(*args):
+        pairs, left = pick(*args)
+        found.append(pairs.count())
+        return pairs, left
+
+    monkeypatch.setattr(search, "candidates", counted)
+    sf = "/root/testdata/sf0.1"
+    search_plans.msearch_benchmark(spark, sf).count()
+    every = spark.read.parquet(f"{sf}/documents.parquet").count() * spark.read.parquet(f"{sf}/benchmark.parquet").count()
+    assert 0 < found[0] < every / 10
+
+
+def test_pruning_changes_no_hit(spark):
+    """Random texts over a small vocabulary, with ties, few hits and queries of common words only, against brute force."""
+    rng = random.Random(3)
+    words = [f"w{n}" for n in range(60)]
+    texts = {n: " ".join(rng.choices(words, [1 / (k + 1) for k in range(60)], k=rng.randrange(1, 40))) for n in range(400)}
+    asked = {n: " ".join(rng.choices(words, k=rng.randrange(1, 12))) for n in range(25)} | {90: "w0 w1", 91: "w59", 92: "none"}
+    table = spark.createDataFrame([("t", i, (t,)) for i, t in texts.items()], "_index string, _id int, _source struct<text string>")
+    queries = spark.createDataFrame(list(asked.items()), "query_id int, text string")
+    got: dict[int, list] = {}
+    for r in search.msearch(table, "_source.text", queries, size=7).orderBy("query_id", "_rank").collect():
+        got.setdefault(r.query_id, []).append((r["_id"], r["_score"]))
+    length = {i: len(t.split()) for i, t in texts.items()}
+    mean = sum(length.values()) / len(length)
+    counts = {i: Counter(t.split()) for i, t in texts.items()}
+    df = Counter(w for c in counts.values() for w in c)
+    for q, text in asked.items():
+        scores = {}
+        for i, own in counts.items():
+            parts = [math.log(1 + (len(texts) - df[w] + 0.5) / (df[w] + 0.5)) * own[w] / (own[w] + 1.2 * (0.25 + 0.75 * length[i] / mean)) for w in set(text.split()) if own[w]]
+            if parts:
+                scores[i] = round(sum(parts), 6)
+        best = sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:7]
+        assert [i for i, _ in got.get(q, [])] == [i for i, _ in best], q
+        assert [s for _, s in got.get(q, [])] == pytest.approx([s for _, s in best])
