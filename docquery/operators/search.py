@@ -66,11 +66,11 @@ def search(
     if size > MAX_SIZE:
         chosen = top.select(F.col("_id").alias("_hit"), F.col("_index").alias("_hit_index"), *without(top, "_id", "_index"))
         match = (F.col("_id") == F.col("_hit")) & F.col("_index").eqNullSafe(F.col("_hit_index"))
-        return _with_index(df).join(chosen, match).orderBy(*order).limit(size).select("_index", "_id", "_score", "_source")
+        return with_index(df).join(chosen, match).orderBy(*order).limit(size).select("_index", "_id", "_score", "_source")
     # At most `size` rows: the answer itself.
     hits = df.sparkSession.createDataFrame(top.collect(), top.schema)
     winners = hits.select(F.col("_id").alias("_hit"), F.col("_index").alias("_hit_index"), *without(hits, "_id", "_index"))
-    found = _with_index(df).filter(F.col("_id").isin([row["_hit"] for row in winners.select("_hit").collect()]))
+    found = with_index(df).filter(F.col("_id").isin([row["_hit"] for row in winners.select("_hit").collect()]))
     same = (F.col("_id") == F.col("_hit")) & F.col("_index").eqNullSafe(F.col("_hit_index"))
     joined = found.join(F.broadcast(winners), same)
     return joined.orderBy(*order).limit(size).select("_index", "_id", "_score", "_source")
@@ -146,11 +146,18 @@ def msearch(
     `candidates` picks the few pairs of query and document that can be among the
     best. Only those are scored in full. The answer is the same as if all were.
     """
-    # One row per query and term.
-    asked = materialize(_query_terms_table(queries, default_index, by), "query-terms")
+    asked = materialize(query_terms_table(queries, default_index, by), "query-terms")
     postings = materialize(_postings(docs, text_col, by, asked.select("term").distinct()), "postings")
-    weights = materialize(_weights(postings, asked), "weights")
-    entries = postings.filter("term IS NOT NULL")
+    totals = postings.filter("term IS NULL").groupBy("_index").agg(*totals_of(F.col("_length")))
+    return best_hits(postings.filter("term IS NOT NULL"), totals, asked, size)
+
+
+def best_hits(entries: DataFrame, totals: DataFrame, asked: DataFrame, size: int) -> DataFrame:
+    """The top `size` hits of each query from written entries `(_index, _id, _length, term, tf)` of the queries' terms.
+
+    `totals` has `n` and `length` of each index, `asked` comes from `query_terms_table`.
+    """
+    weights = materialize(term_weights(entries, totals, asked), "weights")
     found, left = candidates(entries, weights, size)
     whole = found.select(*PAIR, F.col("partial").alias("part")).unionByName(_parts_of(found, entries, left))
     scored = whole.groupBy(*PAIR).agg(F.round(F.sum("part"), 6).alias("_score"))
@@ -180,7 +187,7 @@ def candidates(entries: DataFrame, weights: DataFrame, size: int) -> tuple[DataF
     rarer = F.coalesce(F.sum("df").over(rarest), F.lit(0))
     bounded = materialize(bounded.withColumn("_rare", rarer < SEEDS * size), "bounds")
 
-    seeds = _contributions(entries, bounded.filter("_rare")).groupBy(*PAIR).agg(F.sum("part").alias("part"))
+    seeds = contributions(entries, bounded.filter("_rare")).groupBy(*PAIR).agg(F.sum("part").alias("part"))
     first = Window.partitionBy("query_id").orderBy(F.desc("part"), "_id", "_index")
     seeds = materialize(seeds.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= SEEDS * size).select(*PAIR), "seeds")
     scored = _parts_of(seeds, entries, bounded).groupBy(*PAIR).agg(F.sum("part").alias("score"))
@@ -193,7 +200,7 @@ def candidates(entries: DataFrame, weights: DataFrame, size: int) -> tuple[DataF
     ranked = ranked.withColumn("_needed", F.col("_sum") >= F.col("floor")).withColumn("_counted", F.col("_sum") > LEFT_OUT * F.col("floor"))
     left_sum = F.coalesce(F.max(F.when(~F.col("_counted"), F.col("_sum"))).over(Window.partitionBy("query_id")), F.lit(0.0))
     ranked = materialize(ranked.withColumn("_left", left_sum), "ranked")
-    met = _contributions(entries, ranked.filter("_counted"), "_needed", "floor", "_left")
+    met = contributions(entries, ranked.filter("_counted"), "_needed", "floor", "_left")
     pairs = met.groupBy(*PAIR).agg(F.sum("part").alias("partial"), F.max("_needed").alias("_needed"), F.max("floor").alias("floor"), F.max("_left").alias("_left"))
     alive = pairs.filter(F.col("_needed") & (F.col("partial") + F.col("_left") >= F.col("floor")))
     return materialize(alive.select(*PAIR, "partial"), "candidates"), ranked.filter("NOT _counted")
@@ -208,7 +215,7 @@ def _share() -> Column:
     return F.col("tf") / (F.col("tf") + K1 * (1 - B + B * F.col("_length") / F.col("avgdl")))
 
 
-def _contributions(entries: DataFrame, weights: DataFrame, *more: str) -> DataFrame:
+def contributions(entries: DataFrame, weights: DataFrame, *more: str) -> DataFrame:
     """`(query_id, _index, _id, part)` for every entry of a term that has a weight in a query."""
     matched = entries.join(bounded_broadcast(weights), "term").filter(_in_target())
     return matched.select(*PAIR, (F.col("idf") * _share()).alias("part"), *more)
@@ -256,13 +263,13 @@ def _scored(
     return matching.withColumn("_score", F.round(_score(stats), 6)).drop("_wanted", "_length", "_tf")
 
 
-def _with_index(df: DataFrame) -> DataFrame:
+def with_index(df: DataFrame) -> DataFrame:
     return df if "_index" in df.columns else df.withColumn("_index", F.lit(None).cast("string"))
 
 
 def _counts(df: DataFrame, words: Column, terms: Sequence[str], extra: Sequence[Column]) -> DataFrame:
     """`(_index, _id, _length, _tf)`: a document's number of tokens and how often each query term occurs."""
-    analyzed = _with_index(df).select("_index", "_id", *extra, words.alias("_all"))
+    analyzed = with_index(df).select("_index", "_id", *extra, words.alias("_all"))
     others = [c for c in analyzed.columns if c != "_all"]
     kept = analyzed.select(
         *others, F.size("_all").alias("_length"), F.filter("_all", lambda w: w.isin(list(terms))).alias("_kept")
@@ -295,7 +302,8 @@ def _score(stats: dict) -> Column:
     return score
 
 
-def _query_terms_table(queries: DataFrame, default_index: str | None, by: str | Analyzer) -> DataFrame:
+def query_terms_table(queries: DataFrame, default_index: str | None, by: str | Analyzer) -> DataFrame:
+    """`(query_id, _target, term)`: one row per query and term."""
     index = F.col("_index") if "_index" in queries.columns else F.lit(None).cast("string")
     target = F.coalesce(index, F.lit(default_index).cast("string")).alias("_target")
     words = F.array_distinct(analyzer(by)(F.col("text")))
@@ -309,7 +317,7 @@ def _postings(docs: DataFrame, text_col: str, by: str | Analyzer, vocabulary: Da
     document itself in the totals.
     """
     known = bounded_broadcast(vocabulary.select(F.col("term").alias("_key"), F.lit(True).alias("_known")))
-    counted = _with_index(docs).select("_index", "_id", analyzer(by)(F.col(text_col)).alias("_words")).select(
+    counted = with_index(docs).select("_index", "_id", analyzer(by)(F.col(text_col)).alias("_words")).select(
         "_index", "_id", F.size("_words").alias("_length"), term_frequencies(F.col("_words")).alias("_terms")
     )
     # The outer form keeps documents without a token, and Spark adds no filter that analyzes the text again.
@@ -324,14 +332,14 @@ def _postings(docs: DataFrame, text_col: str, by: str | Analyzer, vocabulary: Da
     return joined.filter("_known OR term IS NULL").drop("_key", "_known")
 
 
-def _weights(postings: DataFrame, asked: DataFrame) -> DataFrame:
-    """`(query_id, _target, term, idf, avgdl)`, the statistics being those of the query's own target."""
-    frequency = postings.filter("term IS NOT NULL").groupBy("_index", "term").agg(F.count(F.lit(1)).alias("df"))
-    totals = (
-        postings.filter("term IS NULL AND _length > 0")
-        .groupBy("_index")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("_length").alias("length"))
-    )
+def totals_of(length: Column) -> list[Column]:
+    """The number of documents with a token, `n`, and of their tokens, `length`."""
+    return [F.count_if(length > 0).alias("n"), F.coalesce(F.sum(F.greatest(length, F.lit(0))), F.lit(0)).alias("length")]
+
+
+def term_weights(entries: DataFrame, totals: DataFrame, asked: DataFrame) -> DataFrame:
+    """`(query_id, _target, term, df, idf, avgdl)`, the statistics being those of the query's own target."""
+    frequency = entries.groupBy("_index", "term").agg(F.count(F.lit(1)).alias("df"))
     # Per index, and over all of them for queries without a target.
     frequency = _and_all(frequency, ["term"], ["df"])
     totals = _and_all(totals, [], ["n", "length"])
@@ -341,12 +349,15 @@ def _weights(postings: DataFrame, asked: DataFrame) -> DataFrame:
         .drop("_of", "_term")
         .join(totals, by_target)
     )
-    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     return weighted.select(
-        "query_id", "_target", "term", "df", idf.alias("idf"), (F.col("length") / F.col("n")).alias("avgdl")
+        "query_id", "_target", "term", "df", idf(F.col("n"), F.col("df")).alias("idf"), F.try_divide("length", "n").alias("avgdl")
     )
 
 
+def idf(n: Column, df: Column) -> Column:
+    return F.log(1 + (n - df + 0.5) / (df + 0.5))
+
+
 def _and_all(df: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
     """Sums per `_index`, renamed `_of`, and over all indices under `_of` NULL."""
     columns = [F.col(k) for k in keys]

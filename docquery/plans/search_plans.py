@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 from docquery.functions.predicates import ids, index_filter, match, match_all, source_filter, term
 from docquery.functions.text import tokens
 from docquery.model import source
-from docquery.operators import evaluate, paging, search, templates, text_analysis, tiles
+from docquery.operators import bulk, evaluate, paging, postings, search, templates, text_analysis, tiles
 from docquery.operators.profile import field_caps
 from docquery.plans.inputs import IDS, docs, flat, text_docs, texts
+from docquery.session import materialize, new_folder
 
 QUERY = "that river and the onesen"
 EXPLAIN = "the and que onesen"
+#: Above all ids of documents.
+COPIES = 1_000_000_000_000
 
 TOKENS_SQL = r"""
 toks AS (SELECT doc_id, lower(w) AS term
@@ -88,6 +91,53 @@ def explain_two_indices(spark, sf):
     return search.explain(_documents_twice(spark, sf), "text", EXPLAIN, asked)
 
 
+def _kept(spark, table):
+    return postings.build_postings(table, "_source.text", new_folder(spark, "postings"), buckets=16)
+
+
+def postings_msearch(spark, sf):
+    """The benchmark's searches from a kept index."""
+    queries = flat(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    hits = postings.msearch(_kept(spark, text_docs(spark, sf, "documents")), queries)
+    return hits.select("query_id", "_rank", "_id", "_score")
+
+
+def postings_explain(spark, sf):
+    asked = flat(spark, sf, "labels").select(F.col("doc_id").alias("_id"))
+    return postings.explain(_kept(spark, text_docs(spark, sf, "documents")), EXPLAIN, asked).drop("_index")
+
+
+def _refreshed(spark, sf):
+    """An index of the documents, refreshed from a log that deletes a tenth of them, adds words to a tenth and copies a tenth."""
+    table = text_docs(spark, sf, "documents").select("_index", "_id", F.struct(source("text").alias("text")).alias("_source"))
+    kind, text = F.col("_id") % 10, source("text")
+    log = table.filter(kind < 3).select(
+        F.col("_id").alias("seq"),
+        F.when(kind == 0, "delete").when(kind == 1, "update").otherwise("index").alias("action"),
+        "_index",
+        F.when(kind == 2, F.col("_id") + COPIES).otherwise(F.col("_id")).alias("_id"),
+        F.struct(F.when(kind == 1, F.concat(text, F.lit(" onesen river"))).otherwise(text).alias("text")).alias("doc"),
+    )
+    index = _kept(spark, table)
+    changed, items = bulk.apply_bulk(table, materialize(log, "log"))
+    return postings.refresh_postings(index, changed, items, "_source.text", "log")
+
+
+def postings_refreshed(spark, sf):
+    """Every match of a query, from an index that was refreshed."""
+    return postings.scores(_refreshed(spark, sf), QUERY)
+
+
+def postings_compacted(spark, sf):
+    """The best hits from a refreshed index that was written as one generation."""
+    index = postings.compact_postings(_refreshed(spark, sf), new_folder(spark, "postings"))
+    return postings.search(index, QUERY, size=50)
+
+
+def postings_terms(spark, sf):
+    return postings.terms_enum(_kept(spark, text_docs(spark, sf, "documents")), "on", 20)
+
+
 def count_term(spark, sf):
     return search.count(docs(spark, sf, "events"), term(source("event_type"), "purchase"))
 
@@ -264,7 +314,8 @@ QUERIES = {
         search_bm25, search_sorted, msearch_template_default, search_filtered, search_scores, msearch_benchmark, msearch_two_indices, explain_terms, explain_two_indices, count_term, count_match,
         terms_enum_prefix, terms_enum_part, query_ids, query_index_filter, query_source_filter, scroll_page, scroll_all_pages, number_pages,
         rank_eval_precision, rank_eval_mean, rank_eval_two_indices, rank_eval_ndcg, tile_grid, search_template, msearch_template, analyze_tokens,
-        analyze_conversations, termvectors, mtermvectors,
+        analyze_conversations, termvectors, mtermvectors, postings_msearch, postings_explain, postings_refreshed, postings_compacted,
+        postings_terms,
     )
 }
 QUERIES["field_caps"] = field_caps_all
@@ -289,6 +340,11 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 results AS (SELECT query_id, rk, doc_id, score FROM ranked WHERE rk <= 10)
 """
 
+_CHANGED = f"""changed AS (
+  SELECT doc_id, CASE WHEN doc_id % 10 = 1 THEN text || ' onesen river' ELSE text END AS text FROM documents WHERE doc_id % 10 <> 0
+  UNION ALL SELECT doc_id + {COPIES}, text FROM documents WHERE doc_id % 10 = 2),
+""" + TOKENS_SQL.replace("FROM documents", "FROM changed")
+
 _RUNS = r"""
 runs AS (SELECT {ids}, generate_subscripts(r, 1) AS n, unnest(r) AS piece
          FROM (SELECT {ids}, regexp_extract_all(text, '([\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_]+)') AS r FROM {table})),
@@ -455,3 +511,11 @@ SQL = {
         SELECT o_orderkey, price, CAST((row_number() OVER (ORDER BY price DESC NULLS LAST, o_orderkey) - 1)
                                        // (SELECT CAST(ceil(count(*) / 5) AS BIGINT) FROM orders) + 1 AS INTEGER) AS page FROM keyed""",
 }
+SQL |= {
+    "postings_msearch": SQL["msearch_benchmark"],
+    "postings_explain": SQL["explain_terms"],
+    "postings_terms": SQL["terms_enum_prefix"],
+    "postings_refreshed": f"WITH {_CHANGED}, {_HITS} SELECT 'documents' AS _index, doc_id AS _id, score AS _score FROM hits",
+    "postings_compacted": f"""WITH {_CHANGED}, {_HITS}
+        SELECT 'documents' AS _index, doc_id AS _id, score AS _score FROM hits ORDER BY score DESC, doc_id LIMIT 50""",
+}
