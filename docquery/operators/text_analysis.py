@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docquery.functions.text import analyzer, term_frequencies, term_places, token_places
@@ -67,6 +67,32 @@ def termvectors(
     )
 
 
+def top_terms(
+    vectors: DataFrame,
+    id_cols: str | Sequence[str],
+    size: int = 25,
+    tf: tuple[int, int | None] = (1, None),
+    doc_freq: tuple[int, int | None] = (1, None),
+    length: tuple[int, int | None] = (1, None),
+) -> DataFrame:
+    """The `size` most telling terms of each text, of the rows of `termvectors`, with `score`: tf times idf.
+
+    `tf`, `doc_freq` and `length` (of the term, in characters) are least and greatest
+    values, None for no greatest. idf is that of BM25, scores are rounded to six
+    places, ties go to the lower term. Each task keeps at most `size` rows of a text before any moves.
+    """
+    ids = _ids(id_cols)
+    kept = vectors
+    for column, (least, most) in ((F.col("tf"), tf), (F.col("doc_freq"), doc_freq), (F.length("term"), length)):
+        kept = kept.filter(column >= least)
+        if most is not None:
+            kept = kept.filter(column <= most)
+    idf = F.log(1 + (F.col("doc_count") - F.col("doc_freq") + 0.5) / (F.col("doc_freq") + 0.5))
+    scored = kept.withColumn("score", F.round(F.col("tf") * idf, 6))
+    best = Window.partitionBy(*ids).orderBy(F.desc("score"), "term")
+    return scored.withColumn("_best", F.row_number().over(best)).filter(F.col("_best") <= size).drop("_best")
+
+
 def mtermvectors(
     tables: dict[str, DataFrame], id_cols: str | Sequence[str], text_col: str, requests: DataFrame, default_index: str | None = None
 ) -> DataFrame:

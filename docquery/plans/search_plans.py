@@ -308,6 +308,13 @@ def mtermvectors(spark, sf):
     return _joined(found).select("_index", "doc_id", "found", "term", "tf", "positions", "end_offsets", "doc_freq", "total_tf", "doc_count")
 
 
+def termvectors_top_terms(spark, sf):
+    """The five most telling terms of every document, of three to twelve letters, at most fifty times there, and in two documents at least."""
+    vectors = text_analysis.termvectors(texts(spark, sf, "documents"), "doc_id", "text")
+    best = text_analysis.top_terms(vectors, "doc_id", 5, tf=(1, 50), doc_freq=(2, None), length=(3, 12))
+    return best.select("doc_id", "term", "tf", "doc_freq", "score")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -315,7 +322,7 @@ QUERIES = {
         terms_enum_prefix, terms_enum_part, query_ids, query_index_filter, query_source_filter, scroll_page, scroll_all_pages, number_pages,
         rank_eval_precision, rank_eval_mean, rank_eval_two_indices, rank_eval_ndcg, tile_grid, search_template, msearch_template, analyze_tokens,
         analyze_conversations, termvectors, mtermvectors, postings_msearch, postings_explain, postings_refreshed, postings_compacted,
-        postings_terms,
+        postings_terms, termvectors_top_terms,
     )
 }
 QUERIES["field_caps"] = field_caps_all
@@ -512,6 +519,11 @@ SQL = {
                                        // (SELECT CAST(ceil(count(*) / 5) AS BIGINT) FROM orders) + 1 AS INTEGER) AS page FROM keyed""",
 }
 SQL |= {
+    "termvectors_top_terms": f"""WITH {_VECTORS}
+        SELECT doc_id, term, tf, doc_freq, round(tf * ln(1 + (doc_count - doc_freq + 0.5) / (doc_freq + 0.5)), 6) AS score
+        FROM vec JOIN stats USING (term) CROSS JOIN field
+        WHERE tf <= 50 AND doc_freq >= 2 AND length(term) BETWEEN 3 AND 12
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term) <= 5""",
     "postings_msearch": SQL["msearch_benchmark"],
     "postings_explain": SQL["explain_terms"],
     "postings_terms": SQL["terms_enum_prefix"],

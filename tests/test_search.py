@@ -337,3 +337,21 @@ def test_pruning_changes_no_hit(spark):
         best = sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:7]
         assert [i for i, _ in got.get(q, [])] == [i for i, _ in best], q
         assert [s for _, s in got.get(q, [])] == pytest.approx([s for _, s in best])
+
+
+def test_top_terms(spark):
+    texts = {1: "b b a cc", 2: "a a", 3: "", 4: None, 5: "cc dd ee dd"}
+    df = spark.createDataFrame(list(texts.items()), "id int, t string")
+    vectors = text_analysis.termvectors(df, "id", "t")
+    counts = {k: Counter(words(t or "")) for k, t in texts.items()}
+    docs = [c for c in counts.values() if c]
+    idf = {w: math.log(1 + (len(docs) - n + 0.5) / (n + 0.5)) for w in "a b cc dd ee".split() for n in [sum(w in c for c in docs)]}
+    for size in (1, 2, 9):
+        expected = {
+            (k, w) for k, c in counts.items() for w in sorted(c, key=lambda w: (-round(c[w] * idf[w], 6), w))[:size]
+        }
+        best = text_analysis.top_terms(vectors, "id", size)
+        assert {(r.id, r.term) for r in best.collect()} == expected
+    assert "WindowGroupLimit" in best._jdf.queryExecution().executedPlan().toString()
+    narrow = text_analysis.top_terms(vectors, "id", 9, tf=(1, 1), doc_freq=(2, 2), length=(1, 1))
+    assert [(r.id, r.term) for r in narrow.collect()] == [(1, "a")]
