@@ -7,7 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docquery.session import bounded_broadcast
+from docquery.operators.range_join import range_join
+
+#: Largest table of parameters, in bytes of its rows as JSON, that is sent to all executors.
+PARAMETER_BYTES = 64 << 20
 
 
 def search_template(
@@ -23,24 +26,36 @@ def search_template(
 def msearch_template(
     df: DataFrame,
     params: DataFrame,
-    equal: Mapping[str, str],
+    equal: Mapping[str, str] | None = None,
     where: Column | None = None,
     size: int | None = 10,
     sort: Sequence[Column] = (),
+    between: Mapping[str, tuple[str | None, str | None]] | None = None,
 ) -> DataFrame:
     """One template, many parameter rows: hits keyed by `query_id`.
 
     `equal` names the columns of `df` that must equal a parameter; they are the
-    join key. `where` is the rest of the template over the columns of both
-    sides. `size=None` keeps all hits, otherwise the first `size` of each query
+    join key. `between` names columns that must lie between two parameters, both
+    included; a bound of None is open. Without an equality the first of these is the
+    join key, by ranges of equal share. `where` is the rest of the
+    template over the columns of both sides. `size=None` keeps all hits, otherwise the first `size` of each query
     by `sort`, or else by `_id`, cut inside every partition before anything moves.
     """
-    if not equal:
-        raise ValueError("a template needs at least one equality")
+    if not equal and not between:
+        raise ValueError("a template needs an equality or a range")
     condition = F.lit(True) if where is None else where
-    for column, parameter in equal.items():
-        condition = condition & (F.col(column) == F.col(parameter))
-    hits = df.join(bounded_broadcast(params, 100_000), condition)
+    for column, (low, high) in (between or {}).items():
+        if low is not None:
+            condition = condition & (F.col(column) >= F.col(low))
+        if high is not None:
+            condition = condition & (F.col(column) <= F.col(high))
+    if equal:
+        for column, parameter in equal.items():
+            condition = condition & (F.col(column) == F.col(parameter))
+        hits = df.join(F.broadcast(params) if _small(params) else params, condition)
+    else:
+        column, (low, high) = next(iter(between.items()))
+        hits = range_join(df, params, column, low, high, small=_small).filter(condition)
     if size is None:
         return hits
     if not sort and "_id" not in df.columns:
@@ -48,3 +63,10 @@ def msearch_template(
     sort = list(sort) or [F.col("_id")]
     best = Window.partitionBy("query_id").orderBy(*sort)
     return hits.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= size)
+
+
+def _small(params: DataFrame, max_rows: int = 100_000) -> bool:
+    """Whether a table of parameters has few enough rows and bytes to be sent to all executors."""
+    row = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in params.columns])))
+    found = params.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()
+    return found["n"] <= max_rows and found["bytes"] <= PARAMETER_BYTES

@@ -266,6 +266,27 @@ def msearch_template_default(spark, sf):
     return templates.msearch_template(orders, params, {"who": "query_id"}).select("query_id", "_rank", "_id")
 
 
+def msearch_template_ranges(spark, sf):
+    """One parameter row per supplier, no equality: the dearest orders of a price near ten times the supplier's balance."""
+    low = F.col("s_acctbal") * 10
+    params = flat(spark, sf, "supplier").select(F.col("s_suppkey").alias("query_id"), low.alias("low"), (low + 1000).alias("high"))
+    orders = flat(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    hits = templates.msearch_template(
+        orders, params, size=5, sort=[F.desc("o_totalprice"), F.col("o_orderkey")], between={"o_totalprice": ("low", "high")}
+    )
+    return hits.select("query_id", "_rank", "o_orderkey", "o_totalprice")
+
+
+def msearch_template_open(spark, sf):
+    """Ranges with one bound: all orders up to the budget of each nation, if the order is not the nation's number."""
+    params = flat(spark, sf, "nation").select(F.col("n_nationkey").alias("query_id"), (F.col("n_nationkey") * 200.0 + 5000).alias("budget"))
+    orders = flat(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    hits = templates.msearch_template(
+        orders, params, where=F.col("o_orderkey") != F.col("query_id"), size=None, between={"o_totalprice": (None, "budget")}
+    )
+    return hits.select("query_id", "o_orderkey")
+
+
 def field_caps_all(spark, sf):
     """All tables, and two more in which `amount` is a number here and text there."""
     tables = {n: docs(spark, sf, n) for n in IDS}
@@ -320,7 +341,7 @@ QUERIES = {
     for f in (
         search_bm25, search_sorted, msearch_template_default, search_filtered, search_scores, msearch_benchmark, msearch_two_indices, explain_terms, explain_two_indices, count_term, count_match,
         terms_enum_prefix, terms_enum_part, query_ids, query_index_filter, query_source_filter, scroll_page, scroll_all_pages, number_pages,
-        rank_eval_precision, rank_eval_mean, rank_eval_two_indices, rank_eval_ndcg, tile_grid, search_template, msearch_template, analyze_tokens,
+        rank_eval_precision, rank_eval_mean, rank_eval_two_indices, rank_eval_ndcg, tile_grid, search_template, msearch_template, msearch_template_ranges, msearch_template_open, analyze_tokens,
         analyze_conversations, termvectors, mtermvectors, postings_msearch, postings_explain, postings_refreshed, postings_compacted,
         postings_terms, termvectors_top_terms,
     )
@@ -489,6 +510,12 @@ SQL = {
         SELECT c_custkey AS query_id, o_orderkey, o_totalprice,
                row_number() OVER (PARTITION BY c_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rk
         FROM customer JOIN orders ON o_custkey = c_custkey AND o_totalprice > c_acctbal * 20) WHERE rk <= 3""",
+    "msearch_template_ranges": """SELECT query_id, CAST(rk AS INTEGER) AS _rank, o_orderkey, o_totalprice FROM (
+        SELECT s_suppkey AS query_id, o_orderkey, o_totalprice,
+               row_number() OVER (PARTITION BY s_suppkey ORDER BY o_totalprice DESC, o_orderkey) AS rk
+        FROM supplier JOIN orders ON o_totalprice >= s_acctbal * 10 AND o_totalprice <= s_acctbal * 10 + 1000) WHERE rk <= 5""",
+    "msearch_template_open": """SELECT n_nationkey AS query_id, o_orderkey FROM nation JOIN orders
+        ON o_totalprice <= n_nationkey * 200.0 + 5000 AND o_orderkey <> n_nationkey""",
     "field_caps": " UNION ALL ".join(
         f"""SELECT '{t}' AS _index, column_name AS field,
             CASE column_type WHEN 'BIGINT' THEN 'long' WHEN 'INTEGER' THEN 'integer' WHEN 'DOUBLE' THEN 'double' WHEN 'FLOAT[]' THEN 'float'

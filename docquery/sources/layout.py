@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquery.functions.shards import shard_of
 from docquery.operators.bulk import apply_bulk
 from docquery.operators.paging import with_position
-from docquery.session import bounded_broadcast, materialize
+from docquery.session import bounded_broadcast
 
 
 def write_routed(df: DataFrame, term: Column | str, name_fn: Callable[[Column], Column], path: str) -> None:
@@ -104,11 +104,8 @@ def rollover(
     known = F.coalesce(time, F.timestamp_seconds(F.lit(0)))
     aged = df.withColumn("_window", F.window(known, max_age).getField("start"))
     aged = aged.withColumn("_window", F.when(time.isNotNull(), F.col("_window")))
-    # One row per window that holds rows; written once, numbered and counted from there.
-    windows = materialize(aged.select("_window").distinct(), "windows")
-    ranked = windows.withColumn("_generation", F.dense_rank().over(Window.orderBy("_window")))
-    # Rows without a time are a generation of their own, the first.
-    ranked = ranked.withColumnRenamed("_window", "_start")
+    # One row per window that holds rows, ranked by ranges of windows. Rows without a time are a generation of their own, the first.
+    ranked = with_position(aged.select("_window").distinct(), ["_window"]).select(F.col("_window").alias("_start"), F.col("_position").alias("_generation"))
     joined = aged.join(bounded_broadcast(ranked), F.col("_window").eqNullSafe(F.col("_start"))).drop("_start")
     return joined.withColumn("_index", _generation(name, F.col("_generation"))).drop("_window", "_generation")
 
