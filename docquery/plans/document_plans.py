@@ -19,6 +19,7 @@ from docquery.plans.inputs import (
     users,
 )
 from docquery.session import materialize, new_folder
+from docquery.sources import versions
 from docquery.sources.bulk_files import read_bulk, write_bulk
 from docquery.sources.layout import forcemerge
 
@@ -343,6 +344,48 @@ def forcemerge_live(spark, sf):
     return _user_rows(forcemerge(users(spark, sf), action_log(spark, sf), path, 4, order=ORDER, chunk=log_chunk()))
 
 
+def _log_parts(spark, sf):
+    """The log in three parts: up to 9 January, up to 19 January, and the rest."""
+    log, cuts = action_log(spark, sf), [1704844799999999, 1705708799999999]
+    edges = [F.col("at") <= cuts[0], (F.col("at") > cuts[0]) & (F.col("at") <= cuts[1]), F.col("at") > cuts[1]]
+    return [log.filter(edge) for edge in edges]
+
+
+def _versioned(spark, sf):
+    """The users as a table of versions: four files, and the log in three batches, each given twice."""
+    path = new_folder(spark, "versions")
+    versions.create_versions(users(spark, sf).repartition(4, "_id"), path)
+    opened = []
+    for n, part in enumerate(_log_parts(spark, sf)):
+        for _ in range(2):
+            opened.append(versions.apply_batch(spark, path, part, f"part-{n}", ORDER, chunk=log_chunk()))
+    return path, opened
+
+
+def versions_two_points(spark, sf):
+    """Two versions, opened before later batches and read after these and a compaction."""
+    path, opened = _versioned(spark, sf)
+    versions.compact(spark, path)
+    first, second = opened[0].table(), versions.open_version(spark, path, opened[2].number).table()
+    return _user_rows(first).withColumn("point", F.lit(1)).unionByName(_user_rows(second).withColumn("point", F.lit(2)))
+
+
+def versions_compacted(spark, sf):
+    path, _ = _versioned(spark, sf)
+    return _user_rows(versions.compact(spark, path).table())
+
+
+def versions_stream(spark, sf):
+    """The log as a stream of files, one micro-batch each."""
+    path, inbox = new_folder(spark, "versions"), new_folder(spark, "inbox")
+    versions.create_versions(users(spark, sf), path)
+    for part in _log_parts(spark, sf):
+        part.coalesce(1).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(part.schema).parquet(inbox)
+        versions.follow(stream, path, "log", f"{path}/stream", ORDER, chunk=log_chunk()).awaitTermination()
+    return _user_rows(versions.open_version(spark, path).table())
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -351,7 +394,7 @@ QUERIES = {
         doc_delete_two_indices, doc_exists_two_indices, doc_get_source_two_indices, doc_source_exists_two_indices,
         doc_update_two_indices, doc_update_script_two_indices, doc_index_absent_ids, doc_index_int_ids, doc_create_absent_ids, bulk_items_no_ids, update_by_query_nested, doc_update_sparse, delete_by_query, delete_by_query_count, update_by_query,
         update_by_query_all, bulk_items_nulls, bulk_apply_state, bulk_apply_items, bulk_new_table, pit_as_of, bulk_ndjson_roundtrip,
-        bulk_ndjson_apply, forcemerge_live,
+        bulk_ndjson_apply, forcemerge_live, versions_two_points, versions_compacted, versions_stream,
     )
 }
 
@@ -514,4 +557,9 @@ SQL = {
                CASE WHEN kind NOT IN ('error', 'view') THEN note END AS note FROM log""",
     "bulk_ndjson_apply": _state_sql(),
     "forcemerge_live": _state_sql(),
+    "versions_two_points": " UNION ALL ".join(
+        f"""SELECT *, {n} AS point FROM ({_state_sql(f'"at" <= {cut}')})""" for n, cut in ((1, 1704844799999999), (2, 1705708799999999))
+    ),
+    "versions_compacted": _state_sql(),
+    "versions_stream": _state_sql(),
 }
