@@ -10,11 +10,18 @@ from pyspark.sql import types as T
 
 from docquery.model import leaves, quoted, source_type
 from docquery.functions.stored import NESTED
+from docquery.session import materialize
 from docquery.sources.mapping import mapping_of
 
 # Bytes of a fixed-width value.
 WIDTHS = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}
 
+# Names of the types that values of a VARIANT have.
+VARIANT_TYPES = {
+    "STRING": "text", "BIGINT": "long", "DECIMAL": "double", "DOUBLE": "double", "FLOAT": "double", "BOOLEAN": "boolean",
+    "DATE": "date", "TIMESTAMP": "date", "TIMESTAMP_NTZ": "date", "BINARY": "binary",
+}
+
 STATS = ("docs", "deleted", "store")
 
 
@@ -73,7 +80,9 @@ def field_caps(
 ) -> DataFrame:
     """Per index and field: its type, whether the field's types conflict, and whether it holds data.
 
-    Types come from the schemas; the data part is one aggregation per table.
+    Types come from the schemas; the data part is one aggregation per table. Those of
+    a table of VARIANT bodies come from its values, see `variant_fields`; a
+    field may have several there.
     """
     parts = [_caps(name, df, fields, index_filter) for name, df in tables.items()]
     listed = parts[0]
@@ -88,6 +97,10 @@ def field_caps(
 
 def _caps(name: str, df: DataFrame, fields: Sequence[str] | None, index_filter: Column | None) -> DataFrame:
     rows = df if index_filter is None else df.filter(index_filter)
+    if isinstance(df.schema["_source"].dataType, T.VariantType):
+        found = variant_fields(rows)
+        found = found if fields is None else found.filter(F.col("field").isin(list(fields)))
+        return found.select("field", "type", F.lit(name).alias("_index"), F.lit(True).alias("has_data"))
     listed = [(p, t) for p, t in leaves(source_type(df)) if fields is None or ".".join(p) in fields]
     if not listed:
         raise ValueError(f"{name} has none of the fields {list(fields or ())}")
@@ -101,6 +114,48 @@ def _caps(name: str, df: DataFrame, fields: Sequence[str] | None, index_filter:
     return filled.select(F.inline(F.array(*entries)))
 
 
+def variant_fields(df: DataFrame, column: str = "_source") -> DataFrame:
+    """`(field, type, values)` of VARIANT bodies: every path below them, each type that it has, and how many values of it.
+
+    Lists count by their elements. A path of whole and broken numbers is a
+    double. A path that holds objects is `object` where it holds other values
+    too, else only its members are listed. NULLs and empty objects and lists
+    make no field. There is one pass per level of nesting, which reads the
+    bodies and shuffles a row per task, path and type.
+    """
+    level = df.select(F.lit(None).cast("string").alias("path"), F.col(column).alias("value"))
+    counted = None
+    while True:
+        opened = level.filter(F.col("value").isNotNull()).select(
+            "path",
+            "value",
+            F.try_variant_get("value", "$", "map<string,variant>").alias("members"),
+            F.try_variant_get("value", "$", "array<variant>").alias("elements"),
+        )
+        plain = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z_]+", 0)
+        kind = F.when(F.col("members").isNotNull(), "object").when(F.col("elements").isNotNull(), "list").otherwise(plain)
+        found = materialize(opened.groupBy("path", kind.alias("kind")).agg(F.count(F.lit(1)).alias("values")), "paths")
+        counted = found if counted is None else counted.unionByName(found)
+        if not found.filter(F.col("kind").isin("object", "list")).limit(1).count():
+            break
+        # The path of a member; elements have that of their list.
+        below = F.transform(F.map_entries("members"), lambda m: F.struct(F.concat_ws(".", "path", m["key"]).alias("path"), m["value"].alias("value")))
+        inside = F.transform("elements", lambda e: F.struct(F.col("path").alias("path"), e.alias("value")))
+        level = opened.select(F.inline(F.coalesce(below, inside)))
+    known = F.create_map(*[F.lit(x) for pair in VARIANT_TYPES.items() for x in pair])
+    named = counted.filter(F.col("path").isNotNull() & ~F.col("kind").isin("list", "VOID"))
+    types = named.select("path", F.coalesce(F.try_element_at(known, "kind"), F.lower("kind")).alias("type"), "values")
+    totals = types.groupBy("path", "type").agg(F.sum("values").alias("values"))
+    # A few rows per path.
+    of_path = totals.groupBy("path").agg(F.collect_set("type").alias("types"), F.map_from_entries(F.collect_list(F.struct("type", "values"))).alias("n"))
+    other = F.array_size(F.array_remove("types", "object")) > 0
+    broken = F.array_contains("types", "double")
+    kept = F.filter("types", lambda t: ((t != "object") | other) & ((t != "long") | ~broken))
+    each = of_path.select("path", "n", broken.alias("broken"), F.explode(kept).alias("type"))
+    whole = F.when(F.col("broken") & (F.col("type") == "double"), F.coalesce(F.try_element_at("n", F.lit("long")), F.lit(0))).otherwise(0)
+    return each.select(F.col("path").alias("field"), "type", (F.element_at("n", F.col("type")) + whole).alias("values"))
+
+
 def _type_name(df: DataFrame, path: tuple) -> str:
     mapping = mapping_of(source_type(df))
     for name in path:

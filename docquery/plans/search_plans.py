@@ -296,6 +296,33 @@ def field_caps_all(spark, sf):
     return field_caps(tables).select("_index", "field", "type", "conflict", "has_data")
 
 
+def _bodies(df, *members):
+    text = F.concat_ws(",", *[F.concat(F.lit(f'"{name}":'), value) for name, value in members])
+    return df.select(F.parse_json(F.concat(F.lit("{"), text, F.lit("}"))).alias("_source"))
+
+
+def _in_quotes(name):
+    return F.concat(F.lit('"'), F.col(name), F.lit('"'))
+
+
+def field_caps_variant(spark, sf):
+    """Two schemaless indices: `who` and `state.code` are numbers in one and text in the other, `note` is both a number and an object."""
+    orders = _bodies(
+        flat(spark, sf, "orders"),
+        ("who", F.col("o_custkey").cast("string")),
+        ("state", F.concat(F.lit('{"code":'), _in_quotes("o_orderstatus"), F.lit(',"late":null}'))),
+        ("sums", F.concat(F.lit("["), F.col("o_custkey"), F.lit(","), F.col("o_orderkey"), F.lit(".5]"))),
+        ("note", F.when(F.col("o_orderkey") % 3 == 0, "1").otherwise('{"by":true,"lists":[]}')),
+    )
+    parts = _bodies(
+        flat(spark, sf, "part"),
+        ("who", _in_quotes("p_brand")),
+        ("state", F.concat(F.lit('{"code":'), F.col("p_size"), F.lit("}"))),
+        ("rows", F.concat(F.lit('[{"n":'), F.col("p_size"), F.lit('},{"n":'), F.col("p_partkey"), F.lit("}]"))),
+    )
+    return field_caps({"orders": orders, "parts": parts}).select("_index", "field", "type", "conflict", "has_data")
+
+
 def analyze_tokens(spark, sf):
     return text_analysis.analyze(texts(spark, sf, "documents"), "doc_id", "text")
 
@@ -346,7 +373,7 @@ QUERIES = {
         postings_terms, termvectors_top_terms,
     )
 }
-QUERIES["field_caps"] = field_caps_all
+QUERIES |= {"field_caps": field_caps_all, "field_caps_variant": field_caps_variant}
 
 _HITS = f"""
 q(term) AS (VALUES {_terms(QUERY)}),
@@ -524,6 +551,19 @@ SQL = {
         for t in IDS
     )
     + """ UNION ALL SELECT 'prices', 'amount', 'double', true, true UNION ALL SELECT 'brands', 'amount', 'text', true, true""",
+    "field_caps_variant": r"""WITH bodies AS (
+          SELECT 'orders' AS _index, json_object('who', o_custkey, 'state', json_object('code', o_orderstatus, 'late', NULL),
+                 'sums', json_array(o_custkey, o_orderkey + 0.5::DOUBLE),
+                 'note', CASE WHEN o_orderkey % 3 = 0 THEN CAST('1' AS JSON) ELSE CAST('{"by":true,"lists":[]}' AS JSON) END) AS body FROM orders
+          UNION ALL SELECT 'parts', json_object('who', p_brand, 'state', json_object('code', p_size),
+                 'rows', json_array(json_object('n', p_size), json_object('n', p_partkey))) FROM part),
+        nodes AS (SELECT _index, regexp_replace(fullkey, '^\$\.?|\[[0-9]+\]', '', 'g') AS field, t.type AS kind FROM bodies, json_tree(body) AS t),
+        typed AS (SELECT DISTINCT _index, field, CASE WHEN kind IN ('UBIGINT', 'BIGINT') THEN 'long' WHEN kind = 'DOUBLE' THEN 'double'
+                         WHEN kind = 'VARCHAR' THEN 'text' ELSE lower(kind) END AS type
+                  FROM nodes WHERE field <> '' AND kind NOT IN ('ARRAY', 'NULL')),
+        kept AS (SELECT * FROM typed AS t WHERE NOT (type = 'long' AND EXISTS (FROM typed AS u WHERE u._index = t._index AND u.field = t.field AND u.type = 'double'))
+                   AND NOT (type = 'object' AND NOT EXISTS (FROM typed AS u WHERE u._index = t._index AND u.field = t.field AND u.type <> 'object')))
+        SELECT _index, field, type, (SELECT count(DISTINCT type) FROM kept AS k WHERE k.field = kept.field) > 1 AS conflict, true AS has_data FROM kept""",
     "analyze_tokens": _analyze_sql("documents", "doc_id"),
     "analyze_conversations": _analyze_sql("conversations", "conv_id, turn"),
     "termvectors": f"WITH {_VECTORS} SELECT * FROM vec JOIN stats USING (term) CROSS JOIN field",
