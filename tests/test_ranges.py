@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docquery.operators import templates
-from docquery.operators.range_join import parts, quantiles, range_join
+from docquery.operators.range_join import parts, quantiles, range_join, range_top
 
 
 def _both(spark, values, intervals):
@@ -111,3 +111,40 @@ def test_wide_parameters_are_not_sent_out(spark, monkeypatch):
     assert templates._small(params)
     monkeypatch.setattr(templates, "PARAMETER_BYTES", 5000)
     assert not templates._small(params)
+
+
+@pytest.mark.parametrize("fits", [True, False])
+def test_first_rows_of_intervals_equal_brute_force(spark, fits, monkeypatch):
+    values, intervals = _case(7)
+    intervals = [(a, b) for a, b in intervals if a != 9.0] + intervals[:3]
+    r = random.Random(3)
+    weight = [r.choice([None, 1, 2, 3, 4, 5]) for _ in values]
+    rows = spark.createDataFrame([(i, v, w) for i, (v, w) in enumerate(zip(values, weight, strict=True))], "i int, v double, w int")
+    asked = spark.createDataFrame([(k, *pair) for k, pair in enumerate(intervals)], "query_id int, low double, high double")
+    monkeypatch.setattr(templates, "_small", lambda df: fits)
+    for bounds in (("low", "high"), ("low", None), (None, "high")):
+        hits = templates.msearch_template(rows, asked, size=4, sort=[F.desc("w"), F.col("i")], between={"v": bounds})
+        want = []
+        for k in range(len(intervals)):
+            own = [i for q, i in _brute(values, intervals, bounds[0] is not None, bounds[1] is not None) if q == k]
+            own.sort(key=lambda i: (weight[i] is None, -(weight[i] or 0), i))
+            want += [(k, n, i) for n, i in enumerate(own[:4], 1)]
+        assert sorted((h.query_id, h["_rank"], h.i) for h in hits.collect()) == sorted(want)
+
+
+def test_first_rows_of_wide_intervals_need_few_pairs(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("i"), F.col("id").cast("double").alias("v"))
+    asked = spark.range(50).select(F.col("id").alias("query_id"), F.col("id").cast("double").alias("low"), (F.col("id") + 19_000.0).alias("high"))
+    top = range_top(rows, asked, "v", "low", "high", 3, [F.desc("v")])
+    # The intervals hold 950,000 pairs; two of `BLOCK` blocks per level, of three rows each, bound what is joined.
+    assert top.count() < 50 * 4 * 2 * 16 * 3
+    assert range_join(rows, asked, "v", "low", "high").count() == 50 * 19_001
+
+
+def test_first_rows_by_a_parameter_or_under_a_condition(spark):
+    rows = spark.createDataFrame([(i, float(i % 10)) for i in range(100)], "i int, v double")
+    asked = spark.createDataFrame([(1, 2.0, 5.0), (2, 0.0, 9.0)], "query_id int, low double, high double")
+    near = templates.msearch_template(rows, asked, size=2, sort=[F.abs(F.col("v") - F.col("high")), F.col("i")], between={"v": ("low", "high")})
+    assert sorted((h.query_id, h.i) for h in near.collect()) == [(1, 5), (1, 15), (2, 9), (2, 19)]
+    odd = templates.msearch_template(rows, asked, where=F.col("i") > 40 * F.col("query_id"), size=1, sort=[F.col("i")], between={"v": ("low", "high")})
+    assert sorted((h.query_id, h.i) for h in odd.collect()) == [(1, 42), (2, 81)]
