@@ -355,3 +355,29 @@ def test_top_terms(spark):
     assert "WindowGroupLimit" in best._jdf.queryExecution().executedPlan().toString()
     narrow = text_analysis.top_terms(vectors, "id", 9, tf=(1, 1), doc_freq=(2, 2), length=(1, 1))
     assert [(r.id, r.term) for r in narrow.collect()] == [(1, "a")]
+
+
+def test_running_sums_of_long_and_broken_arrays(spark):
+    cases = [[], [7], list(range(16)), list(range(17)), [3] * 1000, [1, None, 2] + [1] * 40, None]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(cases)], "k int, v array<int>")
+    out = {r.k: r.s for r in df.select("k", running_sums(F.col("v")).alias("s")).collect()}
+    for k, v in enumerate(cases):
+        want, held = [], 0
+        for x in v or []:
+            held = None if x is None or held is None else held + x
+            want.append(held)
+        assert out[k] == (None if v is None else want)
+
+
+def test_places_of_texts_with_odd_ends(spark):
+    texts = ["", None, "...", "a", " a", "a ", "É𝒳b--É𝒳b Z_9\n\tz_9", "x " * 500 + "!", "😀😀 ab 😀 AB"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    words = {k: list(regex.finditer(r"[\p{L}\p{N}_]+", t or "")) for k, t in enumerate(texts)}
+    found = sorted(map(tuple, text_analysis.analyze(df, "id", "t").collect()))
+    assert found == sorted((k, n, m[0].lower(), m.start(), m.end()) for k, ms in words.items() for n, m in enumerate(ms))
+    vectors = {(r.id, r.term): (r.tf, r.positions, r.start_offsets, r.end_offsets) for r in text_analysis.termvectors(df, "id", "t").collect()}
+    want = {}
+    for k, ms in words.items():
+        for n, m in enumerate(ms):
+            want.setdefault((k, m[0].lower()), []).append((n, m.start(), m.end()))
+    assert vectors == {key: (len(p), *[list(x) for x in zip(*p, strict=True)]) for key, p in want.items()}
