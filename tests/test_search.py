@@ -15,6 +15,7 @@ from docquery.model import source
 from docquery.operators import documents, evaluate, paging, profile, search, templates, text_analysis, tiles
 from docquery.plans import search_plans
 from docquery.sources import layout
+from docquery.sources.scan import spread
 
 TEXTS = {
     "a": "The cat, the dog_1 and THE bird",
@@ -381,3 +382,11 @@ def test_places_of_texts_with_odd_ends(spark):
         for n, m in enumerate(ms):
             want.setdefault((k, m[0].lower()), []).append((n, m.start(), m.end()))
     assert vectors == {key: (len(p), *[list(x) for x in zip(*p, strict=True)]) for key, p in want.items()}
+
+
+def test_rows_in_few_of_many_splits_are_spread(spark):
+    few = spark.range(0, 16_000, 1, 16).filter("id < 1000")
+    held = spread(few).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in held) == 1000 and max(r["count"] for r in held) <= 200
+    even = spark.range(0, 16_000, 1, 16)
+    assert spread(even) is even
