@@ -32,12 +32,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from docquery.operators.bulk import KEYS, apply_bulk
+from docquery.operators.bulk import KEYS, apply_bulk, changed_documents
 from docquery.operators.profile import segments
 from docquery.session import bounded_broadcast, materialize
 
-#: Outcomes of an action that leave a document other than it was.
-CHANGED = ("created", "updated", "deleted")
 #: Bytes a file should have.
 FILE_BYTES = 512 << 20
 
@@ -134,14 +132,16 @@ def apply_batch(spark: SparkSession, path: str, log: DataFrame, batch: str, orde
         log.limit(0).write.mode("overwrite").parquet(f"{path}/late/version={number}")
     marks.write.mode("overwrite").parquet(f"{path}/marks/version={number}")
 
-    table, items = apply_bulk(now.table(), log, order, **fold)
-    table = table.select(*KEYS, "_source")
-    schema = _nullable(table.schema)
+    changed = changed_documents(now.table(), log, order, **fold)
+    schema = _nullable(changed.select(*KEYS, "_source").schema)
     after = Version(spark, path, number, number, schema, now.batches | {batch})
     if schema != now.schema:
-        return _publish(after, batch, table, None, None)
-    dead = items.filter(F.col("outcome").isin(*CHANGED)).select(*KEYS).distinct()
-    return _publish(after, batch, table, dead, now.files())
+        table, _ = apply_bulk(now.table(), log, order, **fold)
+        return _publish(after, batch, table.select(*KEYS, "_source"), None, None)
+    changed = materialize(changed, "changed")
+    # Rows without an id are found by no action, so none of them dies.
+    dead = changed.filter("_id IS NOT NULL").select(*KEYS).distinct()
+    return _publish(after, batch, changed.filter("_alive").select(*KEYS, "_source"), dead, now.files())
 
 
 def late_actions(spark: SparkSession, path: str) -> DataFrame:
@@ -205,8 +205,6 @@ def _publish(after: Version, batch: str, rows: DataFrame, dead: DataFrame | None
     new = []
     if dead is not None:
         dead.write.mode("overwrite").parquet(f"{after.path}/dead/{folder}")
-        written = spark.read.schema(dead.schema).parquet(f"{after.path}/dead/{folder}")
-        rows = rows.alias("t").join(bounded_broadcast(written).alias("d"), _same("t"), "left_semi")
         new.append("dead")
     rows.write.mode("overwrite").parquet(f"{after.path}/data/{folder}")
     for kind in ("data", *new):

@@ -77,6 +77,23 @@ def test_apply_bulk_equals_simulation(spark, monkeypatch, seed, rows_per_chunk,
     assert {r["_id"]: r["_source"].asDict() for r in frozen.collect()} == simulate(stored, [x for x in log if x[0] <= cutoff])[0]
 
 
+@pytest.mark.parametrize("most", [1, 60, 10_000])
+def test_only_ids_with_many_actions_are_cut(spark, monkeypatch, most):
+    """All ids are cut, the hot one is, or none; also an id that is NULL."""
+    monkeypatch.setattr(bulk, "CHUNK", most)
+    log = masked(random_log(7, 400))
+    frame = spark.createDataFrame(log, DDL)
+    table = spark.createDataFrame([("t", "k1", (1, "x"))], "_index string, _id string, _source struct<a:int,b:string>")
+    lost = frame.limit(3).select((F.col("seq") + 10**6).alias("seq"), F.lit("update").alias("action"), "_index", F.lit(None).cast("string").alias("_id"), "doc", "present")
+    state, items = bulk.apply_bulk(table, frame.unionByName(lost), chunk=F.floor(F.col("seq") / 50))
+    expected, outcomes = simulate({"k1": {"a": 1, "b": "x"}}, log)
+    assert {r["_id"]: r["_source"].asDict() for r in state.collect()} == expected
+    found = sorted((r.seq, r.outcome) for r in items.collect())
+    assert found[:-3] == outcomes and [o for _, o in found[-3:]] == ["missing"] * 3
+    windows = items._jdf.queryExecution().optimizedPlan().toString().count("Window [")
+    assert windows == (1 if most == 10_000 else 2)
+
+
 def test_without_present_the_filled_fields_count(spark):
     log = spark.createDataFrame(
         [(1, "index", "x", (1, "s")), (2, "update", "x", (None, "t"))], "seq bigint, action string, _id string, doc struct<a:int,b:string>"

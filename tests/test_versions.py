@@ -82,6 +82,26 @@ def test_late_actions_are_set_aside(spark, path):
     assert sorted(map(tuple, late), key=str) == sorted([(2, 4), (2, 5), (2, None), (3, 2), (4, 6)], key=str)
 
 
+def test_one_pass_tells_changed_rows_and_dead_keys(spark, path, monkeypatch):
+    """The log is folded once, for the rows and for the keys; a document without an id stays as it is."""
+    table = spark.createDataFrame([("t", 1.0, (1,)), ("t", None, (7,)), ("t", 2.0, (2,))], "_index string, _id double, _source struct<n:int>")
+    versions.create_versions(table, path)
+    folds = []
+    whole = versions.materialize
+
+    def counted(df, name):
+        folds.append((name, df._jdf.queryExecution().optimizedPlan().toString().count("Window [")))
+        return whole(df, name)
+
+    monkeypatch.setattr(versions, "materialize", counted)
+    log = spark.createDataFrame([(1, "index", "t", None, (8,)), (2, "delete", "t", 1.0, None), (3, "update", "t", 2.0, (5,))], LOG.replace("_id string", "_id double"))
+    one = versions.apply_batch(spark, path, log, "a")
+    assert sorted(map(str, [(r["_id"], r["_source"]["n"]) for r in one.table().collect()])) == ["(2.0, 5)", "(None, 7)", "(None, 8)"]
+    assert folds == [("log", 0), ("changed", 1)]
+    two = versions.apply_batch(spark, path, log.select((F.col("seq") + 9).alias("seq"), "action", "_index", "_id", "doc"), "b")
+    assert sorted(str(r["_source"]["n"]) for r in two.table().collect()) == ["5", "7", "8", "8"]
+
+
 def test_empty_tables_and_logs(spark, path):
     versions.create_versions(_table(spark, 0), path)
     versions.apply_batch(spark, path, _log(spark), "none")
