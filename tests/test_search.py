@@ -390,3 +390,22 @@ def test_rows_in_few_of_many_splits_are_spread(spark):
     assert sum(r["count"] for r in held) == 1000 and max(r["count"] for r in held) <= 200
     even = spark.range(0, 16_000, 1, 16)
     assert spread(even) is even
+
+
+def test_entries_are_dealt_to_tasks_that_hold_few_pairs(spark, docs, monkeypatch):
+    """The number of tasks follows the pairs of queries and documents, not the files, and the answer does not depend on it."""
+    table = docs({f"d{n:03}": (f"dog {'cat ' * (n % 5)}w{n % 7}",) for n in range(60)} | {"none": (None,)}, "text string")
+    queries = spark.createDataFrame([(q, "dog cat w3") for q in range(10)], "query_id int, text string")
+    whole = search.contributions
+    dealt = []
+
+    def counted(entries, weights, *more):
+        dealt.append(entries.rdd.getNumPartitions())
+        return whole(entries, weights, *more)
+
+    monkeypatch.setattr(search, "contributions", counted)
+    plain = pytest.rows(search.msearch(table, "_source.text", queries, 3))
+    monkeypatch.setattr(search, "PAIRS", 2)
+    assert pytest.rows(search.msearch(table, "_source.text", queries, 3)) == plain and len(plain) == 30
+    # Nine documents have the rare word that all ten queries ask for.
+    assert dealt[1] == 8 and dealt[-1] >= 40
