@@ -118,3 +118,17 @@ def test_hits_among_given_documents(spark, table, path):
     index = postings.build_postings(table, TEXT, path, buckets=4)
     among = table.filter(F.col("_index") == "x")
     assert hits(postings.scores(index, QUERY, among)) == hits(search.scores(table, TEXT, QUERY, F.col("_index") == "x"))
+
+
+def test_dead_keys_do_not_shuffle_the_entries(spark, table, log, path, monkeypatch):
+    """Also where they are somewhat more than other tables that are sent out."""
+    index = postings.build_postings(table, TEXT, path, buckets=4)
+    changed, items = bulk.apply_bulk(table, log)
+    after = postings.refresh_postings(index, changed, items, TEXT, "one")
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 2)
+    dead = spark.read.parquet(f"{path}/dead/generation=1").count()
+    assert 2 < dead <= 2 * postings.DEAD
+    live = after._live(after._read("entries"))
+    assert re.search(r"Join LeftAnti.*rightHint=\(strategy=broadcast\)", live._jdf.queryExecution().optimizedPlan().toString())
+    whole = postings.compact_postings(after, session.new_folder(spark, "postings-test"))
+    assert sorted(map(str, whole.documents().collect())) == sorted(map(str, after.documents().collect()))
