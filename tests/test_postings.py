@@ -132,3 +132,28 @@ def test_dead_keys_do_not_shuffle_the_entries(spark, table, log, path, monkeypat
     assert re.search(r"Join LeftAnti.*rightHint=\(strategy=broadcast\)", live._jdf.queryExecution().optimizedPlan().toString())
     whole = postings.compact_postings(after, session.new_folder(spark, "postings-test"))
     assert sorted(map(str, whole.documents().collect())) == sorted(map(str, after.documents().collect()))
+
+
+@pytest.mark.parametrize("open_files", [postings.OPEN, 2])
+def test_files_are_in_the_order_of_terms(spark, docs, path, monkeypatch, open_files):
+    """Rows are sorted by terms alone, as long as a task may have a file open for each bucket, and the session's setting is as before."""
+    monkeypatch.setattr(postings, "OPEN", open_files)
+    texts = docs({str(i): (" ".join(f"w{(i * j) % 97} w{j}" for j in range(40)),) for i in range(50)}, "text string")
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    index = postings.build_postings(texts, TEXT, path, buckets=4)
+    assert spark.conf.get(key) == before
+    rows = index._read("entries").withColumn("file", F.input_file_name())
+    terms = rows.filter(F.col("bucket") >= 0).groupBy("file").agg(F.collect_list("term").alias("terms")).collect()
+    assert len(terms) > 1 and all(r["terms"] == sorted(r["terms"]) for r in terms)
+    assert rows.select("bucket", "file").distinct().groupBy("file").count().filter("count > 1").isEmpty()
+    order = postings._dealt(index._read("entries"), 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Sort \[term#\d+ ASC" if open_files > 4 else r"Sort \[bucket#\d+ ASC[^]]*, term#\d+ ASC", order)
+    same_scores(index, texts)
+
+
+def test_repeated_words_and_texts_without_words(spark, docs, path):
+    index = postings.build_postings(docs({"a": ("b a B a b b",), "c": ("",), "d": (None,), "e": ("...",)}, "text string"), TEXT, path, buckets=4)
+    kept = index._read("entries").select("_id", "_length", "term", "tf").collect()
+    by_hand = [("a", 6, None, 0), ("a", 6, "a", 2), ("a", 6, "b", 4), ("c", 0, None, 0), ("d", None, None, 0), ("e", 0, None, 0)]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, by_hand))
