@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from docquery.llm.components import components
 from docquery.llm.tables import unused
-from docquery.session import join_statistics, materialize
+from docquery.session import bounded_broadcast, join_statistics, materialize
 
 SHINGLE = 4
 DISTANCE = 4
@@ -138,7 +138,7 @@ def gathered(prints: DataFrame, distance: int = DISTANCE, least: int = CROWD) ->
 
 
 def links(prints: DataFrame, distance: int = DISTANCE, count: int = SEGMENTS) -> DataFrame:
-    """(a, b, bits) for the pairs of `prints` (fp, group) of different groups within the distance."""
+    """(a, b, bits, a_group, b_group) for the pairs of `prints` (fp, group) of different groups within the distance."""
     rows = prints.select(F.col("fp"), F.col("group"))
     asked = held = None
     for number, (first, bits, radius) in enumerate(segments(count, distance)):
@@ -159,7 +159,9 @@ def links(prints: DataFrame, distance: int = DISTANCE, count: int = SEGMENTS) ->
         & ((F.col("x.mask") != 0) | (F.col("x.fp") < F.col("y.fp")))
         & (F.col("x.group") != F.col("y.group"))
         & (bits <= distance),
-    ).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"), bits.alias("bits"))
+    ).select(
+        F.col("x.fp").alias("a"), F.col("y.fp").alias("b"), bits.alias("bits"), F.col("x.group").alias("a_group"), F.col("y.group").alias("b_group")
+    )
 
 
 def rooted(rows: DataFrame, distance: int = DISTANCE, count: int | None = None) -> DataFrame:
@@ -169,10 +171,12 @@ def rooted(rows: DataFrame, distance: int = DISTANCE, count: int | None = None)
     count = count or segments_for(prints.count(), distance)
     close = materialize(gathered(prints, distance), "close")
     first = components(close)
-    placed = prints.join(first, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("group"))
+    placed = prints.join(bounded_broadcast(first), F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("group"))
     found = links(materialize(placed, "placed"), distance, count)
-    roots = components(close.select("a", "b").unionByName(found.select("a", "b")))
-    return prints.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
+    # The gathered groups are stars by now; what was found links their centres.
+    stars = first.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = components(stars.unionByName(found.select(F.col("a_group").alias("a"), F.col("b_group").alias("b"))))
+    return prints.join(bounded_broadcast(roots), F.col("fp") == F.col("node"), "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, count: int | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from docquery.llm.components import components
 from docquery.llm.html_blocks import blocks
 from docquery.llm.queries import tokenizer_files
 from docquery.llm.tables import held_out, labelled_sample
-from docquery.session import new_folder
+from docquery.session import new_folder, setting
 
 DOCS = "doc_id long, text string, lang string, source string, fingerprint int"
 
@@ -105,6 +105,34 @@ def test_links_and_gathering_lose_no_component(spark):
     assert {p: roots.get(p, p) for p in prints} == group
 
 
+def test_a_round_of_components_deals_links_out_few_times(spark):
+    random = np.random.default_rng(4)
+    chain = [(i, i + 1) for i in range(40)]
+    some = [(int(a), int(b)) for a, b in random.integers(100, 500, (150, 2))]
+    star = [(1000, i) for i in range(1001, 1100)] * 2
+    links = spark.createDataFrame([*chain, *some, *star, (3, 3), (None, 4), (5, None)], "a long, b long")
+    group = "components-test"
+    spark.sparkContext.setJobGroup(group, group)
+    with setting(spark, "spark.sql.shuffle.partitions", 50), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        found = components(links)
+        roots = {r["node"]: r["root"] for r in found.collect()}
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    tasks = sum(s.numCompletedTasks for s in map(tracker.getStageInfo, stages) if s and s.numTasks == 50)
+    least = {n: n for a, b in links.collect() if a is not None and b is not None and a != b for n in (a, b)}
+    while True:
+        before = dict(least)
+        for a, b in [*chain, *some, *star]:
+            if a != b:
+                least[a] = least[b] = min(least[a], least[b])
+        if least == before:
+            break
+    assert roots == least
+    # 1,550 tasks when joins, distinct links and the test for stars were shuffled apart.
+    assert tasks <= 1200
+
+
 def test_packing_places_every_piece_once(spark, odd, empty):
     rows = packing.pack(odd, tokenizer_files(), sequence=64).collect()
     sequences: dict[int, list] = {}
