@@ -37,6 +37,7 @@ LOAD = 7
 #: Cells of a part's table at each attempt.
 ATTEMPTS = (18, 36, 96, 384, 1536)
 ROUNDS = 24
+CELL = "struct<n:int,key:bigint,check:bigint>"
 
 
 def _let(value: Column, then) -> Column:
@@ -65,25 +66,22 @@ def _items(keys: Column, cells: int, seed: int) -> Column:
     return F.transform(keys, item)
 
 
-def _hits(items: Column, region: int, cell: Column) -> Column:
-    return F.filter(items, lambda x: x[f"p{region}"] == cell)
-
-
-def _xor(items: Column, name: str) -> Column:
-    return F.aggregate(items, F.lit(0).cast("long"), lambda total, x: total.bitwiseXOR(x[name]))
+def _cell(items: Column, start: Column, taken, region: int, cell: Column) -> Column:
+    """`start` with what `taken` makes of each item of that cell, in one fold."""
+    return F.aggregate(F.filter(items, lambda x: x[f"p{region}"] == cell), start.cast(CELL), lambda total, x: taken(total, x).cast(CELL))
 
 
 def table(keys: Column, cells: int = CELLS, seed: int = 0) -> Column:
     """The table of an array of distinct digests: array<struct<n, key, check>>."""
+    empty = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("check"))
 
-    def cell(items: Column, region: int, i: Column) -> Column:
-        return _let(
-            _hits(items, region, i),
-            lambda own: F.struct(F.size(own).alias("n"), _xor(own, "key").alias("key"), _xor(own, "check").alias("check")),
+    def more(total: Column, x: Column) -> Column:
+        return F.struct(
+            (total["n"] + 1).alias("n"), total["key"].bitwiseXOR(x["key"]).alias("key"), total["check"].bitwiseXOR(x["check"]).alias("check")
         )
 
     def own_region(items: Column, region: int) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.lit(cells // REGIONS - 1)), lambda i: cell(items, region, i))
+        return F.transform(F.sequence(F.lit(0), F.lit(cells // REGIONS - 1)), lambda i: _cell(items, empty, more, region, i))
 
     return _let(_items(keys, cells, seed), lambda items: F.concat(*[own_region(items, r) for r in range(REGIONS)]))
 
@@ -121,7 +119,7 @@ def peel(cells: Column, count: int, seed: int, rounds: int = ROUNDS) -> Column:
         width = count // REGIONS
 
         def region(items: Column, r: int) -> Column:
-            return F.transform(F.slice(state["cells"], r * width + 1, width), lambda c, i: less(c, _hits(items, r, i)))
+            return F.transform(F.slice(state["cells"], r * width + 1, width), lambda c, i: _cell(items, c, less, r, i))
 
         return _let(
             placed,
@@ -132,20 +130,13 @@ def peel(cells: Column, count: int, seed: int, rounds: int = ROUNDS) -> Column:
             ),
         )
 
-    def less(cell: Column, hits: Column) -> Column:
-        return _let(
-            hits,
-            lambda own: F.when(F.size(own) == 0, cell).otherwise(
-                F.struct(
-                    (cell["n"] - F.aggregate(own, F.lit(0), lambda total, x: total + x["side"])).alias("n"),
-                    cell["key"].bitwiseXOR(_xor(own, "key")).alias("key"),
-                    cell["check"].bitwiseXOR(_xor(own, "check")).alias("check"),
-                )
-            ),
+    def less(cell: Column, x: Column) -> Column:
+        return F.struct(
+            (cell["n"] - x["side"]).alias("n"), cell["key"].bitwiseXOR(x["key"]).alias("key"), cell["check"].bitwiseXOR(x["check"]).alias("check")
         )
 
     none = F.array().cast("array<struct<key:bigint,side:int>>")
-    kind = "struct<cells:array<struct<n:int,key:bigint,check:bigint>>,found:array<struct<key:bigint,side:int>>,live:boolean>"
+    kind = f"struct<cells:array<{CELL}>,found:array<struct<key:bigint,side:int>>,live:boolean>"
     start = F.struct(cells.alias("cells"), none.alias("found"), F.lit(True).alias("live")).cast(kind)
     done = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, lambda state, _: F.when(state["live"], step(state)).otherwise(state))
     return _let(

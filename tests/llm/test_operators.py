@@ -253,6 +253,19 @@ def test_fingerprints_equal_set_differences(spark, odd, empty):
     assert fingerprints.fingerprint(empty).count() == 0
 
 
+def test_a_cell_is_made_in_one_fold(spark):
+    df = spark.createDataFrame([([1, 2, 3],), ([],)], "a array<long>")
+    made = df.select(fingerprints.table(F.col("a")).alias("t"))
+    # It took two, one for the keys and one for their checks.
+    assert made._jdf.queryExecution().analyzed().toString().count("aggregate(") == fingerprints.REGIONS
+    full, empty = ([tuple(c) for c in r["t"]] for r in made.collect())
+    assert empty == [(0, 0, 0)] * fingerprints.CELLS
+    for r in range(fingerprints.REGIONS):
+        own = full[r * 8 : r * 8 + 8]
+        assert sum(n for n, _, _ in own) == 3
+        assert np.bitwise_xor.reduce([k for _, k, _ in own]) == 1 ^ 2 ^ 3
+
+
 def test_html_blocks_and_field(spark):
     page = "<p>a &amp; b<br>c<p>d<script>'</p>x'</script> e<ul><li>f<li>g</ul><!-- h --><div hidden>i"
     assert [b.text for b in blocks(page)] == ["a & b c", "d e", "f", "g", "i"]
